@@ -21,3 +21,10 @@ def grid(spark: SparkSession, lo: float, hi: float, points: int, name: str = "x"
     return spark.range(points).select(
         F.col("id").alias("i"), (F.lit(float(lo)) + F.col("id") * F.lit(float(step))).alias(name)
     )
+
+
+def hundredth_below(c: str | Column) -> Column:
+    """The largest integer k with k / 100 <= value, exact on the grid itself."""
+    col = F.col(c) if isinstance(c, str) else c
+    k = F.floor(col * 100)
+    return F.when(col >= (k + 1) / 100.0, k + 1).when(col < k / 100.0, k - 1).otherwise(k)

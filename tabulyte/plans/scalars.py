@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window as W, functions as F
 
 from tabulyte.functions import dates, maths, text as tx
 from tabulyte.operators import aggregates as ag
@@ -19,7 +19,7 @@ def str_length(t):
 
 @query(
     "str_word_count",
-    r"SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\s+'), x -> x <> '')) AS n FROM documents",
+    r"SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS n FROM documents",
 )
 def str_word_count(t):
     return t.documents.select("doc_id", tx.word_count("text").alias("n"))
@@ -119,11 +119,11 @@ def str_join_group(t):
 
 @query(
     "str_format",
-    """SELECT format('    {:<30} -> {:>5}  ({:>5.1f}%)', p_type, n, pct) AS value FROM (
+    """SELECT format('    {:<30} -> {:>5}  ({:>7.3f}%)', p_type, n, pct) AS value FROM (
          SELECT p_type, count(*) AS n, count(*) * 100.0 / (SELECT count(*) FROM part) AS pct FROM part GROUP BY 1)""",
 )
 def str_format(t):
-    return report_lines(ag.frequencies(t.part, "p_type"), "    %-30s -> %5d  (%5.1f%%)", "p_type", "n", "pct")
+    return report_lines(ag.frequencies(t.part, "p_type"), "    %-30s -> %5d  (%7.3f%%)", "p_type", "n", "pct")
 
 
 @query(
@@ -208,12 +208,14 @@ def math_sqrt_exp_abs(t):
 
 @query(
     "math_grid",
-    """SELECT i, 0.01 + i * 0.01 AS x, (SELECT count(*) FROM lineitem WHERE l_discount * 9 <= 0.01 + i * 0.01 + 1e-9) AS n
+    """SELECT i, (i + 1) / 100 AS x, (SELECT count(*) FROM lineitem WHERE l_discount * 9 >= (i + 1) / 100) AS n
        FROM range(99) r(i)""",
-    {6: "x"},
 )
 def math_grid(t):
-    points = maths.grid(t.spark, 0.01, 0.99, 99)
-    steps = t.lineitem.groupBy("l_discount").agg(ag.rows().alias("n"))
-    hits = points.join(steps, F.col("l_discount") * 9 <= F.col("x") + 1e-9, "left")
-    return hits.groupBy("i", "x").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    points = maths.grid(t.spark, 1, 99, 99).select("i", (F.col("x") / 100).alias("x"))
+    reached = t.lineitem.groupBy(maths.hundredth_below(F.col("l_discount") * 9).alias("h")).agg(ag.rows().alias("n"))
+    from_here = W.orderBy(F.desc("i")).rowsBetween(W.unboundedPreceding, 0)
+    at = reached.groupBy((F.least("h", F.lit(99)) - 1).alias("i")).agg(F.sum("n").alias("n"))
+    return points.join(at, "i", "left").select(
+        "i", "x", F.coalesce(F.sum("n").over(from_here), F.lit(0)).alias("n")
+    )
