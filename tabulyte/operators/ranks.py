@@ -30,20 +30,31 @@ def share_at_top(groups: DataFrame, key: str, value: str, fraction: float = 0.2)
 
 def rank_pct(df: DataFrame, col: str, name: str) -> DataFrame:
     """Percentile rank with averaged ties; null where the value is null."""
-    ranks = ranked_values(df, col).select(
+    return _attach(df, col, _value_ranks(df, col, name))
+
+
+def _value_ranks(df: DataFrame, col: str, name: str) -> DataFrame:
+    return ranked_values(df.select(col), col).select(
         F.col(col).alias("_v"), (F.col("avg_rank") / F.col("cum_total")).alias(name)
     )
-    return df.join(ranks, F.col(col) == F.col("_v"), "left").drop("_v")
+
+
+def _attach(df: DataFrame, col: str, value_ranks: DataFrame) -> DataFrame:
+    return df.join(value_ranks, F.col(col) == F.col("_v"), "left").drop("_v")
 
 
 def weighted_rank_score(df: DataFrame, weights: Mapping[str, float], inverted: Sequence[str] = ()) -> DataFrame:
-    """Weighted sum of percentile ranks; inverted columns count as 1 - rank."""
+    """Weighted sum of percentile ranks; inverted columns count as 1 - rank.
+
+    Every column is ranked from the input itself, on its distinct values.
+    """
+    out = df
     score: Column | None = None
     for i, (col, weight) in enumerate(weights.items()):
-        df = rank_pct(df, col, f"_r{i}")
+        out = _attach(out, col, _value_ranks(df, col, f"_r{i}"))
         part = (1 - F.col(f"_r{i}") if col in inverted else F.col(f"_r{i}")) * F.lit(float(weight))
         score = part if score is None else score + part
-    return df.withColumn("score", score).drop(*[f"_r{i}" for i in range(len(weights))])
+    return out.withColumn("score", score).drop(*[f"_r{i}" for i in range(len(weights))])
 
 
 TIER_EDGES = (0.0, 0.25, 0.5, 0.75, 1.0)
