@@ -11,6 +11,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 TINY = 1e-300
 EPS = 1e-15
@@ -130,43 +131,43 @@ def _rows(f, *cols: pd.Series) -> pd.Series:
     return pd.Series([one(*r) for r in zip(*cols)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def chi2_p(stat: pd.Series, df: pd.Series) -> pd.Series:
     return _rows(lambda s, k: gamma_upper(k / 2, s / 2), stat, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def t_p(t: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p of Student's t."""
     return _rows(lambda v, k: beta_lower(k / 2, 0.5, k / (k + v * v)), t, df)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def f_p(f: pd.Series, d1: pd.Series, d2: pd.Series) -> pd.Series:
     return _rows(lambda v, a, b: beta_lower(b / 2, a / 2, b / (b + a * v)), f, d1, d2)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_p(z: pd.Series) -> pd.Series:
     """Two-sided p of a standard normal value."""
     return _rows(lambda v: min(1.0, 2 * normal_upper(abs(v))), z)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def kolmogorov_p(x: pd.Series) -> pd.Series:
     return _rows(kolmogorov_tail, x)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def beta_ppf(q: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
     return _rows(beta_quantile, q, a, b)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def normal_ppf(q: pd.Series) -> pd.Series:
     return _rows(normal_quantile, q)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def log_beta(a: pd.Series, b: pd.Series) -> pd.Series:
     return _rows(lambda x, y: math.lgamma(x) + math.lgamma(y) - math.lgamma(x + y), a, b)
