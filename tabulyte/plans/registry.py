@@ -40,7 +40,7 @@ def _plain_types(df: DataFrame) -> DataFrame:
     return df.withColumns(cast) if cast else df
 
 
-def query(key: str, sql: str | None = None, rounding: Mapping[int, str] | None = None):
+def query(key: str, sql: str | Callable[[], str] | None = None, rounding: Mapping[int, str] | None = None):
     """Register a plan.  `rounding` maps digits to column names and is applied
     to both sides, so that the summation order does not show in the result."""
 
@@ -50,18 +50,19 @@ def query(key: str, sql: str | None = None, rounding: Mapping[int, str] | None =
         def run(spark: SparkSession, folder: str) -> DataFrame:
             df = _plain_types(fn(Tables(spark, folder)))
             if digits:
-                df = df.withColumns({c: F.round(F.col(c), d) + F.lit(0.0) for c, d in digits.items()})
+                df = df.withColumns({c.strip('"'): F.round(F.col(c.strip('"')), d) + F.lit(0.0) for c, d in digits.items()})
             return df
 
         if key in PLANS:
             raise ValueError(f"{key} is registered twice")
         PLANS[key] = run
-        if sql is not None:
+        text = sql() if callable(sql) else sql
+        if text is not None:
             if digits:
                 parts = ", ".join(f"round({c}, {d}) + 0.0 AS {c}" for c, d in digits.items())
-                SQL[key] = f"SELECT * REPLACE ({parts}) FROM ({sql})"
+                SQL[key] = f"SELECT * REPLACE ({parts}) FROM ({text})"
             else:
-                SQL[key] = sql
+                SQL[key] = text
         return fn
 
     return wrap
