@@ -73,3 +73,16 @@ def stars(p: str | Column) -> Column:
     """Significance marks of a p-value."""
     c = F.col(p) if isinstance(p, str) else p
     return F.when(c < 0.001, "***").when(c < 0.01, "**").when(c < 0.05, "*").otherwise("ns")
+
+
+def feature_block(c: str) -> list[Column]:
+    """The numeric text features that a model reads, in one projection."""
+    return [
+        F.length(c).cast("bigint").alias("text_len"), word_count(c).alias("word_count"),
+        has(c, "http", literal=True).cast("bigint").alias("has_url"),
+        has(c, "?", literal=True).cast("bigint").alias("has_question"),
+        has(c, "!", literal=True).cast("bigint").alias("has_exclaim"),
+        has_emoji(c).cast("bigint").alias("has_emoji"),
+        starts_with(c, "@").cast("bigint").alias("has_mention"),
+        caps_ratio(c).alias("caps_ratio"),
+    ]

@@ -59,8 +59,8 @@ def met_class_report(t):
     return me.class_report(predicted(t))
 
 
-RATES = """tp, fp, fn, tn, (tp + tn) / (tp + fp + fn + tn) AS accuracy, coalesce(tp / (tp + fp), 0) AS precision,
-  coalesce(tp / (tp + fn), 0) AS recall, coalesce(2 * tp / (2 * tp + fp + fn), 0) AS f1, coalesce(tn / (tn + fp), 0) AS specificity,
+RATES = """tp, fp, fn, tn, (tp + tn) / (tp + fp + fn + tn) AS accuracy, coalesce(tp / nullif(tp + fp, 0), 0) AS precision,
+  coalesce(tp / nullif(tp + fn, 0), 0) AS recall, coalesce(2 * tp / nullif(2 * tp + fp + fn, 0), 0) AS f1, coalesce(tn / nullif(tn + fp, 0), 0) AS specificity,
   coalesce((tp::DOUBLE * tn - fp::DOUBLE * fn) / nullif(sqrt((tp + fp)::DOUBLE * (tp + fn) * (tn + fp) * (tn + fn)), 0), 0) AS mcc"""
 
 

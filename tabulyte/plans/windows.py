@@ -286,7 +286,7 @@ def win_changepoint(t):
 def win_changepoint_peaks(t):
     s = fx(t)
     r = s.with_columns(ret=se.pct_change(s))
-    return se.change_points(se.Series(r.df.filter("ret IS NOT NULL"), s.keys, s.time, "ret"), min_t=1.0)
+    return se.change_points(se.Series(r.df.filter("ret IS NOT NULL"), s.keys, s.time, "ret"), min_t=0.1)
 
 
 @query(
