@@ -6,7 +6,7 @@ from importlib import import_module
 
 from tabulyte.plans.registry import PLANS, SQL
 
-MODULES = ("sources", "cleaning", "aggregates", "scalars", "joins_sets", "windows", "inference", "evaluation", "texts", "time_series")
+MODULES = ("sources", "cleaning", "aggregates", "scalars", "joins_sets", "windows", "inference", "evaluation", "texts", "time_series", "anomalies", "learning")
 
 for _name in MODULES:
     import_module(f"{__name__}.{_name}")
