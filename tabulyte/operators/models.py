@@ -20,6 +20,7 @@ from tabulyte.operators import metrics as me
 from tabulyte.operators.ordering import positions
 from tabulyte.operators.prep import kfold_stratified
 from tabulyte.operators.sampling import hashed
+from tabulyte.session import written
 
 SEED = 42
 
@@ -60,6 +61,17 @@ def linear_svm(label: str, strength: float = 0.01, **kw) -> LinearSVC:
     return LinearSVC(labelCol=label, regParam=strength, maxIter=50, **kw)
 
 
+ROWS_PER_TASK = 20_000
+
+
+def training_rows(df: DataFrame) -> DataFrame:
+    """Keep the rows for the passes of an iterative fit, in as few partitions as
+    their number asks for: small tables would spend each pass on empty tasks, and
+    large ones keep the partitions they have."""
+    kept = df.persist()
+    return kept.coalesce(max(1, -(-kept.count() // ROWS_PER_TASK)))
+
+
 def fit(train: DataFrame, stages: Sequence, estimator) -> PipelineModel:
     return Pipeline(stages=[*stages, estimator]).fit(train)
 
@@ -89,7 +101,7 @@ def compare(train: DataFrame, test: DataFrame, models: Mapping[str, tuple[Sequen
     for name, (stages, estimator) in models.items():
         one = score(fit(train, stages, estimator), test, [id_col, label]).select(F.lit(name).alias("model"), "*")
         stacked = one if stacked is None else stacked.unionByName(one)
-    table = metric_table(stacked, label, ["model"])
+    table = metric_table(written(stacked, "scores"), label, ["model"])
     best = table.agg(F.max_by("model", F.struct("f1", "auc"))).scalar()
     return table.withColumn("_best", best).withColumn("best", F.col("model") == F.col("_best")).drop("_best")
 
@@ -100,15 +112,15 @@ def cross_validate(df: DataFrame, stages: Sequence, estimator, id_col: str, labe
 
     Scaling, and oversampling where asked for, see the training folds only.
     """
-    dealt = kfold_stratified(df, [id_col], label, folds).persist()
+    dealt = training_rows(kfold_stratified(df, [id_col], label, folds))
     stacked = None
     for k in range(folds):
         train = dealt.filter(F.col("fold") != k).drop("fold")
-        train = resample(train) if resample else train
+        train = training_rows(resample(train)) if resample else train
         model = fit(train, stages, estimator)
         one = score(model, dealt.filter(F.col("fold") == k), [id_col, label, "fold"])
         stacked = one if stacked is None else stacked.unionByName(one)
-    table = metric_table(stacked, label, ["fold"])
+    table = metric_table(written(stacked, "scores"), label, ["fold"])
     long = table.unpivot([], ["auc", "average_precision", "f1"], "metric", "value")
     return long.groupBy("metric").agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
 
@@ -117,7 +129,7 @@ def learning_curve(df: DataFrame, stages: Sequence, estimator, id_col: str, labe
                    sizes: Sequence[float] = (0.1, 0.25, 0.4, 0.6, 0.8, 1.0), folds: int = 3) -> DataFrame:
     """Training and validation AUC at growing shares of the training folds."""
     dealt = kfold_stratified(df, [id_col], label, folds)
-    placed = dealt.withColumn("_u", F.pmod(hashed([id_col], SEED + 1), F.lit(1_000_000)) / 1_000_000.0).persist()
+    placed = training_rows(dealt.withColumn("_u", F.pmod(hashed([id_col], SEED + 1), F.lit(1_000_000)) / 1_000_000.0))
     stacked = None
     for size in sizes:
         for k in range(folds):
@@ -128,7 +140,7 @@ def learning_curve(df: DataFrame, stages: Sequence, estimator, id_col: str, labe
                     F.lit(size).alias("size"), F.lit(k).alias("fold"), F.lit(part).alias("part"), label, "p"
                 )
                 stacked = one if stacked is None else stacked.unionByName(one)
-    auc = me.roc_auc(stacked, label, "p", ["size", "fold", "part"])
+    auc = me.roc_auc(written(stacked, "scores"), label, "p", ["size", "fold", "part"])
     return auc.groupBy("size", "part").agg(F.avg("auc").alias("auc"), F.stddev_pop("auc").alias("std"))
 
 
@@ -245,32 +257,32 @@ def errors(scored: DataFrame, ids: Sequence[str], label: str, pred: str, k: int,
     ).select("*", "_t.errors", "_t.error_rate").drop("_t")
 
 
-def permuted_pairs(df: DataFrame, id_col: str, features: Sequence[str], seed: int) -> DataFrame:
-    """Each row with the features of another row, by a hashed permutation."""
-    here = positions(df.select(id_col), [id_col], name="_p").select(F.col(id_col).alias("_id"), "_p")
+def permuted_pairs(df: DataFrame, id_col: str, features: Sequence[str], repeats: int, seed: int = SEED) -> DataFrame:
+    """Each row, once per repeat, with the features of another row: a hashed
+    permutation per repeat, all of them found in one ordered pass."""
     values = F.struct(*[F.col(c).cast("double").alias(c) for c in features]).alias("other")
-    there = positions(df.select(id_col, values, hashed([id_col], seed).alias("_h")), ["_h", id_col], name="_p").select("_p", "other")
-    return df.join(here.join(there, "_p").select("_id", "other"), F.col(id_col) == F.col("_id")).drop("_id")
+    dealt = df.select(id_col, values).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    there = positions(dealt.withColumn("_h", F.xxhash64(id_col, "repeat", F.lit(seed))), ["_h", id_col], ["repeat"], name="_p")
+    here = positions(df.select(F.col(id_col).alias("_id")), ["_id"], name="_p")
+    pairs = here.join(there.select("repeat", "other", "_p"), "_p").select("_id", "repeat", "other")
+    return df.join(pairs, F.col(id_col) == F.col("_id")).drop("_id")
 
 
 def permutation_importance(model: PipelineModel, df: DataFrame, features: Sequence[str], id_col: str, label: str,
                            repeats: int = 10) -> DataFrame:
     """Loss of AUC when one column is shuffled: mean and deviation over repeats.
 
-    A repeat pairs every row with another one once and derives all column
-    variants from that pair, so the model scores everything in one pass.
+    A repeat pairs every row with another one and derives all column variants from
+    that pair, so the model scores everything in one pass.
     """
     rows = df.select(id_col, label, *[F.col(c).cast("double").alias(c) for c in features])
     base = me.roc_auc(score(model, rows, [label]), label, "p").scalar()
-    stacked = None
-    for r in range(repeats):
-        one = permuted_pairs(rows, id_col, features, SEED + r).withColumn("repeat", F.lit(r))
-        stacked = one if stacked is None else stacked.unionByName(one)
-    variants = stacked.withColumn("feature", F.explode(F.lit(list(features))))
+    variants = permuted_pairs(rows, id_col, features, repeats).withColumn("feature", F.explode(F.lit(list(features))))
     swapped = variants.select("repeat", "feature", label, *[
         F.when(F.col("feature") == c, F.col(f"other.{c}")).otherwise(F.col(c)).alias(c) for c in features
     ])
-    auc = me.roc_auc(score(model, swapped, ["repeat", "feature", label]), label, "p", ["repeat", "feature"])
+    scored = written(score(model, swapped, ["repeat", "feature", label]), "permuted")
+    auc = me.roc_auc(scored, label, "p", ["repeat", "feature"])
     drop = auc.withColumn("_base", base).withColumn("drop", F.col("_base") - F.col("auc"))
     return drop.groupBy("feature").agg(F.avg("drop").alias("importance"), F.stddev_pop("drop").alias("std"))
 
@@ -298,16 +310,13 @@ def sampled_shapley(model: PipelineModel, df: DataFrame, features: Sequence[str]
     """
     p = len(features)
     rows = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in features])
-    stacked = None
-    for o in range(orders):
-        turn = F.array_sort(F.array(*[
-            F.struct(F.xxhash64(id_col, F.lit(o), F.lit(i)).alias("h"), F.lit(i).alias("i")) for i in range(p)
-        ]))
-        one = permuted_pairs(rows, id_col, features, SEED + o).withColumns({
-            "order": F.lit(o), "_turn": F.transform(turn, lambda s: s["i"]),
-        })
-        stacked = one if stacked is None else stacked.unionByName(one)
-    steps = stacked.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(p))))
+    turn = F.array_sort(F.array(*[
+        F.struct(F.xxhash64(id_col, "order", F.lit(i)).alias("h"), F.lit(i).alias("i")) for i in range(p)
+    ]))
+    paired = permuted_pairs(rows, id_col, features, orders).withColumnRenamed("repeat", "order").withColumn(
+        "_turn", F.transform(turn, lambda s: s["i"])
+    )
+    steps = paired.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(p))))
     mixed = steps.select(id_col, "order", "step", "_turn", *[
         F.when(F.array_position("_turn", F.lit(i)) <= F.col("step"), F.col(c)).otherwise(F.col(f"other.{c}")).alias(c)
         for i, c in enumerate(features)

@@ -9,7 +9,7 @@ Visitors of a crowded leaf are spread over several copies of it.
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from itertools import count
 
 import numpy as np
@@ -220,10 +220,11 @@ def local_outlier_factor(df: DataFrame, id_col: str, features: Sequence[str], k:
     return rows.join(by_vector, "x").select("id", "lof")
 
 
-def flag_top(scores: DataFrame, col: str, share: float, name: str) -> DataFrame:
-    """Flag the scores above the (1 - share) quantile."""
-    limit = quantiles(scores, col, {"q": 1 - share}).scalar()
-    return scores.withColumn("_q", limit).withColumn(name, F.col(col) > F.col("_q")).drop("_q")
+def flag_top(scores: DataFrame, col: str, flags: Mapping[str, float]) -> DataFrame:
+    """Flag the scores above the (1 - share) quantile, for each named share."""
+    limits = quantiles(scores, col, {n: 1 - share for n, share in flags.items()})
+    one = limits.select(F.struct(*flags)).scalar()
+    return scores.withColumn("_q", one).withColumns({n: F.col(col) > F.col(f"_q.{n}") for n in flags}).drop("_q")
 
 
 def smote(df: DataFrame, id_col: str, features: Sequence[str], label: str, k: int = 5, seed: int = 42) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tabulyte.operators import aggregates as ag, isolation, neighbours as nb
 from tabulyte.operators.sampling import top_per_group
 from tabulyte.plans.registry import query
+from tabulyte.session import written
 
 # Customers in the plane of balance and order volume, both in thousands.
 PLANE_SQL = """(SELECT c_custkey AS id, c_mktsegment AS grp, c_acctbal / 1000 AS a, round(total / 100000, 7) AS b FROM customer
@@ -39,8 +40,9 @@ LOF_SQL = f"""(WITH n AS MATERIALIZED (SELECT * FROM {near_sql(25)}), k AS (SELE
 
 @query("ml_lof", f"SELECT id, lof, lof > (SELECT quantile_cont(lof, 0.95) FROM {LOF_SQL}) AS outlier FROM {LOF_SQL}", {6: "lof"})
 def ml_lof(t):
-    scores = nb.local_outlier_factor(plane(t), "id", ["a", "b"], 25).withColumn("lof", F.round("lof", 10))
-    return nb.flag_top(scores, "lof", 0.05, "outlier")
+    factors = nb.local_outlier_factor(plane(t), "id", ["a", "b"], 25)
+    scores = written(factors.withColumn("lof", F.round("lof", 10)), "factors")
+    return nb.flag_top(scores, "lof", {"outlier": 0.05})
 
 
 def forest(t):
@@ -49,10 +51,7 @@ def forest(t):
 
 @query("ml_isolation_forest")
 def ml_isolation_forest(t):
-    flagged = forest(t)
-    for pct in (1, 3, 5):
-        flagged = nb.flag_top(flagged, "score", pct / 100, f"outlier_{pct}")
-    return flagged
+    return nb.flag_top(written(forest(t), "scores"), "score", {"outlier_1": 0.01, "outlier_3": 0.03, "outlier_5": 0.05})
 
 
 VOTES_SQL = f"""(SELECT id, grp, ((a < 0)::BIGINT + (b > 30)::BIGINT) AS votes FROM {PLANE_SQL})"""

@@ -27,7 +27,7 @@ def labelled_features(t):
 
 
 def parts(t):
-    rows = split_stratified(labelled_features(t), ["doc_id"], "y").persist()
+    rows = mo.training_rows(split_stratified(labelled_features(t), ["doc_id"], "y"))
     return rows.filter(~F.col("is_test")), rows.filter("is_test")
 
 
@@ -101,7 +101,7 @@ def ml_multiclass(t):
     rows = t.embeddings.select("vec_id", F.pmod("label", F.lit(3)).alias("y"), *[
         F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(64)
     ])
-    dealt = split_stratified(rows, ["vec_id"], "y").persist()
+    dealt = mo.training_rows(split_stratified(rows, ["vec_id"], "y"))
     stages = mo.feature_stages([f"e{i}" for i in range(64)], scale=False)
     return mo.multiclass(dealt.filter(~F.col("is_test")), stages, dealt.filter("is_test"), "vec_id", "y", 3)
 
@@ -119,7 +119,7 @@ def ml_kmeans(t):
 
 @query("ml_tree_rules")
 def ml_tree_rules(t):
-    return mo.tree_rules(labelled_features(t), FEATURES, "y", 3)
+    return mo.tree_rules(mo.training_rows(labelled_features(t)), FEATURES, "y", 3)
 
 
 @query("ml_learning_curve")

@@ -70,8 +70,9 @@ ADD_SQL = decompose_sql(7, DAILY_SERIES_SQL, "series", "day", "volume", "additiv
 def ts_decompose_add(t):
     s = daily(t)
     parts = ts.decompose(s, 7, extrapolate=True)
-    shares = ts.variance_shares(parts, s.keys, s.value)
-    return parts.join(shares, "series").drop("series", "volume")
+    names = ["trend_pct", "seasonal_pct", "resid_pct"]
+    shares = ts.variance_shares(parts, s.keys, s.value).select(F.struct(*names)).scalar()
+    return parts.withColumn("_s", shares).select("day", "trend", "seasonal", "resid", *[f"_s.{n}" for n in names])
 
 
 @query(
