@@ -47,10 +47,14 @@ def _stripped(c: str | Column) -> Column:
     return F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), LINKS, ""), HANDLES, "")
 
 
-def clean_spaced(c: str | Column) -> Column:
+def letters_only(c: str | Column) -> Column:
     """Lower case; links and handles removed; other non-letters become spaces."""
-    letters = F.regexp_replace(_stripped(c), r"[^a-z\s]", " ")
-    return F.trim(F.regexp_replace(letters, r"\s+", " "))
+    return F.regexp_replace(_stripped(c), r"[^a-z\s]", " ")
+
+
+def clean_spaced(c: str | Column) -> Column:
+    """As `letters_only`, with runs of white space squeezed to one blank."""
+    return F.trim(F.regexp_replace(letters_only(c), r"\s+", " "))
 
 
 def clean_deleted(c: str | Column) -> Column:

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tabulyte.functions.text import clean_spaced
+from tabulyte.functions.text import letters_only
 from tabulyte.operators.sampling import top_per_group
 
 BROADCAST_TERMS = 200_000
@@ -24,7 +24,7 @@ def english_stop_words() -> list[str]:
 
 def tokens(text: str, stop: Sequence[str] = ()) -> Column:
     """Cleaned words of at least two letters, without stop words."""
-    parts = F.split(clean_spaced(text), " ")
+    parts = F.split(letters_only(text), r"\s+")
     keep = (lambda w: (F.length(w) >= 2) & ~w.isin(list(stop))) if stop else (lambda w: F.length(w) >= 2)
     return F.filter(parts, keep)
 
@@ -64,9 +64,8 @@ def _bounded(table: DataFrame, max_features: int) -> DataFrame:
 def term_counts(df: DataFrame, text: str, doc: str, keep: Sequence[str] = (), max_features: int = 2000,
                 stop: Sequence[str] = (), sizes=(1, 1)) -> DataFrame:
     """`(doc, keep, term, tf)` over the most frequent terms."""
-    rows = df.select(doc, *keep, text)
-    vocab = vocabulary(exploded(rows, text, [], stop, sizes), max_features).select("term")
-    long = exploded(rows.repartition(doc), text, [doc, *keep], stop, sizes)
+    long = exploded(df.select(doc, *keep, text).repartition(doc), text, [doc, *keep], stop, sizes)
+    vocab = vocabulary(long, max_features).select("term")
     return long.join(_bounded(vocab, max_features), "term").groupBy(doc, *keep, "term").agg(
         F.count(F.lit(1)).alias("tf")
     )

@@ -360,7 +360,7 @@ def causal_propensity(t):
         SELECT (SELECT count(*) FROM pairs) AS pairs, avg(v) FILTER (y) AS treated_mean, avg(v) FILTER (NOT y) AS control_mean,
                avg(v) FILTER (y) - avg(v) FILTER (NOT y) AS difference,
                (SELECT u FROM {mann_whitney_sql('SELECT * FROM v')}) AS u, (SELECT z FROM {mann_whitney_sql('SELECT * FROM v')}) AS z FROM v""",
-    {4: "treated_mean control_mean difference", 1: "u", 6: "z"},
+    {6: "treated_mean control_mean difference", 1: "u", 7: "z"},
 )
 def causal_psm(t):
     return causal.matched_effect(scored(t), "id", "y", "p", "amount").drop("p_value")

@@ -40,9 +40,17 @@ def _plain_types(df: DataFrame) -> DataFrame:
     return df.withColumns(cast) if cast else df
 
 
+def _shift(digits: int) -> float:
+    return float(f"1.37e-{digits + 2}")
+
+
 def query(key: str, sql: str | Callable[[], str] | None = None, rounding: Mapping[int, str] | None = None):
     """Register a plan.  `rounding` maps digits to column names and is applied
-    to both sides, so that the summation order does not show in the result."""
+    to both sides, so that the summation order does not show in the result.
+
+    A mean of prices may lie exactly half-way between two rounded values; a small
+    shift on both sides keeps such a tie from falling either way.
+    """
 
     def wrap(fn: Callable[[Tables], DataFrame]):
         digits = {c: d for d, names in (rounding or {}).items() for c in names.split()}
@@ -50,7 +58,10 @@ def query(key: str, sql: str | Callable[[], str] | None = None, rounding: Mappin
         def run(spark: SparkSession, folder: str) -> DataFrame:
             df = _plain_types(fn(Tables(spark, folder)))
             if digits:
-                df = df.withColumns({c.strip('"'): F.round(F.col(c.strip('"')), d) + F.lit(0.0) for c, d in digits.items()})
+                df = df.withColumns({
+                    c.strip('"'): F.round(F.col(c.strip('"')) + F.lit(_shift(d)), d) + F.lit(0.0)
+                    for c, d in digits.items()
+                })
             return df
 
         if key in PLANS:
@@ -59,7 +70,7 @@ def query(key: str, sql: str | Callable[[], str] | None = None, rounding: Mappin
         text = sql() if callable(sql) else sql
         if text is not None:
             if digits:
-                parts = ", ".join(f"round({c}, {d}) + 0.0 AS {c}" for c, d in digits.items())
+                parts = ", ".join(f"round({c} + {_shift(d)!r}, {d}) + 0.0 AS {c}" for c, d in digits.items())
                 SQL[key] = f"SELECT * REPLACE ({parts}) FROM ({text})"
             else:
                 SQL[key] = text

@@ -6,14 +6,15 @@ from pyspark.sql import functions as F
 
 from tabulyte.operators.series import Series
 
-# Daily rates: one row per (pair, day).
+# Daily rates: one row per (pair, day); whole cents keep the mean exact.
 FX_SQL = """(SELECT o_orderpriority AS pair, CAST(o_orderdate AS DATE) AS d,
-             round(1 + avg(o_totalprice) / 5000000, 6) AS rate FROM orders GROUP BY ALL)"""
+             (1000000 + CAST(sum(CAST(round(o_totalprice * 100) AS BIGINT)) AS BIGINT) // (count(*) * 500)) / 1000000 AS rate
+             FROM orders GROUP BY ALL)"""
 
 
 def fx(t) -> Series:
     df = t.orders.groupBy(F.col("o_orderpriority").alias("pair"), F.to_date("o_orderdate").alias("d")).agg(
-        F.round(1 + F.avg("o_totalprice") / 5000000, 6).alias("rate")
+        F.expr("(1000000 + sum(cast(round(o_totalprice * 100) AS bigint)) div (count(1) * 500)) / 1000000").alias("rate")
     )
     return Series(df, ("pair",), "d", "rate")
 

@@ -323,10 +323,10 @@ def win_last_value(t):
 @query(
     "win_rank_groups",
     """SELECT p_brand, mean, row_number() OVER (ORDER BY mean DESC, p_brand) AS rank
-       FROM (SELECT p_brand, round(avg(p_retailprice), 4) AS mean FROM part GROUP BY 1)""",
+       FROM (SELECT p_brand, round(avg(p_retailprice) + 0.00000137, 4) AS mean FROM part GROUP BY 1)""",
 )
 def win_rank_groups(t):
-    groups = t.part.groupBy("p_brand").agg(F.round(F.avg("p_retailprice"), 4).alias("mean"))
+    groups = t.part.groupBy("p_brand").agg(F.round(F.avg("p_retailprice") + 0.00000137, 4).alias("mean"))
     return se.ranked_groups(groups, "mean", ["p_brand"])
 
 
