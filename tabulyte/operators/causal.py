@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabulyte.operators.hypothesis import mann_whitney_counts
 from tabulyte.operators.joins import nearest_within
+from tabulyte.session import written
 
 
 def propensity(df: DataFrame, features: Sequence[str], treatment: str, name: str = "propensity") -> DataFrame:
@@ -37,7 +38,7 @@ def matched_effect(
     rows = df.select(id_col, treatment, score, outcome)
     treated = rows.filter(F.col(treatment) == 1)
     control = rows.filter(F.col(treatment) == 0)
-    pairs = nearest_within(treated, control.select(id_col, score), score, id_col, caliper)
+    pairs = written(nearest_within(treated, control.select(id_col, score), score, id_col, caliper), "pairs")
     uses = pairs.groupBy("control_id").agg(F.count(F.lit(1)).alias("w"))
     used = control.join(uses, control[id_col] == uses.control_id).select(
         F.lit(0).alias("side"), F.col(outcome).alias("v"), "w"

@@ -51,9 +51,7 @@ def nearest_within(
     t = treated.select(F.col(score).alias("_s"), F.lit(None).cast(c.schema["_id"].dataType).alias("_id"))
     distinct = c.unionByName(t).groupBy("_s").agg(F.min("_id").alias("_id"))
     own = F.when(F.col("_id").isNotNull(), F.struct("_s", "_id"))
-    below = running(distinct, ["_s"], {"_below": ("max", own)})
-    both = running(below, ["_s"], {"_above": ("min", F.when(F.col("_id").isNotNull(), F.struct("_s", "_id")))},
-                   reverse=True)
+    both = running(distinct, ["_s"], {"_below": ("max", own)}, ahead={"_above": ("min", own)})
     choice = F.array_min(F.array_compact(F.array(*[
         F.when(F.col(side).isNotNull(), F.struct(
             F.abs(F.col("_s") - F.col(f"{side}._s")).alias("distance"),

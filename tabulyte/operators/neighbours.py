@@ -72,26 +72,34 @@ def _leaf_of(x: np.ndarray, tree) -> np.ndarray:
 
 
 def _nearest(query: np.ndarray, points: np.ndarray, weights: np.ndarray, k: int, own: np.ndarray | None):
-    """Per query the nearest points until their weights reach k.
+    """For a block of queries, the nearest points until their weights reach k, as
+    arrays of query row, point row, distance and weight.
 
-    `own` gives each query's own position among the points, whose weight counts
-    one less and which is left out when no copy remains.
+    `own` gives each query's own row among the points: it counts one copy less,
+    and is left out when no other copy remains.
     """
     d = np.sqrt(np.maximum(((query[:, None, :] - points[None, :, :]) ** 2).sum(axis=2), 0.0))
-    out = []
-    for i in range(len(query)):
-        w = weights
-        if own is not None:
-            w = weights.copy()
-            w[own[i]] -= 1
-        few = min(len(points), k + 1)
-        near = np.argpartition(d[i], few - 1)[:few]
-        near = near[np.lexsort((near, d[i][near]))]
-        near = near[w[near] > 0]
-        reached = np.cumsum(w[near])
-        stop = int(np.searchsorted(reached, k)) + 1
-        out.append([(int(j), float(d[i][j]), int(w[j])) for j in near[:stop]])
-    return out
+    few = min(len(points), k + 1)
+    near = np.argpartition(d, few - 1, axis=1)[:, :few] if few < len(points) else np.tile(np.arange(few), (len(d), 1))
+    dist = np.take_along_axis(d, near, axis=1)
+    order = np.lexsort((near, dist), axis=1)
+    near, dist = np.take_along_axis(near, order, axis=1), np.take_along_axis(dist, order, axis=1)
+    w = weights[near]
+    if own is not None:
+        w = w - (near == own[:, None])
+    before = np.cumsum(w, axis=1) - w
+    row, at = np.nonzero((before < k) & (w > 0))
+    return row, near[row, at], dist[row, at], w[row, at]
+
+
+def _neighbour_rows(query, qid, points, pid, weights, k, own=None, bound=None) -> pd.DataFrame:
+    """All blocks of queries of one task as one frame."""
+    parts = []
+    for rows in _slices(len(query), points):
+        r, j, d, w = _nearest(query[rows], points, weights, k, None if own is None else own[rows])
+        part = pd.DataFrame({"id": qid[rows][r], "nb": pid[j], "d": d, "w": w})
+        parts.append(part if bound is None else part[part["d"].to_numpy() <= bound[rows][r]])
+    return pd.concat(parts, ignore_index=True)
 
 
 NEIGHBOUR = "id bigint, nb bigint, d double, w bigint"
@@ -126,11 +134,7 @@ def knn(points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     def local(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("id").reset_index(drop=True)
         x, w, ids = np.stack(pdf["x"].to_numpy()), pdf["w"].to_numpy(), pdf["id"].to_numpy()
-        out = []
-        for rows in _slices(len(x), x):
-            for i, found in zip(rows, _nearest(x[rows], x, w, k, rows)):
-                out += [(ids[i], ids[j], d, m) for j, d, m in found]
-        return pd.DataFrame(out, columns=["id", "nb", "d", "w"])
+        return _neighbour_rows(x, ids, x, ids, w, k, own=np.arange(len(x)))
 
     inside = written(placed.groupBy("leaf").applyInPandas(local, NEIGHBOUR), "inside")
     if leaves == 1:
@@ -174,15 +178,12 @@ def knn(points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     hosts = placed.join(crowds, "leaf").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
     def receive(key: tuple, guest: pd.DataFrame, host: pd.DataFrame) -> pd.DataFrame:
-        out = []
-        if len(guest) and len(host):
-            host = host.sort_values("id").reset_index(drop=True)
-            x, w, ids = np.stack(host["x"].to_numpy()), host["w"].to_numpy(), host["id"].to_numpy()
-            q, qid, far = np.stack(guest["x"].to_numpy()), guest["id"].to_numpy(), guest["bound"].to_numpy()
-            for rows in _slices(len(q), x):
-                for i, found in zip(rows, _nearest(q[rows], x, w, k, None)):
-                    out += [(qid[i], ids[j], d, m) for j, d, m in found if d <= far[i]]
-        return pd.DataFrame(out, columns=["id", "nb", "d", "w"])
+        if not len(guest) or not len(host):
+            return pd.DataFrame({"id": [], "nb": [], "d": [], "w": []})
+        host = host.sort_values("id").reset_index(drop=True)
+        x, w, ids = np.stack(host["x"].to_numpy()), host["w"].to_numpy(), host["id"].to_numpy()
+        q, qid, far = np.stack(guest["x"].to_numpy()), guest["id"].to_numpy(), guest["bound"].to_numpy()
+        return _neighbour_rows(q, qid, x, ids, w, k, bound=far)
 
     outside = guests.select("id", "x", "bound", "leaf", "part").groupBy("leaf", "part").cogroup(
         hosts.select("id", "x", "w", "leaf", "part").groupBy("leaf", "part")

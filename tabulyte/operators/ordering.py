@@ -67,58 +67,64 @@ def with_blocks(df: DataFrame, order: Sequence[str], name: str = "_block") -> Da
     )
 
 
+Measures = Mapping[str, tuple[str, str | Column]]
+
+
 def running(
     df: DataFrame,
     order: Sequence[str],
-    out: Mapping[str, tuple[str, str | Column]],
+    out: Measures,
     keys: Sequence[str] = (),
     reverse: bool = False,
     totals: bool = False,
+    ahead: Measures | None = None,
 ) -> DataFrame:
     """Running `sum`, `max` or `min` in the given order, inclusive of the row.
 
     `order` must identify a row within its keys (aggregate to distinct values
-    first, or add an id).  `reverse` accumulates from the far end; `totals`
-    adds `<name>_total`, the value over the whole key.
+    first, or add an id).  `reverse` accumulates from the far end, as do the
+    measures in `ahead`, which share the blocks and the shuffle of `out`;
+    `totals` adds `<name>_total`, the value over the whole key.
     """
     keys = list(keys)
-    df = df.select("*", *[_as_column(c).alias(f"_v_{n}") for n, (_, c) in out.items()])
-    blocked = with_blocks(df, order)
-    direction = (lambda c: F.col(c).desc()) if reverse else (lambda c: F.col(c).asc())
     part = [*keys, "_block"]
-    inside_w = (
-        W.partitionBy(*part)
-        .orderBy(*[direction(c) for c in order])
-        .rowsBetween(W.unboundedPreceding, 0)
-    )
+    measures = {n: (a, c, reverse) for n, (a, c) in out.items()}
+    measures.update({n: (a, c, True) for n, (a, c) in (ahead or {}).items()})
+    wanted = df.columns
+    df = df.select("*", *[_as_column(c).alias(f"_v_{n}") for n, (_, c, _) in measures.items()])
+    blocked = with_blocks(df, order)
+
+    def toward(backward: bool, c: str) -> Column:
+        return F.col(c).desc() if backward else F.col(c).asc()
+
+    def within(backward: bool):
+        w = W.partitionBy(*part).orderBy(*[toward(backward, c) for c in order])
+        return w.rowsBetween(W.unboundedPreceding, 0)
+
+    def before(backward: bool):
+        return W.partitionBy(*keys).orderBy(toward(backward, "_block")).rowsBetween(W.unboundedPreceding, -1)
+
     inside = blocked.select(
-        "*", *[_AGG[a](f"_v_{n}").over(inside_w).alias(f"_i_{n}") for n, (a, _) in out.items()]
+        "*", *[_AGG[a](f"_v_{n}").over(within(back)).alias(f"_i_{n}") for n, (a, _, back) in measures.items()]
     )
     per_block = blocked.groupBy(*part).agg(
-        *[_AGG[a](f"_v_{n}").alias(f"_b_{n}") for n, (a, _) in out.items()]
-    )
-    before = (
-        W.partitionBy(*keys).orderBy(direction("_block")).rowsBetween(W.unboundedPreceding, -1)
+        *[_AGG[a](f"_v_{n}").alias(f"_b_{n}") for n, (a, _, _) in measures.items()]
     )
     carried = per_block.select(
         *[F.col(c).alias(f"_k_{c}") for c in part],
-        *[_AGG[a](f"_b_{n}").over(before).alias(f"_c_{n}") for n, (a, _) in out.items()],
+        *[_AGG[a](f"_b_{n}").over(before(back)).alias(f"_c_{n}") for n, (a, _, back) in measures.items()],
         *[
             _AGG[a](f"_b_{n}").over(W.partitionBy(*keys)).alias(f"{n}_total")
-            for n, (a, _) in out.items()
+            for n, (a, _, _) in measures.items()
             if totals
         ],
     )
     match = [F.col(c).eqNullSafe(F.col(f"_k_{c}")) for c in keys]
     match.append(F.col("_block") == F.col("_k__block"))
     joined = inside.join(carried, match, "left")
-    result = joined
-    for n, (a, _) in out.items():
-        result = result.withColumn(n, _COMBINE[a](F.col(f"_i_{n}"), F.col(f"_c_{n}")))
-    keep = [c for c in df.columns if not c.startswith("_v_")] + list(out)
-    if totals:
-        keep += [f"{n}_total" for n in out]
-    return result.select(*keep)
+    combined = [_COMBINE[a](F.col(f"_i_{n}"), F.col(f"_c_{n}")).alias(n) for n, (a, _, _) in measures.items()]
+    kept = [F.col(c) for c in wanted if c not in measures]
+    return joined.select(*kept, *combined, *[f"{n}_total" for n in measures if totals])
 
 
 def positions(

@@ -147,12 +147,12 @@ def interpolate(s: Series) -> DataFrame:
     at = F.row_number().over(s.w)
     known = s.with_columns(_pos=at)
     known = known.with_columns(_kpos=F.when(F.col(s.value).isNotNull(), F.col("_pos")))
-    ahead = s.w.rowsBetween(0, W.unboundedFollowing)
+    back = W.partitionBy(*s.keys).orderBy(F.desc(s.time)).rowsBetween(W.unboundedPreceding, 0)
     cols = {
         "_a": F.last(s.value, ignorenulls=True).over(s.so_far),
         "_pa": F.last("_kpos", ignorenulls=True).over(s.so_far),
-        "_b": F.first(s.value, ignorenulls=True).over(ahead),
-        "_pb": F.first("_kpos", ignorenulls=True).over(ahead),
+        "_b": F.last(s.value, ignorenulls=True).over(back),
+        "_pb": F.last("_kpos", ignorenulls=True).over(back),
     }
     between = F.col("_a") + (F.col("_b") - F.col("_a")) * (F.col("_pos") - F.col("_pa")) / (F.col("_pb") - F.col("_pa"))
     filled = (

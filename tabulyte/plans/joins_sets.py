@@ -123,7 +123,7 @@ TOKENS_SQL = f"""(SELECT lang, unnest(string_split({CLEAN_SQL}, ' ')) AS token F
 
 
 def clean_tokens(t):
-    return t.documents.select("lang", F.explode(tx.words(tx.clean_spaced("text"))).alias("token"))
+    return t.spread("documents").select("lang", F.explode(tx.words(tx.clean_spaced("text"))).alias("token"))
 
 
 @query(

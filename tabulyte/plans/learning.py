@@ -20,7 +20,7 @@ LINES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 def labelled_features(t):
     """One row per labelled document: id, text features, quality as y."""
-    block = t.documents.select("doc_id", *tx.feature_block("text"))
+    block = t.spread("documents").select("doc_id", *tx.feature_block("text"))
     return block.join(t.labels.select("doc_id", F.col("quality").cast("int").alias("y")), "doc_id").select(
         "doc_id", "y", *[F.col(c).cast("double").alias(c) for c in FEATURES]
     )
@@ -186,7 +186,7 @@ def ml_counterfactual(t):
 
 def saved_text_model(t):
     """A text model of document quality, trained and saved in the shared folder."""
-    rows = t.documents.select("doc_id", "text").join(t.labels.select("doc_id", F.col("quality").cast("int").alias("y")), "doc_id")
+    rows = t.spread("documents").select("doc_id", "text").join(t.labels.select("doc_id", F.col("quality").cast("int").alias("y")), "doc_id")
     path = landing_path(t.spark, "text-model")
     text_model.fit_text_model(rows, mo.logistic("y", maxIter=25), max_features=2000).write().save(path)
     return path
@@ -197,7 +197,7 @@ def ml_score_text(t):
     from pyspark.ml import PipelineModel
 
     model = PipelineModel.load(saved_text_model(t))
-    return text_model.score_text(model, t.conversations, ["conv_id", "turn"])
+    return text_model.score_text(model, t.spread("conversations", "conv_id"), ["conv_id", "turn"])
 
 
 @query("stream_score_text")

@@ -29,6 +29,14 @@ class Tables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
+    def spread(self, name: str, key: str = "doc_id") -> DataFrame:
+        """A table for text work, which costs far more than reading: where its
+        files give fewer splits than there are cores, the rows are dealt to all by key."""
+        df = getattr(self, name)
+        cores = self.spark.sparkContext.defaultParallelism
+        return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def _plain_types(df: DataFrame) -> DataFrame:
     wide = {T.IntegerType: "bigint", T.ShortType: "bigint", T.ByteType: "bigint",
             T.FloatType: "double", T.DecimalType: "double"}

@@ -22,7 +22,7 @@ def str_length(t):
     r"SELECT doc_id, len(list_filter(regexp_split_to_array(text, '\s+'), lambda x: x <> '')) AS n FROM documents",
 )
 def str_word_count(t):
-    return t.documents.select("doc_id", tx.word_count("text").alias("n"))
+    return t.spread("documents").select("doc_id", tx.word_count("text").alias("n"))
 
 
 @query(
@@ -53,7 +53,7 @@ def str_emoji(t):
     {8: "ratio"},
 )
 def str_caps_ratio(t):
-    return t.documents.select("doc_id", tx.caps_ratio("text").alias("ratio"))
+    return t.spread("documents").select("doc_id", tx.caps_ratio("text").alias("ratio"))
 
 
 STRIPPED_SQL = r"regexp_replace(regexp_replace(lower(text), 'http\S+|www\.\S+', '', 'g'), '@[A-Za-z0-9_]+', '', 'g')"
@@ -62,7 +62,7 @@ CLEAN_SQL = rf"trim(regexp_replace(regexp_replace({STRIPPED_SQL}, '[^a-z\s]', '
 
 @query("str_clean_space", f"SELECT doc_id, {CLEAN_SQL} AS clean FROM documents")
 def str_clean_space(t):
-    return t.documents.select("doc_id", tx.clean_spaced("text").alias("clean"))
+    return t.spread("documents").select("doc_id", tx.clean_spaced("text").alias("clean"))
 
 
 @query(
@@ -70,7 +70,7 @@ def str_clean_space(t):
     rf"SELECT doc_id, trim(regexp_replace(regexp_replace({STRIPPED_SQL}, '[^a-z\s]', '', 'g'), '\s+', ' ', 'g')) AS clean FROM documents",
 )
 def str_clean_delete(t):
-    return t.documents.select("doc_id", tx.clean_deleted("text").alias("clean"))
+    return t.spread("documents").select("doc_id", tx.clean_deleted("text").alias("clean"))
 
 
 @query("str_trim_split_part", "SELECT o_orderkey, trim(string_split(o_orderpriority, '-')[-1]) AS part FROM orders")
@@ -113,7 +113,7 @@ def str_first_digit(t):
         WHERE token <> '' GROUP BY ALL""",
 )
 def str_join_group(t):
-    tokens = t.documents.select("source", F.explode(tx.words("text")).alias("token"))
+    tokens = t.spread("documents").select("source", F.explode(tx.words("text")).alias("token"))
     return tokens.groupBy("source", "token").agg(ag.rows().alias("n"))
 
 

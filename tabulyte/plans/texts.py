@@ -31,7 +31,7 @@ def counts_sql(sizes, limit):
 
 
 def rows(t):
-    return t.documents.select("doc_id", "text").join(t.labels.select("doc_id", F.col("quality").alias("y")), "doc_id")
+    return t.spread("documents").select("doc_id", "text").join(t.labels.select("doc_id", F.col("quality").alias("y")), "doc_id")
 
 
 @query("txt_tokenize_count", f"SELECT y::BIGINT AS y, term, count(*) AS n FROM {grams_sql((1, 1))} GROUP BY ALL")
@@ -144,4 +144,4 @@ def txt_daily_volume(t):
     {8: "caps_ratio"},
 )
 def txt_feature_block(t):
-    return t.documents.select("doc_id", *tx.feature_block("text"))
+    return t.spread("documents").select("doc_id", *tx.feature_block("text"))

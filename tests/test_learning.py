@@ -3,12 +3,15 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
-from tabulyte.operators import isolation, metrics as me, models as mo, neighbours as nb, prep, survival
+from tabulyte.operators import isolation, metrics as me, models as mo, neighbours as nb, prep, survival, text_model
 from tabulyte.plans import learning
 from tabulyte.plans.registry import Tables
+from tabulyte.session import landing_path
+from tabulyte.streaming.scoring import score_stream
 
 QUERIES = entry_point.queries()
 
@@ -127,10 +130,16 @@ def test_shapley_adds_up(spark, sf):
 
 
 def test_stream_equals_batch(spark, sf):
-    batch = QUERIES["ml_score_text"](spark, sf).toPandas().sort_values(["conv_id", "turn"])
-    stream = QUERIES["stream_score_text"](spark, sf).toPandas().sort_values(["conv_id", "turn"])
-    assert (batch["label"].to_numpy() == stream["label"].to_numpy()).all()
-    assert np.allclose(batch["probability"], stream["probability"], atol=1e-6)
+    t = Tables(spark, sf)
+    path = learning.saved_text_model(t)
+    keep = ["conv_id", "turn"]
+    batch = text_model.score_text(PipelineModel.load(path), t.conversations, keep)
+    out = score_stream(spark, sf, "conversations.parquet", t.conversations.schema, path, keep,
+                       landing_path(spark, "scored"), landing_path(spark, "stream"))
+    stream = spark.read.parquet(out)
+    both = batch.join(stream.withColumnsRenamed({"label": "l", "probability": "q"}), keep)
+    assert stream.count() == batch.count() == both.count() > 0
+    assert both.filter((F.col("label") != F.col("l")) | (F.abs(F.col("probability") - F.col("q")) > 1e-12)).count() == 0
 
 
 @pytest.mark.parametrize("key", ["ml_pca", "ml_kmeans", "ml_tree_rules", "ml_counterfactual", "ml_odds_ratio", "viz_qq",
