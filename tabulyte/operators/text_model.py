@@ -8,6 +8,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from tabulyte.functions.text import HANDLES, LINKS
+from tabulyte.operators.models import training_rows
 
 # The cleaning step of functions.text.clean_spaced, as a stage that is saved with the model.
 CLEAN = (
@@ -35,7 +36,14 @@ def vector_stages(text: str = "text", max_features: int = 5000, bigrams: bool =
 
 
 def fit_text_model(df: DataFrame, estimator, text: str = "text", **kw) -> PipelineModel:
-    return Pipeline(stages=[*vector_stages(text, **kw), estimator]).fit(df)
+    """Text stages and classifier as one model.
+
+    The vectors are made once and kept; the classifier's passes then read them
+    instead of cleaning the texts again.
+    """
+    words = Pipeline(stages=vector_stages(text, **kw)).fit(df)
+    vectors = words.transform(df).select("features", estimator.getLabelCol())
+    return PipelineModel(stages=[*words.stages, estimator.fit(training_rows(vectors))])
 
 
 def score_text(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:
