@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabulyte.operators.ordering import melt, quantiles, value_counts
 
+WIDE = 12
 QUARTILES = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-ONE = F.lit
 
 
 def rows() -> Column:
@@ -51,9 +53,8 @@ def segment_ratio(df: DataFrame, segment: Column, value: str) -> DataFrame:
 def frequencies(df: DataFrame, col: str) -> DataFrame:
     """Count and percentage per non-null value, most frequent first."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(col).agg(rows().alias("n"))
-    return counts.withColumn("pct", F.col("n") * 100.0 / F.sum("n").over(W.partitionBy())).orderBy(
-        F.desc("n"), col
-    )
+    everything = counts.agg(F.sum("n")).scalar()
+    return counts.withColumn("pct", F.col("n") * 100.0 / everything).orderBy(F.desc("n"), col)
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -175,7 +176,12 @@ def class_mean_gap(df: DataFrame, features: Sequence[str], label: str) -> DataFr
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], lower: bool = False) -> DataFrame:
-    """Long Pearson matrix; every pair from one pass over the rows with both values."""
+    """Long Pearson matrix; every pair from one pass over the rows with both values.
+
+    Wide tables go through the vector routine, which takes complete rows.
+    """
+    if len(cols) > WIDE:
+        return _vector_corr(df, cols, lower)
     pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i > j or (i == j and not lower)]
     named = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)]
     wide = df.agg(*named)
@@ -187,6 +193,15 @@ def corr_matrix(df: DataFrame, cols: Sequence[str], lower: bool = False) -> Data
     return wide.select(entry).select("e.*")
 
 
+def _vector_corr(df: DataFrame, cols: Sequence[str], lower: bool) -> DataFrame:
+    vectors = VectorAssembler(inputCols=list(cols), outputCol="v", handleInvalid="skip").transform(df.select(*cols))
+    r = Correlation.corr(vectors.select("v"), "v").first()[0].toArray()
+    rows = [
+        (a, b, float(r[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if not lower or i > j
+    ]
+    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, r double")
+
+
 def corr_target(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:
     wide = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in features])
     return wide.unpivot([], list(features), "feature", "r").orderBy(F.desc(F.abs("r")), "feature")
@@ -226,10 +241,9 @@ def iqr_bounds(df: DataFrame, value: str, keys: Sequence[str] = (), width: float
 
 
 def shares(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Total per group, its percentage of all, and the running percentage of the
-    largest groups."""
+    """Total per group and its percentage of all."""
     totals = df.groupBy(key).agg(F.sum(value).alias("total"))
-    everything = F.sum("total").over(W.partitionBy())
+    everything = totals.agg(F.sum("total")).scalar()
     return totals.withColumn("pct", F.col("total") * 100.0 / everything)
 
 

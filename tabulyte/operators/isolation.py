@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
+from tabulyte.operators.ordering import thinned
 from tabulyte.operators.sampling import top_per_group
 
 TREE_ROWS = 256
@@ -28,7 +29,8 @@ def tree_samples(df: DataFrame, id_col: str, features: Sequence[str], trees: int
     """256 hash-chosen rows per tree, out of a pool whose size depends on the
     number of trees only."""
     pool = (
-        df.select(id_col, F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
+        thinned(df, [id_col], 2 * trees * TREE_ROWS, seed)
+        .select(id_col, F.array(*[F.col(c).cast("double") for c in features]).alias("x"))
         .orderBy(F.xxhash64(id_col, F.lit(seed)), id_col)
         .limit(trees * TREE_ROWS)
     )

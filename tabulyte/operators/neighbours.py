@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tabulyte.operators.ordering import quantiles
+from tabulyte.operators.ordering import quantiles, thinned
 from tabulyte.session import written
 
 LEAF_ROWS = 2048
@@ -121,7 +121,7 @@ def knn(points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     points = written(points, "points")
     n = points.count()
     leaves = max(1, min(n // leaf_rows, MAX_LEAVES))
-    sample = points.orderBy(F.xxhash64("id"), "id").limit(leaves * SAMPLE_PER_LEAF).select("x").toPandas()
+    sample = thinned(points, ["id"], leaves * SAMPLE_PER_LEAF).orderBy("id").select("x").toPandas()
     tree = _cut_space(np.stack(sample["x"].to_numpy()), leaves) if n else None
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -1,9 +1,9 @@
 """Ordered computations over tables of any size.
 
 A window without a partition key, or with a hot one, sends its rows to one
-task.  Here the order is cut into blocks of roughly equal size: the cut points
-are every n-th value of a bounded, hash-chosen sample, so each evaluation finds
-the same ones.  A running value is then the value inside the block combined
+task.  Here the order is cut into blocks of roughly equal size, as many as the
+session has shuffle partitions: the cut points are every n-th value of a sample
+of bounded size chosen by hash, so each evaluation finds the same ones.  A running value is then the value inside the block combined
 with the value carried in from the earlier blocks of the same key, and the
 carried table has at most one row per key and block.
 """
@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 SAMPLE_PER_BLOCK = 24
-MAX_BLOCKS = 2048
+MAX_BLOCKS = 16_384
 
 _COMBINE = {
     "sum": lambda inside, carried: inside + F.coalesce(carried, F.lit(0)),
@@ -30,22 +30,28 @@ def _block_count(df: DataFrame) -> int:
     return max(2, min(int(setting), MAX_BLOCKS))
 
 
+def thinned(df: DataFrame, cols: Sequence[str], target: int, seed: int = 42) -> DataFrame:
+    """About `target` rows, or all of a smaller table, chosen by a hash of `cols`.
+
+    The share to keep follows from the exact row count, so every task filters its
+    own rows, nothing is gathered to choose them, and a repeat finds the same ones.
+    """
+    hash_range = 1 << 31
+    n = df.agg(F.count(F.lit(1))).scalar()
+    spot = F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(hash_range))
+    return df.withColumn("_n", n).filter(spot * F.col("_n").cast("double") < float(target * hash_range)).drop("_n")
+
+
 def with_blocks(df: DataFrame, order: Sequence[str], name: str = "_block") -> DataFrame:
     """Add the number of the block of the order that each row falls in."""
     blocks = _block_count(df)
     group = max(2, int(blocks**0.5))
     key = F.struct(*[F.col(c) for c in order])
-    sample = (
-        df.select(key.alias("k"))
-        .orderBy(F.xxhash64("k"), "k")
-        .limit(blocks * SAMPLE_PER_BLOCK)
-    )
-    cuts = sample.agg(F.sort_array(F.collect_list("k")).alias("k")).select(
-        F.filter(
-            "k",
-            lambda _, i: i % SAMPLE_PER_BLOCK == SAMPLE_PER_BLOCK // 2,
-        ).alias("fine")
+    sample = thinned(df.select(*order), order, blocks * SAMPLE_PER_BLOCK)
+    cuts = sample.agg(F.sort_array(F.collect_list(key)).alias("k")).withColumn(
+        "step", F.greatest(F.lit(1), F.floor(F.size("k") / blocks)).cast("int")
     )
+    cuts = cuts.select(F.filter("k", lambda _, i: i % F.col("step") == F.col("step") - 1).alias("fine"))
     cuts = cuts.select(
         F.struct("fine", F.filter("fine", lambda _, i: i % group == 0).alias("coarse"))
     ).scalar()

@@ -74,8 +74,8 @@ def rolling_volatility(s: Series, n: int) -> Column:
 def bollinger(s: Series, n: int = 20, width: float = 2.0, mode: str = "price") -> DataFrame:
     """Bands around the rolling mean and the signal at a breach: 1 below, -1 above.
 
-    `price` uses the standard deviation of the values; `reference` adds the
-    annualised deviation of the returns to the price.
+    `price` uses the standard deviation of the values; `annualised` adds the
+    yearly deviation of the returns to the price.
     """
     df = s.with_columns(ret=pct_change(s))
     middle = rolling(df, n)

@@ -91,10 +91,11 @@ def ts_adf(t):
 
 @query("ts_coint")
 def ts_coint(t):
+    rate = F.expr("(1000000 + sum(cast(round(o_totalprice * 100) AS bigint)) div (count(1) * 500)) / 1000000")
     wide = (
-        t.orders.groupBy(F.to_date("o_orderdate").alias("d"))
-        .pivot("o_orderstatus", ["F", "O"]).agg(F.round(1 + F.avg("o_totalprice") / 5000000, 6))
-        .select(F.lit("F~O").alias("pair"), "d", F.col("F").alias("a"), F.col("O").alias("b"))
+        t.orders.groupBy(F.col("o_orderpriority").alias("pair"), F.to_date("o_orderdate").alias("d"))
+        .pivot("o_orderstatus", ["F", "O"]).agg(rate)
+        .select("pair", "d", F.col("F").alias("a"), F.col("O").alias("b"))
     )
     return ts.cointegration(wide, ("pair",), "d", "a", "b")
 

@@ -84,11 +84,11 @@ def bands(spread):
 @query(
     "win_bollinger",
     f"""SELECT 'price' AS mode, * FROM ({bands(rolled('stddev_samp', 'rate', 20))}) UNION ALL
-        SELECT 'reference', * FROM ({bands(rolled('stddev_samp', 'ret', 20) + ' * sqrt(252)')})""",
+        SELECT 'annualised', * FROM ({bands(rolled('stddev_samp', 'ret', 20) + ' * sqrt(252)')})""",
     {8: "middle lower upper"},
 )
 def win_bollinger(t):
-    modes = [se.bollinger(fx(t), mode=m).select(F.lit(m).alias("mode"), "*").drop("rate") for m in ("price", "reference")]
+    modes = [se.bollinger(fx(t), mode=m).select(F.lit(m).alias("mode"), "*").drop("rate") for m in ("price", "annualised")]
     return modes[0].unionByName(modes[1])
 
 

@@ -85,3 +85,20 @@ def test_nearest_with_a_crowded_score(spark):
             assert got.loc[row.id, "distance"] == pytest.approx(d.min(), abs=1e-12)
         elif d.min() > 0.05 + 1e-9:
             assert row.id not in got.index
+
+
+def test_wide_correlation_equals_the_narrow_one(spark):
+    from tabulyte.operators import aggregates as ag
+
+    rng = np.random.default_rng(8)
+    x = pd.DataFrame(rng.normal(0, 1, (200, 14)) + rng.normal(0, 1, (200, 1)), columns=[f"c{i}" for i in range(14)])
+    got = ag.corr_matrix(spark.createDataFrame(x), list(x)).toPandas().pivot(index="feature_a", columns="feature_b", values="r")
+    assert np.allclose(got.loc[list(x), list(x)], x.corr())
+
+
+def test_thinned_keeps_about_the_target(spark):
+    df = spark.range(20_000)
+    kept = od.thinned(df, ["id"], 2_000)
+    assert 1_700 < kept.count() < 2_300
+    assert kept.exceptAll(od.thinned(df.repartition(3), ["id"], 2_000)).count() == 0
+    assert od.thinned(df, ["id"], 50_000).count() == 20_000
