@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabulyte.functions.dates import week_end
 from tabulyte.functions.dist import normal_upper
-from tabulyte.operators.series import TRADING_DAYS, Series, rolling
+from tabulyte.operators.series import TRADING_DAYS, Series
 
 
 def resample_week(s: Series) -> DataFrame:

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulyte.operators import aggregates as ag, isolation, neighbours as nb
-from tabulyte.operators.sampling import top_per_group
 from tabulyte.plans.registry import query
 from tabulyte.session import written
 

@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulyte.operators import aggregates as ag, charts, graph, metrics as me, prep, series as se
-from tabulyte.plans.aggregates import NUMERIC, per_feature
+from tabulyte.plans.aggregates import NUMERIC
 from tabulyte.plans.joins_sets import SWEEP_SQL
 from tabulyte.plans.registry import SQL, query
-from tabulyte.plans.stand_ins import DAILY_SQL, FX_SQL, HASH_SQL, SCORED_SQL, daily, fx, order_hash, scored
+from tabulyte.plans.stand_ins import DAILY_SQL, HASH_SQL, SCORED_SQL, daily, fx, order_hash, scored
 from tabulyte.plans.windows import RET_SQL
 
 CLASSES = ("F", "O", "P")

@@ -8,7 +8,7 @@ from tabulyte.operators import bayes, causal, hypothesis as hy, series as se, su
 from tabulyte.plans.aggregates import NUMERIC, per_feature
 from tabulyte.plans.joins_sets import NEAREST_SQL
 from tabulyte.plans.registry import query
-from tabulyte.plans.stand_ins import FX_SQL, SCORED_SQL, fx, scored
+from tabulyte.plans.stand_ins import SCORED_SQL, fx, scored
 from tabulyte.plans.windows import RET_SQL
 
 

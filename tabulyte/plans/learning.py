@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulyte.functions import text as tx
-from tabulyte.operators import metrics as me, models as mo, text_model
+from tabulyte.operators import models as mo, text_model
 from tabulyte.operators.neighbours import smote
 from tabulyte.operators.prep import split_stratified
-from tabulyte.plans.evaluation import FLAGGED_SQL, flagged, predicted
+from tabulyte.plans.evaluation import FLAGGED_SQL, flagged
 from tabulyte.plans.registry import query
 from tabulyte.plans.stand_ins import SCORED_SQL
 from tabulyte.session import landing_path

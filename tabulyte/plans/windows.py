@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulyte.operators import aggregates as ag, ranks, series as se
-from tabulyte.operators.clean import cut
 from tabulyte.plans.registry import query
 from tabulyte.plans.stand_ins import DAILY_SQL, FX_SQL, GAPPY_SQL, daily, fx, gappy
 
