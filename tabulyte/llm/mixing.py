@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from tabulyte.llm.scratch import kept
 
 #: Hash buckets of a source; the last one taken is cut by an order of its own rows.
-BUCKETS = 65_536
+BUCKETS = 4_096
 WEIGHTS = (5.0, 2.0, 1.0)
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
 

@@ -7,7 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tabulyte.llm.chat_format import chat_format, read_back
+from tabulyte.llm.decontaminate import matched
+from tabulyte.llm.line_dedup import line_dedup
 from tabulyte.llm.mixing import mix
+from tabulyte.llm.ngram_join import ngram_components
+from tabulyte.llm.quality import quality
+from tabulyte.llm.secrets import secret_spans
 from tabulyte.llm.substring_dedup import substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -26,6 +32,25 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def _digest(text):
+    return F.sha2(F.encode(text, "UTF-8"), 256)
+
+
+def _listed(spans):
+    """kind:start:end of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+
+def _count(spans, kind):
+    return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
+
+
+@query("op1_line_dedup")
+def op1(spark, folder):
+    out = line_dedup(_table(spark, folder, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col("line_dedup.lines").cast("long").alias("n_lines"), F.col("line_dedup.removed").cast("long").alias("n_removed"), _digest("text").alias("kept_sha256"))
+
+
 @query("op2_mixing")
 def op2(spark, folder):
     mixed = mix(_table(spark, folder, "documents"))
@@ -35,4 +60,60 @@ def op2(spark, folder):
 @query("op3_substring_dedup")
 def op3(spark, folder):
     out = substring_dedup(_table(spark, folder, "documents"))
-    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
+    return out.select("doc_id", "n_words", "n_removed", _digest("kept_text").alias("kept_sha256"))
+
+
+@query("op4_chat_format")
+def op4(spark, folder):
+    turns = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    control = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(
+        F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(control).alias("text"))
+    out = chat_format(turns.unionByName(extra)).select("conv_id", "formatted", read_back("formatted").alias("turns"))
+    listed = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    learnt = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    return out.select(
+        "conv_id", F.size("turns").cast("long").alias("n_turns"), _digest(listed).alias("turns_sha256"), F.length(learnt).cast("long").alias("loss_chars"),
+        _digest(learnt).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+SQL["op4_chat_format"] = r"""
+WITH control AS (SELECT '[<\[]\\*(?:/?s>|</?SYS>>|/?INST\]|\|(?:im_start|im_end|im_sep|im_nl|endoftext)\|>)' AS pattern),
+turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
+),
+placed AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before FROM turns)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(length(text) + len(regexp_extract_all(text, pattern))
+    + CASE WHEN before IS NULL OR before <> role THEN 24 + length(role) + len(regexp_extract_all(role, pattern)) ELSE 10 END) AS BIGINT) AS formatted_chars
+FROM placed, control GROUP BY conv_id
+"""
+
+
+@query("op5_decontaminate")
+def op5(spark, folder):
+    found = matched(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])
+    return found.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"), _digest(F.array_join("items", ",")).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
+
+
+@query("op6_ngram_join")
+def op6(spark, folder):
+    return ngram_components(_table(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+@query("op7_quality")
+def op7(spark, folder):
+    return quality(_table(spark, folder, "documents"), carry=["doc_id"]).select("doc_id", "quality.*")
+
+
+@query("op9_secrets")
+def op9(spark, folder):
+    out = secret_spans(_table(spark, folder, "documents"))
+    return out.select(
+        "doc_id", *[_count("base", k).alias(f"n_{k}") for k in ("assign", "access", "hex")], _digest(_listed("base")).alias("base_sha256"), _listed("spans").alias("spans"))

@@ -39,7 +39,7 @@ class Layout:
     def of(df: DataFrame, text: str = "text") -> Layout:
         total = df.agg(F.sum(F.octet_length(F.col(text)))).first()[0] or 0
         n = partitions(df.sparkSession)
-        return Layout(max(2 * n, -(-total // UNIT_BYTES)), max(4 * n, -(-total // BUCKET_BYTES)))
+        return Layout(max(n, -(-total // UNIT_BYTES)), max(2 * n, -(-total // BUCKET_BYTES)))
 
 
 def in_units(df: DataFrame, layout: Layout, *key: str) -> DataFrame:

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Word bytes of `[^\x20\x09-\x0D]+`.
 SPACED = np.ones(256, bool)
@@ -73,6 +74,11 @@ def text_bytes(column: pa.ChunkedArray | pa.Array) -> tuple[np.ndarray, np.ndarr
     return data, offsets - offsets[0]
 
 
+def text_sizes(column: pa.Array) -> np.ndarray:
+    """Bytes of each text; a null has none."""
+    return pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray, word_bytes: np.ndarray = SPACED) -> tuple[np.ndarray, np.ndarray]:
     """First byte and end byte of every word, in order; no word crosses two texts."""
     inside = word_bytes[data]
