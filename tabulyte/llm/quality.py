@@ -20,11 +20,11 @@ CHUNK = 4096
 #: Up to so many bytes: least and greatest ratio.  Short texts compress less, and the
 #: frame's own bytes count for more.
 BANDS: tuple[tuple[float, float, float], ...] = (
-    (256, 0.0, 4.0),
-    (1024, 1.05, 5.0),
-    (4096, 1.15, 6.0),
-    (16384, 1.25, 7.0),
-    (float("inf"), 1.3, 8.0),
+    (256, 0.9, 3.0),
+    (1024, 1.3, 3.5),
+    (4096, 1.35, 4.0),
+    (16384, 1.4, 4.5),
+    (float("inf"), 1.4, 5.0),
 )
 #: A text goes if more than this share of its chunks is outside the band of a chunk.
 CHUNK_SHARE = 0.5
