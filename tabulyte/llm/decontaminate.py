@@ -7,7 +7,7 @@ broadcast does not grow with the benchmark; documents pass the blocks in turn.""
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from itertools import repeat
 
 import numpy as np
@@ -172,7 +172,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
 
 
 def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-            item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+            item_col: str = "item_id", item_text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
     """One row per document: doc_id, text, n_words, spans (hit word intervals, end
     exclusive, merged, in order) and items (ids of items with a window in the text, as
     strings, sorted, distinct).
@@ -181,7 +181,8 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col:
     `window` consecutive item words, or all of a shorter item.  Null or empty texts have
     no words; items without words match nothing; a null item id is the string ''.  Equal
     ids of several items are one item in `items`.  An empty benchmark hits nothing.
-    Repeated rows are returned as often.  Columns not named are ignored."""
+    Repeated rows are returned as often.  Columns named in `carry` pass through in a struct
+    `row`; others are ignored."""
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).alias("text"))
 
@@ -192,8 +193,9 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col:
     n_words = items.agg(F.sum(F.length("text") - F.length(F.translate("text", " ", "")) + 1)).first()[0] or 0
     blocks = max(1, -(-n_words // BLOCK_WORDS))
     items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
-    out = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = out.schema["doc_id"].dataType.simpleString()
+    row = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(0).alias("none"))
+    out = docs.select(F.col(id_col).alias("doc_id"), row.alias("row"), F.col(text_col).alias("text"))
+    kinds = [out.schema[c].dataType.simpleString() for c in ("doc_id", "row")]
     out = out.withColumn("spans", F.array().cast("array<struct<start: long, end: long>>")).withColumn("items", F.array().cast("array<string>"))
     for block in range(blocks):
         rows = items.filter(F.col("block") == block).select("item", "text").collect()  # BLOCK_WORDS words or so
@@ -212,26 +214,26 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col:
                     spans.append([{"start": a, "end": b} for a, b in both])
                     found.append(sorted({*known, *(automaton.names[k] for k in items)}))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("text"), pa.array(sizes, pa.int64()), pa.array(spans, _SPANS), pa.array(found, pa.list_(pa.string()))],
-                    ["doc_id", "text", "n_words", "spans", "items"])
+                    [batch.column("doc_id"), batch.column("row"), batch.column("text"), pa.array(sizes, pa.int64()), pa.array(spans, _SPANS), pa.array(found, pa.list_(pa.string()))],
+                    ["doc_id", "row", "text", "n_words", "spans", "items"])
 
-        out = out.mapInArrow(scan, f"doc_id {kind}, text string, n_words long, spans array<struct<start: long, end: long>>, items array<string>")
+        out = out.mapInArrow(scan, f"doc_id {kinds[0]}, row {kinds[1]}, text string, n_words long, spans array<struct<start: long, end: long>>, items array<string>")
         if block + 1 < blocks:
             out = kept(out, "matched")
     return out
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_span: int = WINDOW, max_coverage: float = 0.5, **columns: str) -> DataFrame:
-    """doc_id and text of the documents left: spans of at least `min_span` words are cut
-    out of the text, and a document with more than `max_coverage` of its words hit goes.
-    Texts without such a span stay byte for byte, null texts null."""
-    found = matched(docs, benchmark, window, **columns)
+def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_span: int = WINDOW, max_coverage: float = 0.5,
+                  id_col: str = "doc_id", text_col: str = "text", **columns: str) -> DataFrame:
+    """The input's columns for the documents left: spans of at least `min_span` words are cut out of the text, and a document with more than
+    `max_coverage` of its words hit goes.  Other texts stay byte for byte, null texts null."""
+    found = matched(docs, benchmark, window, id_col, text_col, carry=docs.columns, **columns)
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["end"] - x["start"])
-    found = found.filter(hit <= F.col("n_words") * F.lit(max_coverage))
+    found = found.filter(hit <= F.col("n_words") * F.lit(max_coverage)).select("row", "spans")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = batch.column("row").field(text_col).to_pylist()
             for i, spans in enumerate(batch.column("spans").to_pylist()):
                 spans = [x for x in spans if x["end"] - x["start"] >= min_span]
                 if spans:
@@ -242,7 +244,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
                     for x in spans:
                         keep[begin[x["start"]] : begin[x["end"]]] = False
                     texts[i] = data[keep].tobytes().decode()
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
+            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
 
-    kind = found.schema["doc_id"].dataType.simpleString()
-    return found.select("doc_id", "text", "spans").mapInArrow(cut, f"doc_id {kind}, text string")
+    out = found.mapInArrow(cut, f"row {found.schema['row'].dataType.simpleString()}, text string")
+    return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
