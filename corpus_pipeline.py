@@ -1,11 +1,82 @@
-"""A training-data pipeline over `documents`: filters and deduplicates, then mixes."""
+"""A training-data pipeline over `documents`: rule out poor texts, cut repeated lines,
+keep one of each group of near duplicates, take benchmark passages out, mix sources.
 
-STAGES = []
+Every stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return
+the columns of `documents`, with n_chars following the text."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from tabulyte.llm.decontaminate import decontaminate
+from tabulyte.llm.line_dedup import line_dedup
+from tabulyte.llm.mixing import mix
+from tabulyte.llm.ngram_join import ngram_components
+from tabulyte.llm.quality import quality
+from tabulyte.llm.scratch import kept
+
+#: Near duplicates in the pipeline: words of a shingle and least similarity in percent.
+SHINGLE, PERCENT = 5, 80
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules and the compression bands keep."""
+    judged = quality(docs, report="_quality")
+    return judged.filter("_quality.kept").drop("_quality")
+
+
+def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without repeated line chunks; a text that loses all its words goes."""
+    cut = line_dedup(docs, report="_lines")
+    has_word = F.col("text").rlike(r"[^\x20\x09-\x0D]")
+    return _counted(cut.filter((F.col("_lines.removed") == 0) | has_word).drop("_lines"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group: the one with the smallest id.  Rows without an id are
+    in no group and stay; of repeated rows one stays."""
+    linked = ngram_components(docs, SHINGLE, PERCENT)
+    gone = linked.filter("component_id <> doc_id").select("doc_id").distinct()
+    once = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
+    return once.join(gone, "doc_id", "left_anti").select(*docs.columns)
+
+
+def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without benchmark passages; documents that are mostly such passages go."""
+    benchmark = spark.read.parquet(f"{sf_dir.rstrip('/')}/benchmark.parquet")
+    return _counted(decontaminate(docs, benchmark))
+
+
+def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them, numbered by `copy`."""
+    taken = mix(docs).groupBy("doc_id", "text_hash").agg(F.sum("copies").alias("copies"))
+    taken = kept(taken.filter("copies > 0"), "taken").withColumnRenamed("doc_id", "t_id")
+    once = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"])
+    out = once.join(taken, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("_hash") == F.col("text_hash")))
+    return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns, "copy")
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("line_dedup", line_dedup_stage),
+    ("near_duplicates", near_duplicates),
+    ("decontaminate", decontaminated),
+    ("mix", mixed),
+]
+
+#: Compression ratios, rolling line hashes and seeded draws are not SQL's to express.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over `documents`, each on the written result of the one before."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for _, stage in STAGES:
+    for k, (name, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k + 1 < len(STAGES):
+            docs = kept(docs, name)
     return docs

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabulyte.llm.chat_format import chat_format, read_back
 from tabulyte.llm.decontaminate import matched
+from tabulyte.llm.katz import katz_scores
 from tabulyte.llm.line_dedup import line_dedup
 from tabulyte.llm.mixing import mix
 from tabulyte.llm.ngram_join import ngram_components
+from tabulyte.llm.pii import pii_spans
 from tabulyte.llm.quality import quality
 from tabulyte.llm.secrets import secret_spans
 from tabulyte.llm.substring_dedup import substring_dedup
@@ -112,8 +114,20 @@ def op7(spark, folder):
     return quality(_table(spark, folder, "documents"), carry=["doc_id"]).select("doc_id", "quality.*")
 
 
+@query("op8_pii")
+def op8(spark, folder):
+    out = pii_spans(_table(spark, folder, "documents"))
+    return out.select(
+        "doc_id", *[_count("base", k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")], _digest(_listed("base")).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
 @query("op9_secrets")
 def op9(spark, folder):
     out = secret_spans(_table(spark, folder, "documents"))
     return out.select(
         "doc_id", *[_count("base", k).alias(f"n_{k}") for k in ("assign", "access", "hex")], _digest(_listed("base")).alias("base_sha256"), _listed("spans").alias("spans"))
+
+
+@query("op10_katz")
+def op10(spark, folder):
+    return katz_scores(_table(spark, folder, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1)
