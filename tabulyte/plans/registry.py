@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tabulyte.session import shipped
+
 PLANS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -64,7 +66,7 @@ def query(key: str, sql: str | Callable[[], str] | None = None, rounding: Mappin
         digits = {c: d for d, names in (rounding or {}).items() for c in names.split()}
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            df = _plain_types(fn(Tables(spark, folder)))
+            df = _plain_types(fn(Tables(shipped(spark), folder)))
             if digits:
                 df = df.withColumns({
                     c.strip('"'): F.round(F.col(c.strip('"')) + F.lit(_shift(d)), d) + F.lit(0.0)

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
 
+_SHIPPED: set[str] = set()
+
+
 def build_session(app: str = "tabulyte", master: str | None = None, **conf: str) -> SparkSession:
     """UTC, ANSI, adaptive execution with skew handling; extra settings win."""
     settings = {
@@ -28,9 +33,12 @@ def build_session(app: str = "tabulyte", master: str | None = None, **conf: str)
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder named by the cluster; a temporary one only where none is set."""
+    """The folder named by the cluster.  A temporary one serves only a local master,
+    whose tasks all see it; elsewhere a shared folder must be named."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="tabulyte-")
         spark.conf.set("spark.checkpoint.dir", root)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -38,6 +46,27 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def package_archive(folder: str) -> str:
+    """A zip of this package in `folder`, for executors that do not have it."""
+    source = os.path.dirname(os.path.abspath(__file__))
+    path = os.path.join(folder, "tabulyte.zip")
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as out:
+        for at, _, names in os.walk(source):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(at, name)
+                out.write(full, os.path.join("tabulyte", os.path.relpath(full, source)))
+    return path
+
+
+def shipped(spark: SparkSession) -> SparkSession:
+    """Give the executors this package, once per application; a local master has it."""
+    context = spark.sparkContext
+    if context.applicationId not in _SHIPPED and not context.master.startswith("local["):
+        context.addPyFile(package_archive(tempfile.mkdtemp(prefix="tabulyte-package-")))
+    _SHIPPED.add(context.applicationId)
+    return spark
+
+
 def landing_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder for one written table or file set."""
     return f"{checkpoint_root(spark)}/landed/{label}-{uuid.uuid4().hex}"
