@@ -14,6 +14,7 @@ from tabulyte.llm.mixing import mix
 from tabulyte.llm.ngram_join import ngram_components
 from tabulyte.llm.quality import quality
 from tabulyte.llm.scratch import kept
+from tabulyte.session import shipped
 
 #: Near duplicates in the pipeline: words of a shingle and least similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -41,8 +42,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     in no group and stay; of repeated rows one stays."""
     linked = ngram_components(docs, SHINGLE, PERCENT)
     gone = linked.filter("component_id <> doc_id").select("doc_id").distinct()
-    once = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).drop("_hash")
-    return once.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    # one shuffle of the texts serves the join and the repeats
+    left = docs.withColumn("_hash", F.xxhash64("text")).join(gone.hint("merge"), "doc_id", "left_anti")
+    return left.dropDuplicates(["doc_id", "_hash"]).select(*docs.columns)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,19 +55,26 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, numbered by `copy`."""
-    taken = mix(docs).groupBy("doc_id", "text_hash").agg(F.sum("copies").alias("copies"))
+    taken = mix(docs).groupBy("doc_id", "text_hash").agg(F.sum("copies").alias("copies"), F.count("*").alias("rows"))
     taken = kept(taken.filter("copies > 0"), "taken").withColumnRenamed("doc_id", "t_id")
-    once = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"])
-    out = once.join(taken, F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("_hash") == F.col("text_hash")))
+    same = F.col("doc_id").eqNullSafe(F.col("t_id")) & (F.col("_hash") == F.col("text_hash"))
+    out = docs.withColumn("_hash", F.xxhash64("text")).join(taken.hint("merge"), same)
+    if not taken.filter("rows > 1").isEmpty():  # repeated rows share their copies
+        out = out.filter("rows = 1").union(out.filter("rows > 1").dropDuplicates(["doc_id", "_hash"]))
     return out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select(*docs.columns, "copy")
 
 
+def _ready(stage):
+    """The stage, with the package on the executors."""
+    return lambda spark, docs, sf_dir: stage(shipped(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("quality_rules", quality_rules),
-    ("line_dedup", line_dedup_stage),
-    ("near_duplicates", near_duplicates),
-    ("decontaminate", decontaminated),
-    ("mix", mixed),
+    ("quality_rules", _ready(quality_rules)),
+    ("line_dedup", _ready(line_dedup_stage)),
+    ("near_duplicates", _ready(near_duplicates)),
+    ("decontaminate", _ready(decontaminated)),
+    ("mix", _ready(mixed)),
 ]
 
 #: Compression ratios, rolling line hashes and seeded draws are not SQL's to express.

@@ -15,6 +15,8 @@ from tabulyte.llm.scratch import kept
 
 #: Hash buckets of a source; the last one taken is cut by an order of its own rows.
 BUCKETS = 4_096
+#: Documents added at the end to come nearer to a source's target.
+GAP_ROUNDS = 2
 WEIGHTS = (5.0, 2.0, 1.0)
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
 
@@ -52,8 +54,8 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = 3
     last, and weigh `weights`, repeating; together they take `share` of all words.  A
     source of size 0 has target 0 and its documents are taken 0 times.  Documents of a
     source take floor(target / source size) copies, and one more in the order of a seeded
-    hash as long as the sum stays within the target; then the longest document that still
-    fits is added, so a source is never above its target and seldom far below.  The hash covers id and text, so reruns agree and copies of
+    hash as long as the sum stays within the target; then, twice, the document that brings
+    the sum nearest the target is added where one does.  The hash covers id and text, so reruns agree and copies of
     a row are interchangeable.  Columns other than the three named ones are ignored.
 
     The driver holds one row per source, which is a configuration-sized list; everything
@@ -86,28 +88,29 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = 3
     placed = sized.join(cut, sized.source.eqNullSafe(cut.s)).withColumn("spot", spot)
     columns = ["doc_id", "source", "text_hash", "size", "source_size", "target"]
     sure = placed.filter(F.col("spot") != F.col("last"))
-    sure = sure.select(*columns, (F.col("whole") + F.when(F.col("spot") < F.col("last"), 1).otherwise(0)).alias("copies"))
+    sure = sure.select(*columns, (F.col("whole") + F.when((F.col("spot") < F.col("last")) & (F.col("size") > 0), 1).otherwise(0)).alias("copies"))
     order = W.partitionBy("source").orderBy("draw", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
     edge = placed.filter(F.col("spot") == F.col("last"))
     edge = edge.withColumn("below", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
     fits = (F.col("below") + F.col("size") <= F.col("rest")) & (F.col("size") > 0)
     edge = edge.select(*columns, (F.col("whole") + F.when(fits, 1).otherwise(0)).alias("copies"))
     chosen = sure.unionByName(edge).withColumn("copies", F.when(F.col("source_size") > 0, F.col("copies")).otherwise(0).cast("int"))
-    return _gap_filled(kept(chosen, "chosen"), max_epochs)
+    for _ in range(GAP_ROUNDS):
+        chosen = _nearer(kept(chosen, "chosen"))
+    return chosen
 
 
-def _gap_filled(chosen: DataFrame, max_epochs: int) -> DataFrame:
-    """One more document per source: the longest that still fits below the target."""
-    gap = chosen.groupBy("source").agg(
+def _nearer(chosen: DataFrame) -> DataFrame:
+    """One more document of each source: the one that brings its sum nearest the target."""
+    sums = chosen.groupBy("source").agg(
         F.max("target").alias("t"), F.max("source_size").alias("n"), F.sum(F.col("size") * F.col("copies")).alias("taken"))
-    gap = gap.select(F.col("source").alias("s"), (F.col("t") - F.col("taken")).alias("gap"), F.floor(F.col("t") / F.when(F.col("n") > 0, F.col("n"))).alias("whole"))
-    rows = chosen.join(gap, chosen.source.eqNullSafe(gap.s))
-    free = (F.col("copies") == F.col("whole")) & (F.col("size") > 0) & (F.col("size") <= F.col("gap")) & (F.col("copies") < max_epochs)
-    key = F.struct("size", "text_hash", "doc_id")
+    gaps = sums.filter("n > 0").select(F.col("source").alias("s"), (F.col("t") - F.col("taken")).alias("gap"), F.floor(F.col("t") / F.col("n")).alias("whole"))
+    rows = chosen.join(gaps, chosen.source.eqNullSafe(gaps.s), "left")
+    free = (F.col("copies") == F.col("whole")) & (F.col("size") > 0) & (F.col("size") < 2 * F.col("gap"))
+    key = F.struct(-F.abs(F.col("gap") - F.col("size")), "size", "text_hash", "doc_id")
     best = rows.filter(free).groupBy("s").agg(F.max(key).alias("best")).withColumnRenamed("s", "b")
     rows = rows.join(best, F.col("s").eqNullSafe(F.col("b")), "left")
     hit = F.coalesce(free & (key == F.col("best")), F.lit(False))
-    columns = chosen.columns
     first = F.row_number().over(W.partitionBy("source").orderBy("doc_id"))
     more = rows.filter(hit).withColumn("copies", (F.col("copies") + F.when(first == 1, 1).otherwise(0)).cast("int"))
-    return rows.filter(~hit).select(*columns).unionByName(more.select(*columns))
+    return rows.filter(~hit).select(*chosen.columns).unionByName(more.select(*chosen.columns))

@@ -13,18 +13,19 @@ from tabulyte.llm.katz import katz_scores
 from tabulyte.llm.line_dedup import line_dedup
 from tabulyte.llm.mixing import mix
 from tabulyte.llm.ngram_join import ngram_components
+from tabulyte.llm.oracles import SQL  # noqa: F401
 from tabulyte.llm.pii import pii_spans
 from tabulyte.llm.quality import quality
 from tabulyte.llm.secrets import secret_spans
 from tabulyte.llm.substring_dedup import substring_dedup
+from tabulyte.session import shipped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-SQL: dict[str, str] = {}
 
 
 def query(name: str):
     def wrap(fn):
-        QUERIES[name] = fn
+        QUERIES[name] = lambda spark, folder: fn(shipped(spark), folder)
         return fn
 
     return wrap
@@ -79,23 +80,6 @@ def op4(spark, folder):
         _digest(learnt).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-SQL["op4_chat_format"] = r"""
-WITH control AS (SELECT '[<\[]\\*(?:/?s>|</?SYS>>|/?INST\]|\|(?:im_start|im_end|im_sep|im_nl|endoftext)\|>)' AS pattern),
-turns AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT * FROM (VALUES (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]'))
-),
-placed AS (SELECT *, lag(role) OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS before FROM turns)
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
-  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
-  CAST(sum(length(text) + len(regexp_extract_all(text, pattern))
-    + CASE WHEN before IS NULL OR before <> role THEN 24 + length(role) + len(regexp_extract_all(role, pattern)) ELSE 10 END) AS BIGINT) AS formatted_chars
-FROM placed, control GROUP BY conv_id
-"""
-
-
 @query("op5_decontaminate")
 def op5(spark, folder):
     found = matched(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
