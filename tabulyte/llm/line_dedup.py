@@ -52,7 +52,8 @@ def line_dedup(docs: DataFrame, reach: int = REACH, spacing: int = SPACING, id_c
     their names; one named like `report` is replaced."""
     names = [c for c in docs.columns if c != report]
     base = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+        F.struct(F.lit(None).alias(report), *[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"),
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"),
         F.xxhash64(F.col(text_col)).alias("text_hash"))
     key_columns = ["id", "text_hash"]
     same = lambda a, b: a["id"].eqNullSafe(b["id"]) & (a["text_hash"] == b["text_hash"])
@@ -61,7 +62,8 @@ def line_dedup(docs: DataFrame, reach: int = REACH, spacing: int = SPACING, id_c
     again = kept(wide.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "repeated")
     marked = wide.join(again, "key", "left_semi").groupBy(*key_columns).agg(F.collect_set("place").alias("places"))
     marked = marked.select(F.col("id").alias("m_id"), F.col("text_hash").alias("m_hash"), "places")
-    found = base.select(*key_columns, "text").join(marked, F.col("id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash")))
+    # what is joined to all texts grows with them: always by sorting, never by broadcast
+    found = base.select(*key_columns, "text").join(marked.hint("merge"), F.col("id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash")))
     found = _with_chunks(found, reach, spacing)
     found = found.select(*key_columns, "lines", F.explode(F.filter("chunks", lambda c: F.array_contains("places", c["place"]))).alias("c"))
     found = found.select(*key_columns, "c.place", "c.key", F.array_join(F.slice("lines", F.col("c.first"), F.col("c.size")), "\n").alias("body"))
@@ -70,7 +72,7 @@ def line_dedup(docs: DataFrame, reach: int = REACH, spacing: int = SPACING, id_c
     gone = found.join(first, ["key", "body"]).filter(~F.struct("id", "place", "text_hash").eqNullSafe(F.col("keep")))
     gone = gone.groupBy(*key_columns).agg(F.collect_set("place").alias("gone")).select(F.col("id").alias("g_id"), F.col("text_hash").alias("g_hash"), "gone")
     gone = kept(gone, "removed")
-    out = base.join(gone, F.col("id").eqNullSafe(F.col("g_id")) & (F.col("text_hash") == F.col("g_hash")), "left")
+    out = base.join(gone.hint("merge"), F.col("id").eqNullSafe(F.col("g_id")) & (F.col("text_hash") == F.col("g_hash")), "left")
     out = _with_chunks(out, reach, spacing)
     stay = F.filter("chunks", lambda c: ~F.array_contains("gone", c["place"]))
     left = F.flatten(F.transform(stay, lambda c: F.slice("lines", c["first"], c["size"])))
