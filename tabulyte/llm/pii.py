@@ -10,6 +10,7 @@ documents that the fixed patterns label."""
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -17,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tabulyte.llm.decontaminate import merged
 
 KINDS = ("email", "ip", "card", "phone")
 #: Documents and tokens of each that the training sample holds at most.
@@ -138,10 +140,10 @@ class _Nodes:
             before = True
         return _Nodes(spans, features, chain, skip)
 
-    def labels(self, base: list[Span]) -> list[int]:
-        """1 + the kind of the base span that a token overlaps, 0 outside."""
+    def labels(self, base: list[Span], most: int) -> list[int]:
+        """1 + the kind of the base span that a token overlaps, 0 outside, for the first tokens."""
         out = []
-        for a, b in self.spans:
+        for a, b in self.spans[:most]:
             out.append(next((k + 1 for k, s, e in base if s < b and a < e), 0))
         return out
 
@@ -202,7 +204,7 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_tokens: int =
             for text in batch.column("text").to_pylist():
                 nodes, m = _Nodes.of(text), sample_tokens
                 pairs = lambda edges: [list(e) for e in edges if max(e) < m]
-                rows.append((nodes.features[:m], nodes.labels(base_spans(text))[:m], pairs(nodes.chain), pairs(nodes.skip)))
+                rows.append((nodes.features[:m], nodes.labels(base_spans(text), m), pairs(nodes.chain), pairs(nodes.skip)))
             ints = pa.list_(pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("h"), *(pa.array([r[k] for r in rows], kind) for k, kind in enumerate((pa.list_(ints), ints, pa.list_(ints), pa.list_(ints))))],
@@ -239,23 +241,36 @@ def beliefs(field: Field, features: list[list[int]], chain: np.ndarray, skip: np
     return p / p.sum(1, keepdims=True)
 
 
+#: Digits of one entity of a kind whose parts blanks may divide.
+_MOST_DIGITS = {2: 19, 3: 15}
+
+
 def _added(text: str, nodes: _Nodes, label: np.ndarray, base: list[Span]) -> list[Span]:
     """Runs of neighbouring tokens of one kind that touch no base span, without the
-    punctuation around them."""
+    punctuation around them.  A run of more digits than one entity has, and tokens of
+    kinds without blanks, are entities of their own."""
     out = []
     joined = {b for _, b in nodes.chain}
+    taken = merged((s, e) for _, s, e in base)
+    ends = [e for _, e in taken]
     i = 0
     while i < len(label):
         j = i + 1
         while j < len(label) and j in joined and label[j] == label[i]:
             j += 1
-        if label[i]:
-            a, b = nodes.spans[i][0], nodes.spans[j - 1][1]
+        kind = int(label[i]) - 1
+        runs = []
+        if kind >= 0:
+            whole = len(_digits(text[nodes.spans[i][0] : nodes.spans[j - 1][1]])) <= _MOST_DIGITS.get(kind, 0)
+            runs = [(i, j)] if whole else [(k, k + 1) for k in range(i, j)]
+        for first, end in runs:
+            a, b = nodes.spans[first][0], nodes.spans[end - 1][1]
             piece = text[a:b]
             a += len(piece) - len(piece.lstrip(_EDGE))
             b -= len(piece) - len(piece.rstrip(_EDGE))
-            if a < b and not any(s < b and a < e for _, s, e in base):
-                out.append((int(label[i]) - 1, a, b))
+            after = bisect_right(ends, a)  # the first base span that ends after a
+            if a < b and (after == len(taken) or taken[after][0] >= b):
+                out.append((kind, a, b))
         i = j
     return out
 

@@ -8,11 +8,13 @@ material with an access identifier or an endpoint."""
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from tabulyte.llm.decontaminate import merged
 from tabulyte.llm.scratch import kept
 
 # The strong patterns and the least lengths of their matches.
@@ -46,8 +48,8 @@ def strong_spans(text: str) -> list[Span]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
-def weak_parts(text: str) -> list[tuple[str, int, int, int]]:
-    """Weak parts with their paragraph (number of blank lines before)."""
+def weak_parts(text: str, strong: list[Span]) -> list[Span]:
+    """Weak parts that touch no strong span."""
     if not ("=" in text or ":" in text):
         return []
     lowered = text.lower()
@@ -56,7 +58,20 @@ def weak_parts(text: str) -> list[tuple[str, int, int, int]]:
         found += [("key", *m.span(1)) for m in _KEY.finditer(text) if re.search(r"[0-9+/_=]", m[1])]
     found += [("account", *m.span()) for m in _ACCOUNT.finditer(text)]
     found += [("endpoint", *m.span()) for m in _ENDPOINT.finditer(text)]
-    return [(k, a, b, text.count("\n\n", 0, a)) for k, a, b in found]
+    taken = merged((a, b) for _, a, b in strong)
+    ends = [b for _, b in taken]
+
+    def free(a: int, b: int) -> bool:
+        after = bisect_right(ends, a)  # the first strong span that ends after a
+        return after == len(taken) or taken[after][0] >= b
+
+    return [(k, a, b) for k, a, b in found if free(a, b)]
+
+
+def with_paragraphs(text: str, parts: list[Span]) -> list[tuple[str, int, int, int]]:
+    """Parts with the number of blank lines before them."""
+    breaks = [m.end() for m in re.finditer("\n\n", text)] if parts else []
+    return [(k, a, b, bisect_right(breaks, a)) for k, a, b in parts]
 
 
 _SPAN = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])
@@ -71,8 +86,8 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             text = value.as_py() or ""
             strong = strong_spans(text)
             base.append([dict(zip(("kind", "start", "end"), s)) for s in strong])
-            weak = weak_parts(text)
-            rows = [(k, a, b, s, False) for k, a, b, s in weak] + [(k, a, b, text.count("\n\n", 0, a), True) for k, a, b in strong if weak]
+            weak = weak_parts(text, strong)
+            rows = [(*p, False) for p in with_paragraphs(text, weak)] + [(*p, True) for p in with_paragraphs(text, strong if weak else [])]
             parts.append([dict(zip(("kind", "start", "end", "scope", "strong"), r)) for r in rows])
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("text_hash"), pa.array(base, pa.list_(_SPAN)), pa.array(parts, pa.list_(_PART))],
@@ -107,8 +122,7 @@ def secret_spans(docs: DataFrame, scope: int = SCOPE, id_col: str = "doc_id", te
         & (F.col("role") != F.col("o_role")) & (F.abs(F.col("start") - F.col("o_start")) <= scope), "left_semi")
     linked = linked.groupBy(F.col("doc_id").alias("l_id"), F.col("text_hash").alias("l_hash")).agg(F.collect_list(F.struct("kind", "start", "end")).alias("weak"))
     out = found.join(linked, F.col("doc_id").eqNullSafe(F.col("l_id")) & (F.col("text_hash") == F.col("l_hash")), "left")
-    outside = F.filter("weak", lambda w: ~F.exists("base", lambda b: (b["start"] < w["end"]) & (w["start"] < b["end"])))
     rank = F.array(*[F.lit(k) for k in KINDS])
     by = lambda s: F.struct(s["start"].alias("start"), F.array_position(rank, s["kind"]).alias("rank"), s["end"].alias("end"), s["kind"].alias("kind"))
-    spans = F.transform(F.array_sort(F.transform(F.concat("base", F.coalesce(outside, F.array().cast(f"array<{_DDL}>"))), by)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
+    spans = F.transform(F.array_sort(F.transform(F.concat("base", F.coalesce("weak", F.array().cast(f"array<{_DDL}>"))), by)), lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end")))
     return out.select("doc_id", "base", spans.alias("spans"))
