@@ -40,8 +40,8 @@ def gamma_upper(a: float, x: float) -> float:
         c = b + an / c or TINY
         h *= d * c
         if abs(d * c - 1) < EPS:
-            break
-    return front * h
+            return front * h
+    return math.nan  # not converged
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -58,8 +58,8 @@ def _beta_fraction(a: float, b: float, x: float) -> float:
         c = 1 + odd / c or TINY
         h *= d * c
         if abs(d * c - 1) < EPS:
-            break
-    return h
+            return h
+    return math.nan  # not converged
 
 
 def beta_lower(a: float, b: float, x: float) -> float:

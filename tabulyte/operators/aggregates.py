@@ -6,15 +6,15 @@ once, after partial aggregation.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.stat import Correlation
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabulyte.operators.ordering import melt, quantiles, value_counts
 
-WIDE = 12
+_MOMENTS = ("n", "x", "y", "xx", "yy", "xy")
 QUARTILES = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
 
 
@@ -176,30 +176,41 @@ def class_mean_gap(df: DataFrame, features: Sequence[str], label: str) -> DataFr
 
 
 def corr_matrix(df: DataFrame, cols: Sequence[str], lower: bool = False) -> DataFrame:
-    """Long Pearson matrix; every pair from one pass over the rows with both values.
+    """Long Pearson matrix of any width; every pair uses the rows with both values.
 
-    Wide tables go through the vector routine, which takes complete rows.
+    Tasks add up counts, sums and products per pair as matrix products of the values
+    (less their means, for accuracy) and of their masks; one small row per pair and
+    task is shuffled.  NaN where a value does not vary, null for fewer than two rows.
     """
-    if len(cols) > WIDE:
-        return _vector_corr(df, cols, lower)
-    pairs = [(a, b) for i, a in enumerate(cols) for j, b in enumerate(cols) if i > j or (i == j and not lower)]
-    named = [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)]
-    wide = df.agg(*named)
-    entry = F.explode(F.array(*[
-        F.struct(F.lit(x).alias("feature_a"), F.lit(y).alias("feature_b"), F.col(f"{i}").alias("r"))
-        for i, (a, b) in enumerate(pairs)
-        for x, y in ({(a, b)} if lower or a == b else {(a, b), (b, a)})
-    ])).alias("e")
-    return wide.select(entry).select("e.*")
-
-
-def _vector_corr(df: DataFrame, cols: Sequence[str], lower: bool) -> DataFrame:
-    vectors = VectorAssembler(inputCols=list(cols), outputCol="v", handleInvalid="skip").transform(df.select(*cols))
-    r = Correlation.corr(vectors.select("v"), "v").first()[0].toArray()
-    rows = [
-        (a, b, float(r[i, j])) for i, a in enumerate(cols) for j, b in enumerate(cols) if not lower or i > j
-    ]
-    return df.sparkSession.createDataFrame(rows, "feature_a string, feature_b string, r double")
+    names = list(cols)
+    numbers = df.select(*[F.col(c).cast("double").alias(f"c{i}") for i, c in enumerate(names)])
+    means = [m or 0.0 for m in numbers.agg(*[F.avg(c) for c in numbers.columns]).first()]
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        p = len(names)
+        total = np.zeros((len(_MOMENTS), p, p))
+        for batch in batches:
+            x = np.column_stack([c.to_numpy(zero_copy_only=False).astype(float) for c in batch.columns]) - means
+            here = ~np.isnan(x)
+            mask = here.astype(float)
+            x[~here] = 0.0
+            squares = x * x
+            total += [mask.T @ mask, x.T @ mask, mask.T @ x, squares.T @ mask, mask.T @ squares, x.T @ x]
+        i, j = np.nonzero(total[0])
+        yield pa.RecordBatch.from_arrays([pa.array(i), pa.array(j), *[pa.array(m[i, j]) for m in total]], ["i", "j", *_MOMENTS])
+
+    schema = "i long, j long, " + ", ".join(f"{m} double" for m in _MOMENTS)
+    pairs = numbers.mapInArrow(sums, schema).groupBy("i", "j").agg(*[F.sum(m).alias(m) for m in _MOMENTS])
+    wanted = df.sparkSession.range(len(names) ** 2).select(
+        F.floor(F.col("id") / len(names)).alias("i"), F.pmod("id", F.lit(len(names))).alias("j"))
+    pairs = wanted.filter("i > j" if lower else "true").join(pairs, ["i", "j"], "left")
+    spread = lambda square, plain: F.greatest(F.col(square) - F.col(plain) * F.col(plain) / F.col("n"), F.lit(0.0))
+    scale = F.sqrt(spread("xx", "x") * spread("yy", "y"))
+    r = (F.col("xy") - F.col("x") * F.col("y") / F.col("n")) / F.when(scale > 0, scale)
+    name = lambda c: F.element_at(F.array(*[F.lit(n) for n in names]), (F.col(c) + 1).cast("int"))
+    return pairs.select(
+        name("i").alias("feature_a"), name("j").alias("feature_b"),
+        F.when(F.col("n") > 1, F.coalesce(F.when(F.col("i") == F.col("j"), F.when(scale > 0, 1.0)).otherwise(r), F.lit(float("nan")))).alias("r"))
 
 
 def corr_target(df: DataFrame, features: Sequence[str], target: str) -> DataFrame:

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tabulyte.functions.maths import normal_quantile
@@ -46,8 +48,8 @@ def boxplot(df: DataFrame, value: str, key: str) -> DataFrame:
 def kde(df: DataFrame, value: str, key: str, points: int = GRID_POINTS, cut: float = 3.0) -> DataFrame:
     """Gaussian kernel density per class on an even grid, Scott's bandwidth.
 
-    Kernels are summed over distinct values; each task sums its own share of the
-    grid first, so the shuffle carries one row per class and grid point.
+    Kernels are summed over distinct values; each task adds up the whole grid for the
+    values it holds, so what is shuffled is one row per class, grid point and task.
     """
     stats = df.groupBy(F.col(key).alias("_k")).agg(
         F.count(value).alias("_n"), F.stddev_samp(value).alias("_sd"), F.min(value).alias("_lo"), F.max(value).alias("_hi")
@@ -55,12 +57,25 @@ def kde(df: DataFrame, value: str, key: str, points: int = GRID_POINTS, cut: flo
     values = value_counts(df, value, [key]).join(stats, F.col(key) == F.col("_k"))
     start = F.col("_lo") - cut * F.col("_h")
     step = (F.col("_hi") - F.col("_lo") + 2 * cut * F.col("_h")) / (points - 1)
-    long = values.withColumns({"_start": start, "_step": step}).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    placed = values.select(key, F.col(value).cast("double").alias("_v"), F.col("n").cast("double").alias("_c"), start.alias("_start"), step.alias("_step"), "_h")
+
+    def kernels(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict = {}
+        for batch in batches:
+            for k, rows in batch.groupby(key):
+                grid = rows["_start"].iloc[0] + np.arange(points) * rows["_step"].iloc[0]
+                v, c, h = rows["_v"].to_numpy(), rows["_c"].to_numpy(), rows["_h"].iloc[0]
+                for at in range(0, len(v), 10_000):
+                    u = (grid[:, None] - v[None, at : at + 10_000]) / h
+                    held[k] = held.get(k, 0.0) + np.exp(-u * u / 2) @ c[at : at + 10_000]
+        for k, sums in held.items():
+            yield pd.DataFrame({key: [k] * points, "i": np.arange(points), "_p": sums})
+
+    kind = placed.schema[key].dataType.simpleString()
+    sums = placed.mapInPandas(kernels, f"`{key}` {kind}, i int, _p double").groupBy(key, "i").agg(F.sum("_p").alias("_s"))
+    grid = stats.select(F.col("_k"), start.alias("_start"), step.alias("_step"), "_n", "_h")
     x = F.col("_start") + F.col("i") * F.col("_step")
-    u = (x - F.col(value)) / F.col("_h")
-    kernel = F.col("n") * F.exp(-u * u / 2)
-    sums = long.groupBy(key, "i", "_start", "_step", "_n", "_h").agg(F.sum(kernel).alias("_s"))
-    return sums.select(
+    return sums.join(grid, F.col(key) == F.col("_k")).select(
         key, "i", x.alias("x"), (F.col("_s") / (F.col("_n") * F.col("_h") * F.sqrt(2 * F.pi()))).alias("density")
     )
 

@@ -10,7 +10,9 @@ Visitors of a crowded leaf are spread over several copies of it.
 from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
+from functools import reduce
 from itertools import count
+from operator import and_
 
 import numpy as np
 import pandas as pd
@@ -25,14 +27,39 @@ SAMPLE_PER_LEAF = 16
 VISITORS_PER_TASK = 20_000
 
 
+def complete(df: DataFrame, features: Sequence[str]) -> DataFrame:
+    """Rows in which every feature is a number."""
+    known = lambda c: F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double"))
+    return df.filter(reduce(and_, [known(c) for c in features]))
+
+
 def weighted_points(df: DataFrame, id_col: str, features: Sequence[str]) -> DataFrame:
-    """One row per distinct feature vector: smallest id, number of rows, vector."""
-    rows = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in features])
+    """One row per distinct feature vector: smallest id, number of rows, vector.
+
+    Rows with a null or NaN feature have no distance to others and are left out.
+    """
+    rows = complete(df, features).select(id_col, *[F.col(c).cast("double").alias(c) for c in features])
     return rows.groupBy(*features).agg(F.min(id_col).alias("id"), F.count(F.lit(1)).alias("w")).select(
         "id", "w", F.array(*features).alias("x")
     )
 
 
+def _cut(rows: np.ndarray):
+    """Axis, value and share of the rows below it: the widest axis that its median
+    divides well, or else the best divided one.  Where the median is the smallest value
+    (many equal values), the cut is at the next larger one."""
+    low = rows.min(axis=0)
+    at = np.median(rows, axis=0)
+    above = np.where(rows > low, rows, np.inf).min(axis=0)
+    at = np.where(at > low, at, above)
+    share = (rows < at).mean(axis=0)
+    share[~np.isfinite(at)] = 0.0
+    good = np.minimum(share, 1 - share)
+    width = rows.max(axis=0) - low
+    a = int(np.argmax(np.where(good >= 0.25, width, -1.0))) if (good >= 0.25).any() else int(np.argmax(good))
+    return a, float(at[a]), float(share[a])
+
+
 def _cut_space(sample: np.ndarray, leaves: int):
     """Axis, cut and children of each node; a leaf has child -1 and its number."""
     axis, cut, left, right, leaf = [], [], [], [], []
@@ -43,13 +70,13 @@ def _cut_space(sample: np.ndarray, leaves: int):
         for store, v in ((axis, -1), (cut, 0.0), (left, -1), (right, -1), (leaf, -1)):
             store.append(v)
         if want > 1 and len(rows) >= 2:
-            a = int(np.argmax(rows.max(axis=0) - rows.min(axis=0)))
-            at = float(np.median(rows[:, a]))
-            low = rows[:, a] < at
-            if low.any() and not low.all():
+            a, at, share = _cut(rows)
+            if 0.0 < share < 1.0:
+                low = rows[:, a] < at
                 axis[me], cut[me] = a, at
-                left[me] = grow(rows[low], want // 2)
-                right[me] = grow(rows[~low], want - want // 2)
+                below = min(max(round(want * share), 1), want - 1)
+                left[me] = grow(rows[low], below)
+                right[me] = grow(rows[~low], want - below)
                 return me
         leaf[me] = next(number)
         return me
@@ -73,23 +100,31 @@ def _leaf_of(x: np.ndarray, tree) -> np.ndarray:
 
 def _nearest(query: np.ndarray, points: np.ndarray, weights: np.ndarray, k: int, own: np.ndarray | None):
     """For a block of queries, the nearest points until their weights reach k, as
-    arrays of query row, point row, distance and weight.
+    arrays of query row, point row, distance and weight.  Of points at the last
+    distance, the first k stay, whatever their weights.
 
     `own` gives each query's own row among the points: it counts one copy less,
     and is left out when no other copy remains.
     """
     d = np.sqrt(np.maximum(((query[:, None, :] - points[None, :, :]) ** 2).sum(axis=2), 0.0))
     few = min(len(points), k + 1)
-    near = np.argpartition(d, few - 1, axis=1)[:, :few] if few < len(points) else np.tile(np.arange(few), (len(d), 1))
-    dist = np.take_along_axis(d, near, axis=1)
-    order = np.lexsort((near, dist), axis=1)
-    near, dist = np.take_along_axis(near, order, axis=1), np.take_along_axis(dist, order, axis=1)
+    far = np.partition(d, few - 1, axis=1)[:, few - 1 : few] if few < len(points) else np.full((len(d), 1), np.inf)
+    row, near = np.nonzero(d <= far)
+    dist = d[row, near]
+    order = np.lexsort((near, dist, row))
+    row, near, dist = row[order], near[order], dist[order]
     w = weights[near]
     if own is not None:
-        w = w - (near == own[:, None])
-    before = np.cumsum(w, axis=1) - w
-    row, at = np.nonzero((before < k) & (w > 0))
-    return row, near[row, at], dist[row, at], w[row, at]
+        w = w - (near == own[row])
+        row, near, dist, w = row[w > 0], near[w > 0], dist[w > 0], w[w > 0]
+    if not len(row):
+        return row, near, dist, w
+    before = np.cumsum(w) - w
+    tie = np.concatenate([[True], (row[1:] != row[:-1]) | (dist[1:] != dist[:-1])])
+    first = np.maximum.accumulate(np.where(tie, np.arange(len(row)), 0))
+    start = np.searchsorted(row, row)
+    use = (before[first] - before[start] < k) & (np.arange(len(row)) - first < k)
+    return row[use], near[use], dist[use], w[use]
 
 
 def _neighbour_rows(query, qid, points, pid, weights, k, own=None, bound=None) -> pd.DataFrame:
@@ -115,10 +150,36 @@ def knn(points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     """`(id, nb, d, w)`: nearest points of each point until they stand for k rows.
 
     `w` is the number of rows taken from the neighbour; they add up to k, or to
-    all other rows when there are fewer.  Ties go to the smaller id.
+    all other rows when there are fewer.  Ties go to the smaller id of a point.
     """
+    return _first_k(_candidates(written(points, "points"), k, leaf_rows), k)
+
+
+def knn_rows(df: DataFrame, id_col: str, features: Sequence[str], k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
+    """`(id, nb, d)`: the k nearest other rows of every row, ties to the smaller id.
+
+    Copies are rows of their own, at distance 0.  Rows with a null or NaN feature
+    neither have nor are neighbours.  The search runs on distinct vectors; at most
+    k + 1 rows of a vector can be among the nearest of another.
+    """
+    points = written(weighted_points(df, id_col, features), "points")
+    vector = F.array(*[F.col(c).cast("double") for c in features]).alias("x")
+    members = written(
+        complete(df, features).select(F.col(id_col).alias("row"), vector).join(points.select(F.col("id").alias("v"), "x"), "x").select("v", "row"), "members")
+    some = members.withColumn("_n", F.row_number().over(W.partitionBy("v").orderBy("row"))).filter(F.col("_n") <= k + 1).drop("_n")
+    near = _candidates(points, k, leaf_rows).select("id", "nb", "d")
+    near = near.unionByName(points.select("id", F.col("id").alias("nb"), F.lit(0.0).alias("d")))
+    rows = near.join(some, F.col("nb") == F.col("v")).select("id", "d", "row")
+    rows = rows.withColumn("_n", F.row_number().over(W.partitionBy("id").orderBy("d", "row"))).filter(F.col("_n") <= k + 1)
+    lists = rows.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("d", "row"))).alias("near"))
+    own = members.join(lists, F.col("v") == F.col("id")).select(F.col("row").alias("id"), "near")
+    others = F.slice(F.filter("near", lambda n: n["row"] != F.col("id")), 1, k)
+    return own.select("id", F.explode(others).alias("n")).select("id", F.col("n.row").alias("nb"), F.col("n.d").alias("d"))
+
+
+def _candidates(points: DataFrame, k: int, leaf_rows: int) -> DataFrame:
+    """All points that can be among the k nearest rows of each point, with ties."""
     spark = points.sparkSession
-    points = written(points, "points")
     n = points.count()
     leaves = max(1, min(n // leaf_rows, MAX_LEAVES))
     sample = thinned(points, ["id"], leaves * SAMPLE_PER_LEAF).orderBy("id").select("x").toPandas()
@@ -138,7 +199,7 @@ def knn(points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
 
     inside = written(placed.groupBy("leaf").applyInPandas(local, NEIGHBOUR), "inside")
     if leaves == 1:
-        return _first_k(inside, k)
+        return inside
 
     boxes = placed.groupBy("leaf").agg(*[
         f(F.col("x")[i]).alias(f"{n_}{i}") for i in range(len(sample["x"].iloc[0]))
@@ -188,7 +249,7 @@ def knn(points: DataFrame, k: int, leaf_rows: int = LEAF_ROWS) -> DataFrame:
     outside = guests.select("id", "x", "bound", "leaf", "part").groupBy("leaf", "part").cogroup(
         hosts.select("id", "x", "w", "leaf", "part").groupBy("leaf", "part")
     ).applyInPandas(receive, NEIGHBOUR)
-    return _first_k(inside.unionByName(outside), k)
+    return inside.unionByName(outside)
 
 
 def _first_k(candidates: DataFrame, k: int) -> DataFrame:
@@ -234,7 +295,7 @@ def smote(df: DataFrame, id_col: str, features: Sequence[str], label: str, k: in
     A synthetic row lies between a minority row and one of its k nearest ones; how
     many a row gives, which neighbour and how far are fixed by hashes of its id.
     """
-    rows = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("int").alias(label))
+    rows = complete(df, features).select(id_col, *[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("int").alias(label))
     sizes = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     minor = min(sizes, key=lambda c: (sizes[c], -c))
     need = max(sizes.values()) - sizes[minor]
@@ -243,15 +304,14 @@ def smote(df: DataFrame, id_col: str, features: Sequence[str], label: str, k: in
         return rows.withColumn("synthetic", F.lit(False))
     from tabulyte.operators.ordering import positions
 
-    points = written(weighted_points(few, id_col, features), "minority")
-    near = knn(points, k).join(points.select(F.col("id").alias("nb"), F.col("x").alias("nx")), "nb")
-    lists = near.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("d", "nb", "nx"))).alias("near"))
-    by_vector = points.join(lists, "id").select("x", "near")
+    few = written(few, "minority")
+    vector = F.array(*features)
+    near = knn_rows(few, id_col, features, k).join(few.select(F.col(id_col).alias("nb"), vector.alias("nx")), "nb")
+    lists = near.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("d", "nb", "nx"))).alias("near")).withColumnRenamed("id", "_near_id")
     each, extra = divmod(need, sizes[minor])
     ranked = positions(few.withColumn("_h", F.xxhash64(id_col, F.lit(seed))), ["_h", id_col], name="_pos")
     gives = ranked.withColumn("_copies", F.lit(each) + (F.col("_pos") <= extra).cast("bigint")).filter("_copies > 0")
-    vector = F.array(*features)
-    base = gives.withColumn("x", vector).join(by_vector, "x")
+    base = gives.join(lists, F.col(id_col) == F.col("_near_id"))
     made = base.withColumn("_j", F.explode(F.sequence(F.lit(1), F.col("_copies"))))
     pick = F.element_at("near", (F.pmod(F.xxhash64(id_col, "_j", F.lit(seed)), F.size("near")) + 1).cast("int"))
     share = F.pmod(F.xxhash64(id_col, "_j", F.lit(seed + 1)), F.lit(1_000_000)) / 1_000_000.0

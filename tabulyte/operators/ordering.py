@@ -14,6 +14,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from tabulyte.session import written
+
 SAMPLE_PER_BLOCK = 24
 MAX_BLOCKS = 16_384
 
@@ -42,12 +44,17 @@ def thinned(df: DataFrame, cols: Sequence[str], target: int, seed: int = 42) ->
     return df.withColumn("_n", n).filter(spot * F.col("_n").cast("double") < float(target * hash_range)).drop("_n")
 
 
-def with_blocks(df: DataFrame, order: Sequence[str], name: str = "_block") -> DataFrame:
-    """Add the number of the block of the order that each row falls in."""
+def with_blocks(df: DataFrame, order: Sequence[str], name: str = "_block", keys: Sequence[str] = ()) -> DataFrame:
+    """Add the number of the block of the order that each row falls in.
+
+    The sample hashes the order together with the keys, so a value that many keys
+    share is not drawn with all of them.
+    """
     blocks = _block_count(df)
     group = max(2, int(blocks**0.5))
     key = F.struct(*[F.col(c) for c in order])
-    sample = thinned(df.select(*order), order, blocks * SAMPLE_PER_BLOCK)
+    drawn = list(dict.fromkeys([*order, *keys]))
+    sample = thinned(df.select(*drawn), drawn, blocks * SAMPLE_PER_BLOCK)
     cuts = sample.agg(F.sort_array(F.collect_list(key)).alias("k")).withColumn(
         "step", F.greatest(F.lit(1), F.floor(F.size("k") / blocks)).cast("int")
     )
@@ -90,7 +97,9 @@ def running(
     `order` must identify a row within its keys (aggregate to distinct values
     first, or add an id).  `reverse` accumulates from the far end, as do the
     measures in `ahead`, which share the blocks and the shuffle of `out`;
-    `totals` adds `<name>_total`, the value over the whole key.
+    `totals` adds `<name>_total`, the value over the whole key.  The input is written
+    once to the shared folder: the count, the sample, the blocks and the rows inside
+    them all read that table and not the plan behind it.
     """
     keys = list(keys)
     part = [*keys, "_block"]
@@ -98,7 +107,7 @@ def running(
     measures.update({n: (a, c, True) for n, (a, c) in (ahead or {}).items()})
     wanted = df.columns
     df = df.select("*", *[_as_column(c).alias(f"_v_{n}") for n, (_, c, _) in measures.items()])
-    blocked = with_blocks(df, order)
+    blocked = with_blocks(written(df, "ordered"), order, keys=keys)
 
     def toward(backward: bool, c: str) -> Column:
         return F.col(c).desc() if backward else F.col(c).asc()

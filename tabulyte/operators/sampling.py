@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabulyte.operators.ordering import positions
 
-LIMITED_WINDOW = 1000
-
 
 def hashed(ids: Sequence[str], seed: int = 42) -> Column:
     return F.xxhash64(*ids, F.lit(seed))
@@ -41,12 +39,17 @@ def both_ends(df: DataFrame, col: str, k: int, ties: Sequence[str]) -> DataFrame
 def top_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k: int) -> DataFrame:
     """First k rows per group with their rank.
 
-    The rank filter lets Spark keep k rows per group before the shuffle, so a
-    crowded group does not reach one task whole.
+    The rank filter lets Spark keep k rows per group before the shuffle, up to its
+    own threshold.  The rows of a group are first dealt to as many parts as there are
+    shuffle partitions and cut to k in each, so for any k a crowded group reaches one
+    task only with k rows of each part.
     """
-    if k > LIMITED_WINDOW:
-        raise ValueError(f"use positions() for more than {LIMITED_WINDOW} rows per group")
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     w = W.partitionBy(*keys).orderBy(*order)
+    if k > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")):
+        dealt = df.withColumn("_part", F.pmod(F.xxhash64(*df.columns), F.lit(parts)))
+        some = W.partitionBy(*keys, "_part").orderBy(*order)
+        df = dealt.withColumn("_rank", F.row_number().over(some)).filter(F.col("_rank") <= k).drop("_part", "_rank")
     return df.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
@@ -66,5 +69,20 @@ def shuffled(df: DataFrame, ids: Sequence[str], seed: int = 42) -> DataFrame:
     return df.orderBy(hashed(ids, seed), *ids)
 
 
-def bootstrap(df: DataFrame, fraction: float, seed: int = 42) -> DataFrame:
-    return df.sample(withReplacement=True, fraction=fraction, seed=seed)
+def draw(i: Column, n: Column, seed: int = 42) -> Column:
+    """A position from 1 to n for draw number i, from a digest that SQL has too."""
+    digest = F.substring(F.md5(F.concat_ws(":", F.lit(str(seed)), i.cast("string")).cast("binary")), 1, 15)
+    return F.pmod(F.conv(digest, 16, 10).cast("bigint"), n) + 1
+
+
+def bootstrap(df: DataFrame, ids: Sequence[str], size: int | None = None, seed: int = 42) -> DataFrame:
+    """Exactly `size` rows (as many as there are, if none is given) drawn with replacement.
+
+    Draw i takes the row at a hashed position of the order of `ids`, so the sample
+    does not depend on partitioning.  An empty table gives an empty sample.
+    """
+    n = df.count()
+    draws = df.sparkSession.range(1, (n if size is None else size) + 1 if n else 1)
+    times = draws.select(draw(F.col("id"), F.lit(max(n, 1)), seed).alias("_pos")).groupBy("_pos").agg(F.count(F.lit(1)).alias("_times"))
+    rows = positions(df, list(ids), name="_pos").join(times, "_pos")
+    return rows.withColumn("_i", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_times")))).drop("_pos", "_times", "_i")

@@ -13,14 +13,15 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from tabulyte.functions.dist import digamma, trigamma
+from tabulyte.operators.ordering import running
+from tabulyte.session import written
 
 
 def _life_table(df: DataFrame, time: str, event: str, keys: Sequence[str] = ()) -> DataFrame:
     table = df.groupBy(*keys, time).agg(
         F.sum(F.col(event).cast("bigint")).alias("events"), F.count(F.lit(1)).alias("rows")
     )
-    later = W.partitionBy(*keys).orderBy(F.desc(time)).rowsBetween(W.unboundedPreceding, 0)
-    return table.withColumn("at_risk", F.sum("rows").over(later))
+    return running(table, [time], {"at_risk": ("sum", "rows")}, keys, reverse=True)
 
 
 def kaplan_meier(df: DataFrame, time: str, event: str, keys: Sequence[str] = ()) -> DataFrame:
@@ -91,6 +92,7 @@ def cox(
     z = [(F.col(c) - F.lit(float(mean[i]))) / F.lit(float(std[i])) for i, c in enumerate(features)]
     rows = df.select(F.col(time).alias("t"), F.col(event).cast("double").alias("e"),
                      *[c.alias(f"z{i}") for i, c in enumerate(z)])
+    rows = written(rows, "cox")  # each step reads it again
     upper = [(i, j) for i in range(p) for j in range(i, p)]
     risk_names = ["s0", *[f"s1_{i}" for i in range(p)], *[f"s2_{i}_{j}" for i, j in upper]]
 

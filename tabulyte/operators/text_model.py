@@ -2,13 +2,21 @@
 
 from __future__ import annotations
 
+import time
+from collections.abc import Mapping
+
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import IDF, CountVectorizer, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover
+from pyspark.ml.feature import (
+    IDF, CountVectorizer, ElementwiseProduct, NGram, Normalizer, RegexTokenizer, SQLTransformer, StopWordsRemover,
+)
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, functions as F
 
 from tabulyte.functions.text import HANDLES, LINKS
-from tabulyte.operators.models import training_rows
+from tabulyte.operators.models import metric_table, released, score, training_rows
+from tabulyte.operators.prep import kfold_stratified
+from tabulyte.session import written
 
 # The cleaning step of functions.text.clean_spaced, as a stage that is saved with the model.
 CLEAN = (
@@ -17,8 +25,8 @@ CLEAN = (
 )
 
 
-def vector_stages(text: str = "text", max_features: int = 5000, bigrams: bool = False) -> list:
-    """Clean, split, drop stop words, count, weight and normalise."""
+def count_stages(text: str = "text", max_features: int = 5000, bigrams: bool = False) -> list:
+    """Clean, split, drop stop words and count words, or words and pairs of neighbours."""
     stages = [
         SQLTransformer(statement=CLEAN.format(c=text, links=LINKS, handles=HANDLES)),
         RegexTokenizer(inputCol="clean", outputCol="words", pattern=r"\b\w\w+\b", gaps=False),
@@ -26,13 +34,17 @@ def vector_stages(text: str = "text", max_features: int = 5000, bigrams: bool =
     ]
     last = "kept"
     if bigrams:
-        stages.append(NGram(n=2, inputCol="kept", outputCol="pairs"))
-        last = "pairs"
-    return stages + [
-        CountVectorizer(inputCol=last, outputCol="counts", vocabSize=max_features),
-        IDF(inputCol="counts", outputCol="weighted"),
-        Normalizer(inputCol="weighted", outputCol="features"),
-    ]
+        stages += [NGram(n=2, inputCol="kept", outputCol="pairs"), SQLTransformer(statement="SELECT *, concat(kept, pairs) AS grams FROM __THIS__")]
+        last = "grams"
+    return [*stages, CountVectorizer(inputCol=last, outputCol="counts", vocabSize=max_features)]
+
+
+def fit_vectors(df: DataFrame, text: str = "text", **kw) -> PipelineModel:
+    """Vectors `tf * (ln((1+n)/(1+df)) + 1)` of length 1, as `terms.tfidf` weighs them."""
+    counted = Pipeline(stages=count_stages(text, **kw)).fit(df)
+    idf = IDF(inputCol="counts", outputCol="plain").fit(counted.transform(df).select("counts"))
+    weights = ElementwiseProduct(scalingVec=Vectors.dense(idf.idf.toArray() + 1.0), inputCol="counts", outputCol="weighted")
+    return PipelineModel(stages=[*counted.stages, weights, Normalizer(inputCol="weighted", outputCol="features")])
 
 
 def fit_text_model(df: DataFrame, estimator, text: str = "text", **kw) -> PipelineModel:
@@ -41,9 +53,36 @@ def fit_text_model(df: DataFrame, estimator, text: str = "text", **kw) -> Pipeli
     The vectors are made once and kept; the classifier's passes then read them
     instead of cleaning the texts again.
     """
-    words = Pipeline(stages=vector_stages(text, **kw)).fit(df)
-    vectors = words.transform(df).select("features", estimator.getLabelCol())
-    return PipelineModel(stages=[*words.stages, estimator.fit(training_rows(vectors))])
+    words = fit_vectors(df, text, **kw)
+    vectors = training_rows(words.transform(df).select("features", estimator.getLabelCol()))
+    model = PipelineModel(stages=[*words.stages, estimator.fit(vectors)])
+    released(vectors)
+    return model
+
+
+def benchmark(df: DataFrame, estimators: Mapping[str, object], id_col: str, label: str, text: str = "text", folds: int = 5, **kw) -> DataFrame:
+    """Mean AUC, average precision and F1 of text classifiers over stratified folds, with
+    the seconds of fitting.  Vocabulary and weights see the training folds only; the
+    models of a fold share its vectors."""
+    dealt = written(kfold_stratified(df.select(id_col, text, label), [id_col], label, folds), "folds")
+    seconds = dict.fromkeys(estimators, 0.0)
+    stacked = None
+    for k in range(folds):
+        train = dealt.filter(F.col("fold") != k)
+        words = fit_vectors(train, text, **kw)
+        vectors = training_rows(words.transform(train).select("features", label))
+        held = words.transform(dealt.filter(F.col("fold") == k)).select(id_col, label, "fold", "features")
+        for name, estimator in estimators.items():
+            start = time.perf_counter()
+            model = PipelineModel(stages=[estimator.fit(vectors)])
+            seconds[name] += time.perf_counter() - start
+            one = score(model, held, [id_col, label, "fold"]).select(F.lit(name).alias("model"), "*")
+            stacked = one if stacked is None else stacked.unionByName(one)
+        released(vectors)
+    table = metric_table(written(stacked, "scores"), label, ["model", "fold"])
+    means = table.groupBy("model").agg(*[F.avg(c).alias(c) for c in ("auc", "average_precision", "f1")])
+    times = df.sparkSession.createDataFrame(list(seconds.items()), "model string, fit_seconds double")
+    return means.join(times, "model")
 
 
 def score_text(model: PipelineModel, df: DataFrame, keep: list[str]) -> DataFrame:

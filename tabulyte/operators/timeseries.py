@@ -300,14 +300,15 @@ def garch_path(r2: np.ndarray, omega, alpha, beta) -> tuple[np.ndarray, np.ndarr
     return ll, var
 
 
-def garch(s: Series, rounds: int = 4) -> DataFrame:
+def garch(s: Series, rounds: int = 4, short_volatility: bool = False) -> DataFrame:
     """GARCH(1,1) of zero-mean percentage returns: likelihood search with the long-run
-    variance held at the sample one; the 21-row volatility where a series is short."""
+    variance held at the sample one.  Below 100 returns nothing is fitted and all is
+    null; `short_volatility` asks for the 21-row volatility in its place."""
     def fit(x):
         r = 100 * (x[1:] / x[:-1] - 1)
         if len(r) < 100:
             return pd.DataFrame([{"omega": None, "alpha": None, "beta": None, "persistence": None,
-                                  "volatility": float(np.std(r[-21:], ddof=1)) if len(r) > 1 else None, "fitted": False}])
+                                  "volatility": float(np.std(r[-21:], ddof=1)) if short_volatility and len(r) > 1 else None, "fitted": False}])
         r2, v = r * r, float((r * r).mean())
         lo, hi = np.array([0.001, 0.001]), np.array([0.5, 0.998])
         for _ in range(rounds):

@@ -29,7 +29,7 @@ def near_sql(k):
 
 @query("join_knn_topk", f"SELECT id, nb, d FROM {near_sql(5)}", {7: "d"})
 def join_knn_topk(t):
-    return nb.knn(nb.weighted_points(plane(t), "id", ["a", "b"]), 5).drop("w")
+    return nb.knn_rows(plane(t), "id", ["a", "b"], 5)
 
 
 LOF_SQL = f"""(WITH n AS MATERIALIZED (SELECT * FROM {near_sql(25)}), k AS (SELECT id, max(d) AS kdist FROM n GROUP BY 1),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tabulyte.functions import maths
 from tabulyte.operators import aggregates as ag, charts, graph, metrics as me, prep, series as se
 from tabulyte.plans.aggregates import NUMERIC
 from tabulyte.plans.joins_sets import SWEEP_SQL
@@ -330,7 +331,28 @@ def viz_normal_fit(t):
     return charts.normal_fit(s.with_columns(ret=se.pct_change(s)).df, "ret", "pair")
 
 
-@query("viz_qq")
+def _horner(x, coefficients):
+    text = f"({coefficients[-1]!r})::DOUBLE"
+    for c in reversed(coefficients[:-1]):
+        text = f"({text} * {x} + ({c!r})::DOUBLE)"
+    return text
+
+
+def _ratio(x, head):
+    return f"{_horner(x, getattr(maths, head + '_NUM'))} / {_horner(x, getattr(maths, head + '_DEN'))}"
+
+
+@query(
+    "viz_qq",
+    f"""WITH r AS (SELECT o_orderpriority, o_orderkey, o_totalprice, count(*) OVER (PARTITION BY o_orderpriority) AS n,
+                          row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_totalprice, o_orderkey) AS i FROM orders),
+             p AS (SELECT *, CASE WHEN i = n THEN power(0.5, 1.0 / n) WHEN i = 1 THEN 1 - power(0.5, 1.0 / n) ELSE (i - 0.3175) / (n + 0.365) END AS p FROM r),
+             q AS (SELECT *, p - 0.5 AS q, 0.180625 - (p - 0.5) * (p - 0.5) AS c, sqrt(-ln(least(p, 1 - p))) AS t FROM p)
+        SELECT o_orderpriority, o_orderkey, o_totalprice, p AS position,
+               CASE WHEN abs(q) <= 0.425 THEN q * {_ratio('c', 'CENTRE')}
+                    ELSE sign(q) * CASE WHEN t <= 5 THEN {_ratio('(t - 1.6)', 'NEAR')} ELSE {_ratio('(t - 5.0)', 'FAR')} END END AS theoretical FROM q""",
+    {8: "position theoretical"},
+)
 def viz_qq(t):
     return charts.qq(t.orders.select("o_orderkey", "o_orderpriority", "o_totalprice"), "o_totalprice", ["o_orderkey"], ["o_orderpriority"])
 

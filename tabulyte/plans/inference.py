@@ -251,7 +251,21 @@ def bayes_beta_posterior(t):
     return bayes.beta_posterior(t.orders, F.col("o_orderstatus") == "F", ["o_orderpriority"]).drop("lower", "upper")
 
 
-@query("bayes_beta_interval")
+@query(
+    "bayes_beta_interval",
+    """WITH RECURSIVE c AS (SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS k, count(o_orderstatus) AS n FROM orders GROUP BY 1),
+         b AS (
+           SELECT o_orderpriority, k, n, p, 0 AS step, 0.0::DOUBLE AS lo, 1.0::DOUBLE AS hi FROM c, (VALUES (0.025::DOUBLE), (0.975::DOUBLE)) v(p)
+           UNION ALL
+           SELECT o_orderpriority, k, n, p, step + 1, CASE WHEN below < p THEN mid ELSE lo END, CASE WHEN below < p THEN hi ELSE mid END
+           FROM (SELECT *, list_sum(list_transform(range(k + 1, n + 2),
+                          lambda j: exp(lgamma(n + 2) - lgamma(j + 1) - lgamma(n + 2 - j) + j * ln(mid) + (n + 1 - j) * ln(1 - mid)))) AS below
+                 FROM (SELECT *, (lo + hi) / 2 AS mid FROM b WHERE step < 45)))
+       SELECT o_orderpriority, k, n, k + 1 AS alpha, n - k + 1 AS beta, (k + 1) / (n + 2) AS mean,
+              max(lo) FILTER (p < 0.5) AS lower, max(lo) FILTER (p > 0.5) AS upper
+       FROM b WHERE step = 45 GROUP BY ALL""",
+    {8: "mean lower upper"},
+)
 def bayes_beta_interval(t):
     return bayes.beta_posterior(t.orders, F.col("o_orderstatus") == "F", ["o_orderpriority"])
 

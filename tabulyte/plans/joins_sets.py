@@ -156,9 +156,15 @@ def sample_shuffle(t):
     return sampling.shuffled(t.supplier.select("s_suppkey", "s_name"), ["s_suppkey"])
 
 
-@query("sample_replace")
+@query(
+    "sample_replace",
+    """SELECT o_orderkey, o_totalprice
+       FROM (SELECT ('0x' || substr(md5('42:' || i), 1, 15))::BIGINT % (SELECT count(*) FROM orders) + 1 AS pos
+             FROM range(1, (SELECT count(*) + 1 FROM orders)) r(i))
+       JOIN (SELECT o_orderkey, o_totalprice, row_number() OVER (ORDER BY o_orderkey) AS pos FROM orders) USING (pos)""",
+)
 def sample_replace(t):
-    return sampling.bootstrap(t.orders.select("o_orderkey", "o_totalprice"), 1.0)
+    return sampling.bootstrap(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"])
 
 
 @query(

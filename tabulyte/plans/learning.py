@@ -14,7 +14,7 @@ from tabulyte.plans.stand_ins import SCORED_SQL
 from tabulyte.session import landing_path
 from tabulyte.streaming.scoring import score_stream
 
-FEATURES = ["text_len", "word_count", "has_url", "has_question", "has_exclaim", "caps_ratio"]
+FEATURES = ["text_len", "word_count", "has_url", "has_question", "has_exclaim", "caps_ratio", "has_emoji"]
 LINES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
@@ -85,15 +85,41 @@ def ml_model_compare(t):
     train, test = parts(t)
     scaled, plain = mo.feature_stages(FEATURES), mo.feature_stages(FEATURES, scale=False)
     return mo.compare(train, test, {
-        "logistic": (scaled, mo.logistic("y")), "random_forest": (plain, mo.random_forest("y", trees=20)),
-        "gradient_boosting": (plain, mo.gradient_boosting("y", rounds=10)), "linear_svm": (scaled, mo.linear_svm("y")),
+        "logistic": (scaled, mo.logistic("y")), "random_forest": (plain, mo.random_forest("y")),
+        "gradient_boosting": (plain, mo.gradient_boosting("y")), "linear_svm": (scaled, mo.linear_svm("y")),
     }, "doc_id", "y")
 
 
+@query("ml_class_weighted")
+def ml_class_weighted(t):
+    train, test = parts(t)
+    train = mo.balanced(train, "y")
+    scaled, plain = mo.feature_stages(FEATURES), mo.feature_stages(FEATURES, scale=False)
+    return mo.compare(train, test, {
+        "logistic": (scaled, mo.logistic("y", weightCol="weight")), "random_forest": (plain, mo.random_forest("y", weightCol="weight")),
+        "gradient_boosting": (plain, mo.gradient_boosting("y", weightCol="weight")),
+    }, "doc_id", "y")
+
+
+@query("ml_smote_compare")
+def ml_smote_compare(t):
+    train, test = parts(t)
+    more = mo.training_rows(smote(train.select("doc_id", "y", *FEATURES), "doc_id", FEATURES, "y"))
+    plain = mo.feature_stages(FEATURES, scale=False)
+    return mo.compare(more, test, {"random_forest": (plain, mo.random_forest("y")), "gradient_boosting": (plain, mo.gradient_boosting("y"))}, "doc_id", "y")
+
+
+@query("ml_text_benchmark")
+def ml_text_benchmark(t):
+    docs = t.spread("documents").select("doc_id", "text").join(t.labels.select("doc_id", F.col("quality").cast("int").alias("y")), "doc_id")
+    models = {"logistic": mo.logistic("y"), "naive_bayes": mo.naive_bayes("y"), "linear_svm": mo.linear_svm("y")}
+    return text_model.benchmark(docs, models, "doc_id", "y", max_features=35_000, bigrams=True)
+
+
 @query("ml_hyperparam_search")
 def ml_hyperparam_search(t):
     train, _ = parts(t)
-    return mo.search(train, mo.feature_stages(FEATURES, scale=False), "y", trials=6)
+    return mo.search(train, mo.feature_stages(FEATURES, scale=False), "y", "doc_id")
 
 
 @query("ml_multiclass")
@@ -124,7 +150,7 @@ def ml_tree_rules(t):
 
 @query("ml_learning_curve")
 def ml_learning_curve(t):
-    return mo.learning_curve(labelled_features(t), mo.feature_stages(FEATURES), mo.logistic("y", maxIter=25), "doc_id", "y")
+    return mo.learning_curve(labelled_features(t), mo.feature_stages(FEATURES), mo.logistic("y"), "doc_id", "y")
 
 
 @query(
@@ -143,7 +169,7 @@ def ml_error_sample(t):
 @query("ml_feature_importance")
 def ml_feature_importance(t):
     train, _ = parts(t)
-    model = mo.fit(train, mo.feature_stages(FEATURES, scale=False), mo.random_forest("y", trees=20))
+    model = mo.fit(train, mo.feature_stages(FEATURES, scale=False), mo.random_forest("y"))
     return mo.importances(model, FEATURES, t.spark, 5)
 
 
@@ -172,7 +198,7 @@ def ml_shap_linear(t):
 @query("ml_shap_sampled")
 def ml_shap_sampled(t):
     train, test = parts(t)
-    model = mo.fit(train, mo.feature_stages(FEATURES, scale=False), mo.random_forest("y", trees=20))
+    model = mo.fit(train, mo.feature_stages(FEATURES, scale=False), mo.random_forest("y"))
     return mo.mean_absolute(mo.sampled_shapley(model, test, FEATURES, "doc_id"))
 
 
@@ -188,7 +214,7 @@ def saved_text_model(t):
     """A text model of document quality, trained and saved in the shared folder."""
     rows = t.spread("documents").select("doc_id", "text").join(t.labels.select("doc_id", F.col("quality").cast("int").alias("y")), "doc_id")
     path = landing_path(t.spark, "text-model")
-    text_model.fit_text_model(rows, mo.logistic("y", maxIter=25), max_features=2000).write().save(path)
+    text_model.fit_text_model(rows, mo.logistic("y"), max_features=35_000, bigrams=True).write().save(path)
     return path
 
 
@@ -203,7 +229,7 @@ def ml_score_text(t):
 @query("stream_score_text")
 def stream_score_text(t):
     out = score_stream(
-        t.spark, t.folder, "conversations.parquet", t.conversations.schema, saved_text_model(t), ["conv_id", "turn"],
+        t.spark, f"{t.folder}/conversations.parquet", t.conversations.schema, saved_text_model(t), ["conv_id", "turn"],
         landing_path(t.spark, "scored"), landing_path(t.spark, "stream"),
     )
     return t.spark.read.parquet(out)

@@ -15,17 +15,24 @@ STOP = ("the and of to in is it that on en for with as this be by are at or an "
 STOP_SQL = ", ".join(f"'{w}'" for w in STOP)
 
 ROWS_SQL = "(SELECT doc_id, text, quality AS y FROM documents JOIN labels USING (doc_id))"
-WORDS_SQL = f"""(SELECT doc_id, y, list_filter(string_split({CLEAN_SQL}, ' '), lambda w: len(w) >= 2 AND w NOT IN ({STOP_SQL})) AS w FROM {ROWS_SQL})"""
+ALL_SQL = "(SELECT doc_id, text, NULL AS y FROM documents)"
+
+
+def words_sql(source):
+    return f"""(SELECT doc_id, y, list_filter(string_split({CLEAN_SQL}, ' '), lambda w: len(w) >= 2 AND w NOT IN ({STOP_SQL})) AS w FROM {source})"""
+
+
+WORDS_SQL = words_sql(ROWS_SQL)
 PAIRS = "list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])"
 
 
-def grams_sql(sizes):
+def grams_sql(sizes, source=ROWS_SQL):
     grams = {(1, 1): "w", (2, 2): PAIRS, (1, 2): f"list_concat(w, {PAIRS})"}[sizes]
-    return f"(SELECT doc_id, y, unnest({grams}) AS term FROM {WORDS_SQL})"
+    return f"(SELECT doc_id, y, unnest({grams}) AS term FROM {words_sql(source)})"
 
 
-def counts_sql(sizes, limit):
-    return f"""(WITH g AS MATERIALIZED (SELECT doc_id, y, term, count(*) AS tf FROM {grams_sql(sizes)} GROUP BY ALL),
+def counts_sql(sizes, limit, source=ROWS_SQL):
+    return f"""(WITH g AS MATERIALIZED (SELECT doc_id, y, term, count(*) AS tf FROM {grams_sql(sizes, source)} GROUP BY ALL),
         v AS MATERIALIZED (SELECT term FROM g GROUP BY term ORDER BY sum(tf) DESC, term LIMIT {limit})
         SELECT doc_id, y, term, tf FROM g JOIN v USING (term))"""
 
@@ -39,14 +46,18 @@ def txt_tokenize_count(t):
     return terms.class_counts(rows(t), "text", "y", STOP)
 
 
-@query("txt_count_vectorize", f"SELECT doc_id, term, tf FROM {counts_sql((1, 2), 500)}")
+def every(t):
+    return t.spread("documents").select("doc_id", "text")
+
+
+@query("txt_count_vectorize", f"SELECT doc_id, term, tf FROM {counts_sql((1, 2), 500, ALL_SQL)}")
 def txt_count_vectorize(t):
-    return terms.term_counts(rows(t), "text", "doc_id", max_features=500, stop=STOP, sizes=(1, 2))
+    return terms.term_counts(every(t), "text", "doc_id", max_features=500, stop=STOP, sizes=(1, 2))
 
 
-def weights_sql(limit):
-    return f"""(WITH c AS {counts_sql((1, 1), limit)}, f AS (SELECT term, count(*) AS df FROM c GROUP BY 1),
-      w AS (SELECT doc_id, y, c.term, tf, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM {ROWS_SQL})) / (1 + df)) + 1) AS w FROM c JOIN f USING (term))
+def weights_sql(limit, source=ROWS_SQL):
+    return f"""(WITH c AS {counts_sql((1, 1), limit, source)}, f AS (SELECT term, count(*) AS df FROM c GROUP BY 1),
+      w AS (SELECT doc_id, y, c.term, tf, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM {source})) / (1 + df)) + 1) AS w FROM c JOIN f USING (term))
       SELECT doc_id, y, term, tf, w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)) AS weight FROM w)"""
 
 
@@ -56,9 +67,11 @@ def weights(t, limit):
     return terms.tfidf(counts, "doc_id", terms.row_count(docs), sublinear=True, max_features=limit)
 
 
-@query("txt_tfidf", f"SELECT doc_id, term, tf, weight FROM {weights_sql(1000)}", {8: "weight"})
+@query("txt_tfidf", f"SELECT doc_id, term, tf, weight FROM {weights_sql(1000, ALL_SQL)}", {8: "weight"})
 def txt_tfidf(t):
-    return weights(t, 1000).drop("y")
+    docs = every(t)
+    counts = terms.term_counts(docs, "text", "doc_id", max_features=1000, stop=STOP)
+    return terms.tfidf(counts, "doc_id", terms.row_count(docs), sublinear=True, max_features=1000)
 
 
 def scores_sql(sizes, limit):

@@ -113,7 +113,19 @@ def ts_acf(t):
     return ts.acf(fx(t))
 
 
-@query("ts_pacf")
+@query(
+    "ts_pacf",
+    f"""WITH RECURSIVE a AS (SELECT pair, list(acf ORDER BY lag) AS r FROM {ACF_SQL} GROUP BY pair),
+          p(pair, k, phi, last, r) AS (
+            SELECT pair, 0::BIGINT, []::DOUBLE[], 1.0::DOUBLE, r FROM a
+            UNION ALL
+            SELECT pair, k + 1, list_append(list_transform(range(1, k + 1), lambda i: phi[i] - step * phi[k + 1 - i]), step), step, r
+            FROM (SELECT *, (r[k + 2] - coalesce(list_sum(list_transform(range(1, k + 1), lambda i: phi[i] * r[k + 2 - i])), 0))
+                            / (1 - coalesce(list_sum(list_transform(range(1, k + 1), lambda i: phi[i] * r[i + 1])), 0)) AS step
+                  FROM p WHERE k < 40))
+        SELECT pair, k AS lag, last AS pacf FROM p""",
+    {6: "pacf"},
+)
 def ts_pacf(t):
     return ts.pacf(fx(t))
 

@@ -263,25 +263,33 @@ def win_cusum(t):
     return se.cusum(daily(t)).drop("series", "volume")
 
 
-@query(
-    "win_changepoint",
-    f"""WITH r AS (SELECT pair, d, ret, row_number() {OVER} - 1 AS n1, count(*) OVER (PARTITION BY pair) AS n,
+CHANGE_SQL = f"""(WITH r AS (SELECT pair, d, ret, row_number() {OVER} - 1 AS n1, count(*) OVER (PARTITION BY pair) AS n,
                    sum(ret) OVER (PARTITION BY pair ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s1,
                    sum(ret * ret) OVER (PARTITION BY pair ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS q1,
                    sum(ret) OVER (PARTITION BY pair) AS s, sum(ret * ret) OVER (PARTITION BY pair) AS q
               FROM {RET_SQL} WHERE ret IS NOT NULL),
              v AS (SELECT *, s1 / n1 AS m1, (s - s1) / (n - n1) AS m2 FROM r WHERE n1 >= 50 AND n1 < n - 50)
         SELECT pair, d, n1 AS split, abs(m1 - m2) / (sqrt((q1 - n1 * m1 * m1) / (n1 - 1) / n1
-                 + (q - q1 - (n - n1) * m2 * m2) / (n - n1 - 1) / (n - n1)) + 1e-12) AS t FROM v""",
-    {6: "t"},
-)
+                 + (q - q1 - (n - n1) * m2 * m2) / (n - n1 - 1) / (n - n1)) + 1e-12) AS t FROM v)"""
+
+
+@query("win_changepoint", f"SELECT * FROM {CHANGE_SQL}", {6: "t"})
 def win_changepoint(t):
     s = fx(t)
     r = s.with_columns(ret=se.pct_change(s))
     return se.split_scores(se.Series(r.df.filter("ret IS NOT NULL"), s.keys, s.time, "ret"))
 
 
-@query("win_changepoint_peaks")
+@query(
+    "win_changepoint_peaks",
+    f"""WITH RECURSIVE s AS MATERIALIZED (SELECT * FROM {CHANGE_SQL} WHERE t >= 0.1),
+          g(pair, n, best, rest) AS (
+            SELECT pair, 0, NULL::BIGINT, list({{'t': t, 'split': split}} ORDER BY t DESC, split) FROM s GROUP BY pair
+            UNION ALL
+            SELECT pair, n + 1, rest[1].split, list_filter(rest, lambda x: abs(x.split - rest[1].split) >= 50) FROM g WHERE len(rest) > 0 AND n < 8)
+        SELECT s.pair, d, split, t FROM s JOIN g ON s.pair = g.pair AND s.split = g.best""",
+    {6: "t"},
+)
 def win_changepoint_peaks(t):
     s = fx(t)
     r = s.with_columns(ret=se.pct_change(s))

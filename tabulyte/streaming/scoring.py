@@ -9,15 +9,22 @@ from pyspark.sql.types import StructType
 from tabulyte.operators.text_model import score_text
 
 
-def score_stream(spark: SparkSession, folder: str, pattern: str, schema: StructType, model_path: str, keep: list[str],
+def score_stream(spark: SparkSession, table: str, schema: StructType, model_path: str, keep: list[str],
                  out: str, checkpoint: str) -> str:
-    """Score all files that have arrived and stop; a later call takes the new ones.
+    """Score all files of a table that have arrived and stop; a later call takes the new
+    ones.  The table is a folder of part files or one file.
 
     Scoring keeps no state, so no watermark is needed; the checkpoint makes each
     file count once even when a run is repeated.
     """
     model = PipelineModel.load(model_path)
-    texts = spark.readStream.schema(schema).option("pathGlobFilter", pattern).parquet(folder)
+    folder, _, name = table.rstrip("/").rpartition("/")
+    files = spark.read.schema(schema).parquet(table).inputFiles()
+    reader = spark.readStream.schema(schema)
+    if len(files) == 1 and files[0].endswith(f"/{name}"):  # a file source needs a folder
+        texts = reader.option("pathGlobFilter", name).parquet(folder)
+    else:
+        texts = reader.parquet(table)
     run = (
         score_text(model, texts, keep)
         .writeStream.format("parquet").outputMode("append")

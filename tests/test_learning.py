@@ -7,6 +7,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_point
+from tabulyte.operators.aggregates import corr_matrix
+from tabulyte.operators.sampling import bootstrap, top_per_group
 from tabulyte.operators import isolation, metrics as me, models as mo, neighbours as nb, prep, survival, text_model
 from tabulyte.plans import learning
 from tabulyte.plans.registry import Tables
@@ -134,7 +136,7 @@ def test_stream_equals_batch(spark, sf):
     path = learning.saved_text_model(t)
     keep = ["conv_id", "turn"]
     batch = text_model.score_text(PipelineModel.load(path), t.conversations, keep)
-    out = score_stream(spark, sf, "conversations.parquet", t.conversations.schema, path, keep,
+    out = score_stream(spark, f"{sf}/conversations.parquet", t.conversations.schema, path, keep,
                        landing_path(spark, "scored"), landing_path(spark, "stream"))
     stream = spark.read.parquet(out)
     both = batch.join(stream.withColumnsRenamed({"label": "l", "probability": "q"}), keep)
@@ -146,3 +148,84 @@ def test_stream_equals_batch(spark, sf):
                                  "ts_holt_winters", "ml_naive_bayes", "ml_extra_trees", "sample_replace"])
 def test_runs(spark, sf, key):
     assert QUERIES[key](spark, sf).count() > 0
+
+
+def brute_neighbours(rows, k):
+    out = {}
+    for i, *x in rows:
+        far = sorted((float(np.hypot(x[0] - y[0], x[1] - y[1])), j) for j, *y in rows if j != i)
+        out[i] = [j for _, j in far[:k]]
+    return out
+
+
+def near_ids(spark, rows, k, leaf_rows):
+    df = spark.createDataFrame(rows, "id long, a double, b double")
+    got = nb.knn_rows(df, "id", ["a", "b"], k, leaf_rows).orderBy("id", "d", "nb").collect()
+    out = {}
+    for r in got:
+        out.setdefault(r.id, []).append(r.nb)
+    return out
+
+
+@pytest.mark.parametrize("leaf_rows", [20, 10_000])
+def test_neighbour_ids_on_a_grid(spark, leaf_rows):
+    rows = [(7 * x + 131 * y, float(x), float(y)) for x in range(12) for y in range(12)]
+    assert near_ids(spark, rows, 5, leaf_rows) == brute_neighbours(rows, 5)
+
+
+@pytest.mark.parametrize("leaf_rows", [4, 10_000])
+def test_neighbours_of_repeated_rows(spark, leaf_rows):
+    rows = [(100 - i, float(i % 11), float(i % 4 == 0)) for i in range(90)]
+    assert near_ids(spark, rows, 5, leaf_rows) == brute_neighbours(rows, 5)
+    assert near_ids(spark, rows, 40, leaf_rows) == brute_neighbours(rows, 40)
+
+
+def test_neighbours_skip_incomplete_rows(spark):
+    rows = [(1, 0.0, 0.0), (2, 1.0, 0.0), (3, None, 0.0), (4, float("nan"), 1.0), (5, 5.0, 0.0)]
+    assert near_ids(spark, rows, 2, 10) == {1: [2, 5], 2: [1, 5], 5: [2, 1]}
+
+
+def test_mostly_zero_axis_still_divides():
+    rng = np.random.default_rng(0)
+    x = np.column_stack([np.where(rng.random(4000) < 0.6, 0.0, 1e6 * rng.random(4000)), rng.random(4000)])
+    tree = nb._cut_space(x, 64)
+    sizes = np.bincount(nb._leaf_of(x, tree))
+    assert len(sizes) == 64 and sizes.max() < 4 * sizes.mean()
+
+
+def test_stream_of_a_folder_table(spark, sf, tmp_path):
+    t = Tables(spark, sf)
+    folder = str(tmp_path / "conversations.parquet")
+    t.conversations.repartition(3).write.parquet(folder)
+    path = learning.saved_text_model(t)
+    out = score_stream(spark, folder, t.conversations.schema, path, ["conv_id", "turn"], landing_path(spark, "scored"), landing_path(spark, "stream"))
+    assert spark.read.parquet(out).count() == t.conversations.count()
+
+
+def test_bootstrap_is_exact_and_repeatable(spark, sf):
+    orders = Tables(spark, sf).orders.select("o_orderkey")
+    one = bootstrap(orders, ["o_orderkey"]).collect()
+    assert len(one) == orders.count() and sorted(one) == sorted(bootstrap(orders.repartition(7), ["o_orderkey"]).collect())
+    assert bootstrap(orders.limit(0), ["o_orderkey"]).count() == 0 and bootstrap(orders, ["o_orderkey"], 10).count() == 10
+
+
+def test_correlations_of_any_width(spark):
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(300, 14)) + 1e6
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 3] = 5.0
+    frame = pd.DataFrame(x, columns=[f"f{i}" for i in range(14)])
+    rows = [tuple(None if np.isnan(v) else float(v) for v in r) for r in x]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} double" for c in frame.columns))
+    expected = frame.corr()
+    for width in (12, 13, 14):
+        got = corr_matrix(df, list(frame.columns[:width])).collect()
+        assert len(got) == width**2
+        for r in got:
+            assert np.isclose(r.r, expected.loc[r.feature_a, r.feature_b], atol=1e-9, equal_nan=True)
+
+
+def test_top_rows_of_a_crowded_group(spark):
+    df = spark.range(5000).withColumn("g", F.col("id") % 2)
+    got = top_per_group(df, ["g"], [F.desc("id")], 1500).collect()
+    assert {r.id for r in got} == set(range(2000, 5000)) and max(r["rank"] for r in got) == 1500

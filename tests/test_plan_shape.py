@@ -8,7 +8,9 @@ QUERIES = entry_point.queries()
 SQL = entry_point.oracle_sql()
 
 # Sequential recursions run in Python, one task per series or leaf.
-SEQUENTIAL = {"win_ewm", "win_macd", "join_knn_topk", "ml_lof", "ml_smote"}
+SEQUENTIAL = {
+    "win_ewm", "win_macd", "join_knn_topk", "ml_lof", "ml_smote", "bayes_beta_interval", "ts_pacf", "viz_kde", "viz_violin", "win_changepoint_peaks",
+}
 # Here a tail probability is computed on result rows, one per test or group.
 RESULT_ROWS = {"bayes_density_grid", "stat_t_welch", "stat_mannwhitney", "causal_psm"}
 PYTHON = SEQUENTIAL | RESULT_ROWS
