@@ -81,4 +81,7 @@ def line_dedup(docs: DataFrame, reach: int = REACH, spacing: int = SPACING, id_c
     lines = F.coalesce(F.size("lines"), F.lit(0))
     removed = F.when(cut, lines - F.size(left)).otherwise(0)
     counts = F.struct(F.when(F.col("text").isNull(), 0).otherwise(lines).alias("lines"), removed.alias("removed"))
-    return out.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in names], counts.alias(report))
+    # a generator of one row: a later filter on the text must not pull its expression, and
+    # with it the chunking, into every lambda that reads it
+    out = out.select("row", F.explode(F.array(F.struct(text.alias("text"), counts.alias("counts")))).alias("out"))
+    return out.select(*[F.col("out.text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in names], F.col("out.counts").alias(report))
