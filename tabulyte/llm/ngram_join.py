@@ -239,9 +239,10 @@ def _linked_classes(ranked: DataFrame, percent: int) -> DataFrame:
     grouped = kept(
         _bins(members.union(pivots), total, "g").applyInArrow(link, "g long, class_id long, n long, tokens binary, lead array<long>, comp long"),
         "groups")
-    comps = grouped.groupBy("comp").agg(F.count("*").alias("size"))
-    lead = grouped.select("g", "class_id", "comp", F.explode("lead").alias("token")).join(comps, "comp")
-    lead = kept(lead.select("token", "g", "class_id", F.struct("size", "comp").alias("rank")), "lead")
+    # only components of several classes need their size: a short list where few are linked
+    comps = kept(grouped.groupBy("comp").agg(F.count("*").alias("size")).filter("size > 1"), "sizes")
+    lead = grouped.select("g", "class_id", "comp", F.explode("lead").alias("token")).join(comps, "comp", "left")
+    lead = kept(lead.select("token", "g", "class_id", F.struct(F.coalesce("size", F.lit(1)).alias("size"), "comp").alias("rank")), "lead")
     # the matrix: tokens that lead sets of different components, and the groups they are in
     open_tokens = lead.groupBy("token").agg(F.min("rank.comp").alias("lo"), F.max("rank.comp").alias("hi")).filter("lo < hi").select("token")
     matrix = lead.groupBy("token", "g").agg(F.max("rank").alias("top")).join(open_tokens, "token", "left_semi")
