@@ -171,18 +171,10 @@ def _pieces(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Recor
         yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(texts, pa.string())], ["item", "text"])
 
 
-def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
-            item_col: str = "item_id", item_text_col: str = "text", carry: Sequence[str] = ()) -> DataFrame:
-    """One row per document: doc_id, text, n_words, spans (hit word intervals, end
-    exclusive, merged, in order) and items (ids of items with a window in the text, as
-    strings, sorted, distinct).
-
-    Words are runs of lower-cased letters, digits and non-ASCII characters.  A window is
-    `window` consecutive item words, or all of a shorter item.  Null or empty texts have
-    no words; items without words match nothing; a null item id is the string ''.  Equal
-    ids of several items are one item in `items`.  An empty benchmark hits nothing.
-    Repeated rows are returned as often.  Columns named in `carry` pass through in a struct
-    `row`; others are ignored."""
+def _scanned(docs: DataFrame, benchmark: DataFrame, window: int, names: tuple[str, str, str, str], carry: Sequence[str], finish, fields: str) -> DataFrame:
+    """Documents passed through all automata; `finish` makes the result of a batch from
+    its columns row, text, n_words, spans and items, in the task that found them."""
+    id_col, text_col, item_col, item_text_col = names
     spark = docs.sparkSession
     items = benchmark.select(F.coalesce(F.col(item_col).cast("string"), F.lit("")).alias("item"), F.col(item_text_col).alias("text"))
 
@@ -193,58 +185,92 @@ def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col:
     n_words = items.agg(F.sum(F.length("text") - F.length(F.translate("text", " ", "")) + 1)).first()[0] or 0
     blocks = max(1, -(-n_words // BLOCK_WORDS))
     items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
-    row = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else F.struct(F.lit(0).alias("none"))
-    out = docs.select(F.col(id_col).alias("doc_id"), row.alias("row"), F.col(text_col).alias("text"))
-    kinds = [out.schema[c].dataType.simpleString() for c in ("doc_id", "row")]
+    row = F.struct(F.col(id_col).alias("doc_id"), *[F.col(f"`{c}`") for c in carry])
+    out = docs.select(row.alias("row"), F.col(text_col).alias("text"))
+    kind = out.schema["row"].dataType.simpleString()
+    found = "spans array<struct<start: long, end: long>>, items array<string>"
     out = out.withColumn("spans", F.array().cast("array<struct<start: long, end: long>>")).withColumn("items", F.array().cast("array<string>"))
     for block in range(blocks):
         rows = items.filter(F.col("block") == block).select("item", "text").collect()  # BLOCK_WORDS words or so
         shared = spark.sparkContext.broadcast(Automaton(((r.item, r.text.encode().split()) for r in rows), window))
+        last = block + 1 == blocks
 
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def scan(batches: Iterator[pa.RecordBatch], shared=shared, last=last) -> Iterator[pa.RecordBatch]:
             automaton = shared.value
             for batch in batches:
-                sizes, spans, found = [], [], []
+                sizes, spans, known = [], [], []
                 old = zip(batch.column("text"), batch.column("spans").to_pylist(), batch.column("items").to_pylist())
-                for text, before, known in old:
+                for text, before, items in old:
                     ws = normalised(text.as_py())
-                    hit, items = automaton.hits(ws)
+                    hit, more = automaton.hits(ws)
                     sizes.append(len(ws))
-                    both = merged([*((x["start"], x["end"]) for x in before), *hit]) if before or hit else []
-                    spans.append([{"start": a, "end": b} for a, b in both])
-                    found.append(sorted({*known, *(automaton.names[k] for k in items)}))
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), batch.column("row"), batch.column("text"), pa.array(sizes, pa.int64()), pa.array(spans, _SPANS), pa.array(found, pa.list_(pa.string()))],
-                    ["doc_id", "row", "text", "n_words", "spans", "items"])
-
-        out = out.mapInArrow(scan, f"doc_id {kinds[0]}, row {kinds[1]}, text string, n_words long, spans array<struct<start: long, end: long>>, items array<string>")
-        if block + 1 < blocks:
+                    spans.append(merged([*((x["start"], x["end"]) for x in before), *hit]) if before or hit else [])
+                    known.append(sorted({*items, *(automaton.names[k] for k in more)}) if items or more else [])
+                if last:
+                    yield finish(batch.column("row"), batch.column("text"), sizes, spans, known)
+                else:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("row"), batch.column("text"), _span_column(spans), pa.array(known, pa.list_(pa.string()))], ["row", "text", "spans", "items"])
+
+        out = out.mapInArrow(scan, f"row {kind}, {fields}" if last else f"row {kind}, text string, {found}")
+        if not last:
             out = kept(out, "matched")
     return out
 
 
+def _span_column(spans: list[list[tuple[int, int]]]) -> pa.Array:
+    return pa.array([[{"start": a, "end": b} for a, b in s] for s in spans], _SPANS)
+
+
+def matched(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text",
+            item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_words, spans (hit word intervals, end exclusive,
+    merged, in order) and items (ids of items with a window in the text, as strings,
+    sorted, distinct).
+
+    Words are runs of lower-cased letters, digits and non-ASCII characters.  A window is
+    `window` consecutive item words, or all of a shorter item.  Null or empty texts have
+    no words; items without words match nothing; a null item id is the string ''.  Equal
+    ids of several items are one item in `items`.  An empty benchmark hits nothing.
+    Repeated rows are returned as often.  Columns not named are ignored."""
+
+    def finish(row, text, sizes, spans, items):
+        return pa.RecordBatch.from_arrays(
+            [row, pa.array(sizes, pa.int64()), _span_column(spans), pa.array(items, pa.list_(pa.string()))], ["row", "n_words", "spans", "items"])
+
+    fields = "n_words long, spans array<struct<start: long, end: long>>, items array<string>"
+    out = _scanned(docs, benchmark, window, (id_col, text_col, item_col, item_text_col), (), finish, fields)
+    return out.select("row.doc_id", "n_words", "spans", "items")
+
+
+def without(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without the words of the intervals and what follows each up to the next word."""
+    data = np.frombuffer(text.encode(), np.uint8)
+    begin, _ = words.word_spans(words.LOWER[data], np.array([0, len(data)]), _ALNUM)
+    begin = np.append(begin, len(data))
+    keep = np.ones(len(data), bool)
+    for a, b in spans:
+        keep[begin[a] : begin[b]] = False
+    return data[keep].tobytes().decode()
+
+
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_span: int = WINDOW, max_coverage: float = 0.5,
-                  id_col: str = "doc_id", text_col: str = "text", **columns: str) -> DataFrame:
-    """The input's columns for the documents left: spans of at least `min_span` words are cut out of the text, and a document with more than
-    `max_coverage` of its words hit goes.  Other texts stay byte for byte, null texts null."""
-    found = matched(docs, benchmark, window, id_col, text_col, carry=docs.columns, **columns)
-    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, x: acc + x["end"] - x["start"])
-    found = found.filter(hit <= F.col("n_words") * F.lit(max_coverage)).select("row", "spans")
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = batch.column("row").field(text_col).to_pylist()
-            for i, spans in enumerate(batch.column("spans").to_pylist()):
-                spans = [x for x in spans if x["end"] - x["start"] >= min_span]
-                if spans:
-                    data = np.frombuffer(texts[i].encode(), np.uint8)
-                    begin, _ = words.word_spans(words.LOWER[data], np.array([0, len(data)]), _ALNUM)
-                    begin = np.append(begin, len(data))
-                    keep = np.ones(len(data), bool)
-                    for x in spans:
-                        keep[begin[x["start"]] : begin[x["end"]]] = False
-                    texts[i] = data[keep].tobytes().decode()
-            yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(texts, pa.string())], ["row", "text"])
-
-    out = found.mapInArrow(cut, f"row {found.schema['row'].dataType.simpleString()}, text string")
-    return out.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+                  id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+    """The input's columns for the documents left: spans of at least `min_span` words are
+    cut out of the text, and a document with more than `max_coverage` of its words hit goes.
+    Other texts stay byte for byte, null texts null.  Columns pass through whatever their
+    names; the cases of `matched` hold."""
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+
+    def finish(row, text, sizes, spans, items):
+        stay, texts = [], []
+        for i, (n, found) in enumerate(zip(sizes, spans)):
+            if sum(b - a for a, b in found) <= max_coverage * n:
+                cut = [(a, b) for a, b in found if b - a >= min_span]
+                stay.append(i)
+                texts.append(without(text[i].as_py(), cut) if cut else text[i].as_py())
+        return pa.RecordBatch.from_arrays([row.take(pa.array(stay, pa.int64())), pa.array(texts, pa.string())], ["row", "text"])
+
+    out = _scanned(docs, benchmark, window, (id_col, text_col, item_col, item_text_col), others, finish, "text string")
+    place = {id_col: F.col("row.doc_id"), text_col: F.col("text")}
+    return out.select(*[place.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])

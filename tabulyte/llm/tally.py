@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tabulyte.llm.scratch import partitions
 
-UNIT_BYTES = 4 << 20
+UNIT_BYTES = 2 << 20
 BUCKET_BYTES = 8 << 20
 BLOBS = "unit int, bucket int, keys binary, counts binary"
 TOTALS = "unit int, bucket int, totals binary"
