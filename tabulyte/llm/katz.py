@@ -93,18 +93,10 @@ def _one(layout: tally.Layout) -> tally.Layout:
 
 
 def _in_order(rows: pa.Table, keys: tally.Keys) -> np.ndarray:
-    """Returned numbers in the order of `keys`; blobs have the width they need."""
+    """Returned numbers in the order of `keys`."""
     given = dict(zip(rows.column("bucket").to_pylist(), rows.column("totals").to_pylist()))
     buckets, sizes = np.unique(keys.buckets, return_counts=True)
-    kinds = {1: np.uint8, 2: np.uint16, 4: np.uint32, 8: np.int64}
-    parts = [np.frombuffer(given[b], kinds[len(given[b]) // n]).astype(np.int64) for b, n in zip(buckets.tolist(), sizes.tolist())]
-    return np.concatenate(parts) if parts else np.zeros(0, np.int64)
-
-
-def _narrow(values: np.ndarray) -> bytes:
-    most = int(values.max()) if len(values) else 0
-    kind = next(k for k, m in ((np.uint8, 2**8), (np.uint16, 2**16), (np.uint32, 2**32), (np.int64, 2**63)) if most < m)
-    return values.astype(kind).tobytes()
+    return tally.numbers((given[b] for b in buckets.tolist()), sizes.tolist())
 
 
 def _send(layout: tally.Layout, table: pa.Table) -> pa.Table:
@@ -129,7 +121,7 @@ def _count(layout: tally.Layout, table: pa.Table) -> pa.Table:
     """Totals by key as 2 * count + (1 for the first unit that saw it in training), and
     the bucket's counts of counts in a row of unit -1 (words) or -2 (pairs)."""
     table, edges, order, first, group = _grouped(table)
-    counts = tally._numbers(table.column("counts").to_pylist(), np.diff(edges))[order]
+    counts = tally.numbers(table.column("counts").to_pylist(), np.diff(edges))[order]
     sums = np.add.reduceat(counts, first, dtype=np.int64)
     seen = np.flatnonzero(counts > 0)
     _, at = np.unique(group[seen], return_index=True)
@@ -143,7 +135,7 @@ def _count(layout: tally.Layout, table: pa.Table) -> pa.Table:
     return pa.table({
         "unit": pa.array([*table.column("unit").to_pylist(), -1 if bucket < _one(layout).buckets else -2], pa.int32()),
         "bucket": pa.array([bucket] * (table.num_rows + 1), pa.int32()),
-        "totals": pa.array([*(_narrow(out[a:b]) for a, b in zip(edges[:-1], edges[1:])), summary.tobytes()], pa.binary()),
+        "totals": pa.array([*(tally.packed(out[a:b]) for a, b in zip(edges[:-1], edges[1:])), summary.tobytes()], pa.binary()),
     })
 
 
@@ -185,24 +177,24 @@ def _histories(layout: tally.Layout, totals: Totals, table: pa.Table, rows: pa.T
     edges = np.flatnonzero(np.diff(keys.buckets, prepend=-1, append=-1))
     mass, seen = mass[use], seen[use]
     pairs = list(zip(edges[:-1], edges[1:]))
-    column = lambda x: pa.array([x[a:b].tobytes() for a, b in pairs], pa.binary())
+    column = lambda x, form: pa.array([form(x[a:b]) for a, b in pairs], pa.binary())
     return pa.table({
         "unit": pa.array([number] * len(pairs), pa.int32()), "bucket": pa.array(keys.buckets[edges[:-1]], pa.int32()),
-        "keys": column(keys.keys), "mass": column(mass), "seen": column(seen)})
+        "keys": column(keys.keys, np.ndarray.tobytes), "mass": column(mass, tally.squeezed), "seen": column(seen, tally.squeezed)})
 
 
 def _backoff(shift: int, table: pa.Table) -> pa.Table:
     """Mass left by mass open for every history, negative where no discount left any and
     one count is spared instead."""
     table, edges, order, first, group = _grouped(table)
-    whole = lambda name: np.frombuffer(b"".join(table.column(name).to_pylist()), np.float64)[order]
+    whole = lambda name: np.frombuffer(b"".join(map(tally.released, table.column(name).to_pylist())), np.float64)[order]
     mass, seen = np.add.reduceat(whole("mass"), first), np.add.reduceat(whole("seen"), first)
     left = np.where(mass > 0, mass, -1.0) / np.maximum(1 - seen, 1e-300)
     out = np.empty(len(order))
     out[order] = left[group]
     return pa.table({
         "unit": table.column("unit"), "bucket": pa.array([b + shift for b in table.column("bucket").to_pylist()], pa.int32()),
-        "totals": pa.array([out[a:b].tobytes() for a, b in zip(edges[:-1], edges[1:])], pa.binary())})
+        "totals": pa.array([tally.squeezed(out[a:b]) for a, b in zip(edges[:-1], edges[1:])], pa.binary())})
 
 
 def _score(layout: tally.Layout, totals: Totals, shift: int, table: pa.Table, rows: pa.Table) -> pa.Table:
@@ -213,7 +205,7 @@ def _score(layout: tally.Layout, totals: Totals, shift: int, table: pa.Table, ro
     use = one > 0
     use[unit.start] = True
     left = np.zeros(len(one))
-    left[use] = np.frombuffer(b"".join(given[b + shift] for b in np.unique(unit.word.buckets[use]).tolist()), np.float64)
+    left[use] = np.frombuffer(b"".join(tally.released(given[b + shift]) for b in np.unique(unit.word.buckets[use]).tolist()), np.float64)
     end = unit.token[unit.edges[1:] - 1][0]
     times = one.copy()
     times[unit.start] = one[end]  # a text starts as often as it ends

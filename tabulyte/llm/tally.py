@@ -16,6 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, functions as F
 
 from tabulyte.llm.scratch import partitions
@@ -71,13 +72,12 @@ class Keys:
     def blobs(self, unit: int, counts: np.ndarray) -> pa.Table:
         """One row per bucket that has keys."""
         edges = np.flatnonzero(np.diff(self.buckets, prepend=-1, append=-1)) if len(self.keys) else np.zeros(1, np.int64)
-        small = counts.astype(np.int32 if not len(counts) or counts.max() < 2**31 else np.int64)
         pairs = list(zip(edges[:-1], edges[1:]))
         return pa.table({
             "unit": pa.array(np.full(len(pairs), unit, np.int32)),
             "bucket": pa.array(self.buckets[edges[:-1]].astype(np.int32) if pairs else np.zeros(0, np.int32)),
             "keys": pa.array([self.keys[a:b].tobytes() for a, b in pairs], pa.binary()),
-            "counts": pa.array([small[a:b].tobytes() for a, b in pairs], pa.binary()),
+            "counts": pa.array([packed(counts[a:b]) for a, b in pairs], pa.binary()),
         }, schema=_BLOBS)
 
     def totals(self, rows: pa.Table) -> np.ndarray:
@@ -90,9 +90,30 @@ class Keys:
         return np.frombuffer(b"".join([parts[i] for i in order]), {1: np.uint8, 8: np.int64}[width])
 
 
-def _numbers(column: Iterable[bytes], sizes: np.ndarray) -> np.ndarray:
-    """Concatenated counts, each blob 4 or 8 bytes wide."""
-    return np.concatenate([np.frombuffer(b, np.int32 if len(b) == 4 * n else np.int64) for b, n in zip(column, sizes)])
+def squeezed(values: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(values.tobytes())
+
+
+def released(blob: bytes) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(blob)
+
+
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers from 0: a byte each, larger ones again in full, compressed."""
+    small = np.minimum(values, 255).astype(np.uint8)
+    return squeezed(np.append(small, values[values >= 255].astype(np.int64).view(np.uint8)))
+
+
+def unpacked(blob: bytes, n: int) -> np.ndarray:
+    data = np.frombuffer(released(blob), np.uint8)
+    out = data[:n].astype(np.int64)
+    out[out == 255] = data[n:].copy().view(np.int64)
+    return out
+
+
+def numbers(column: Iterable[bytes], sizes: Iterable[int]) -> np.ndarray:
+    """The packed numbers of all blobs, one after another."""
+    return np.concatenate([unpacked(b, n) for b, n in zip(column, sizes)])
 
 
 def exact(totals: np.ndarray) -> np.ndarray:
@@ -108,7 +129,7 @@ def _add_up(encode, summary, table: pa.Table) -> pa.Table:
     blobs = table.column("keys").to_pylist()
     sizes = np.array([len(b) // 8 for b in blobs])
     keys = np.frombuffer(b"".join(blobs), np.uint64)
-    counts = _numbers(table.column("counts").to_pylist(), sizes)
+    counts = numbers(table.column("counts").to_pylist(), sizes)
     order = np.argsort(keys)
     ordered = keys[order]
     new = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(keys) else np.zeros(0, np.int64)
