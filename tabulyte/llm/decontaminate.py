@@ -185,7 +185,8 @@ def _scanned(docs: DataFrame, benchmark: DataFrame, window: int, names: tuple[st
     n_words = items.agg(F.sum(F.length("text") - F.length(F.translate("text", " ", "")) + 1)).first()[0] or 0
     blocks = max(1, -(-n_words // BLOCK_WORDS))
     items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
-    row = F.struct(F.col(id_col).alias("doc_id"), *[F.col(f"`{c}`") for c in carry])
+    rest = [F.struct(*[F.col(f"`{c}`") for c in carry]).alias("rest")] if carry else []
+    row = F.struct(F.col(id_col).alias("doc_id"), *rest)
     out = docs.select(row.alias("row"), F.col(text_col).alias("text"))
     kind = out.schema["row"].dataType.simpleString()
     found = "spans array<struct<start: long, end: long>>, items array<string>"
@@ -273,4 +274,4 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
 
     out = _scanned(docs, benchmark, window, (id_col, text_col, item_col, item_text_col), others, finish, "text string")
     place = {id_col: F.col("row.doc_id"), text_col: F.col("text")}
-    return out.select(*[place.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+    return out.select(*[(place[c] if c in place else F.col(f"row.rest.`{c}`")).alias(c) for c in docs.columns])

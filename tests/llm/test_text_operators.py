@@ -248,6 +248,13 @@ def test_cut_texts(spark):
     assert out[1].text == f"{clean} {clean}" and 2 not in out and out[3].text == clean and out[4].text is None and out[5].text == "" and out[3].spans == "own"
 
 
+def test_columns_of_any_name_pass_through(spark):
+    bench = spark.createDataFrame([(1, "a b c")], "item_id long, text string")
+    docs = spark.createDataFrame([("k", "x y", 5, 6, 7)], "key string, body string, doc_id long, row long, text long")
+    out = dec.decontaminate(docs, bench, id_col="key", text_col="body")
+    assert out.columns == docs.columns and out.collect() == docs.collect()
+
+
 def test_empty_tables_match_nothing(spark, docs, none):
     bench = spark.createDataFrame([], "item_id long, text string")
     assert dec.matched(docs, bench).filter(F.size("spans") > 0).count() == 0
