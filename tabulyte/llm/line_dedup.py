@@ -1,8 +1,13 @@
-"""Line deduplication by content-defined chunks, in Spark expressions only.
+"""Line deduplication, in Spark expressions only.
 
-A rolling (cyclic) hash over the hashes of the last lines ends a chunk where its low
-bits are zero, so inserted lines move boundaries only near themselves.  Chunks of two
-or more lines that occur again anywhere, compared by their bytes, stay once."""
+`run_dedup` removes whole repeated runs of two or more lines: a cyclic hash over two
+lines is taken at every line, and lines that a repeated pair covers go, so a run is
+found wherever it stands and however short it is.
+
+`line_dedup` is the sampled form.  A rolling (cyclic) hash over the hashes of the last
+lines ends a chunk where its low bits are zero, so inserted lines move boundaries only
+near themselves.  Chunks of two or more lines that occur again anywhere, compared by
+their bytes, stay once; short runs and the ends of runs are missed."""
 
 from __future__ import annotations
 
@@ -13,6 +18,7 @@ from tabulyte.llm.scratch import kept
 #: Lines of the rolling hash; a chunk ends once in `SPACING` lines on average (a power of two).
 REACH = 3
 SPACING = 4
+WORD = r"[^\x20\x09-\x0D]"
 
 
 def _turned(value: Column, bits: int) -> Column:
@@ -85,3 +91,60 @@ def line_dedup(docs: DataFrame, reach: int = REACH, spacing: int = SPACING, id_c
     # with it the chunking, into every lambda that reads it
     out = out.select("row", F.explode(F.array(F.struct(text.alias("text"), counts.alias("counts")))).alias("out"))
     return out.select(*[F.col("out.text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in names], F.col("out.counts").alias(report))
+
+
+def _pairs() -> Column:
+    """Of each line but the last, the hash of it and the next; null where neither holds a word."""
+    marks = F.transform(F.split("text", "\n", -1), lambda x: F.struct(F.xxhash64(x).alias("hash"), x.rlike(WORD).alias("word")))
+    n = F.size(marks) - 1
+    return F.zip_with(
+        F.slice(marks, 1, n), F.slice(marks, 2, n),
+        lambda a, b: F.when(a["word"] | b["word"], _turned(a["hash"], 1).bitwiseXOR(b["hash"])))
+
+
+def run_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", report: str = "line_dedup") -> DataFrame:
+    """The input's columns with the text replaced, and `report`, a struct of lines (in the
+    input) and removed.
+
+    Two adjacent lines of which one holds a word are a pair.  Of equal pairs (SHA-256 of
+    their bytes) the one with the smallest (id, place in the text, text hash) is the first;
+    the lines of all others go, except a pair that shares a line with the first of its own
+    kind.  So each later occurrence of a run of lines goes whole, and the first occurrence of
+    every line stays.  Kept lines are joined by line feeds.  A null text stays null with 0
+    lines; an empty text is one line.  Rows with the same id and text are one document: they
+    keep the same lines.  Other columns pass through whatever their names; one named like
+    `report` is replaced."""
+    names = [c for c in docs.columns if c != report]
+    base = docs.select(
+        F.struct(F.lit(None).alias(report), *[F.col(f"`{c}`") for c in names if c != text_col]).alias("row"),
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+        F.xxhash64(F.col(text_col)).alias("text_hash"))
+    key_columns = ["id", "text_hash"]
+    wide = base.select(*key_columns, F.posexplode(_pairs()).alias("place", "key")).filter("key is not null")
+    again = kept(wide.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1").select("key"), "repeated")
+    marked = wide.join(again, "key", "left_semi").groupBy(*key_columns).agg(F.collect_set("place").alias("places"))
+    marked = marked.select(F.col("id").alias("m_id"), F.col("text_hash").alias("m_hash"), "places")
+    # what is joined to all texts grows with them: always by sorting, never by broadcast
+    found = base.select(*key_columns, "text").join(marked.hint("merge"), F.col("id").eqNullSafe(F.col("m_id")) & (F.col("text_hash") == F.col("m_hash")))
+    found = found.withColumn("lines", F.split("text", "\n", -1))
+    digest = lambda p: F.unhex(F.sha2(F.concat(F.get("lines", p), F.lit("\n"), F.get("lines", p + 1)).cast("binary"), 256))
+    found = found.select(*key_columns, F.explode(F.transform("places", lambda p: F.struct(p.alias("place"), digest(p).alias("digest")))).alias("p"))
+    found = kept(found.select(*key_columns, "p.place", "p.digest"), "pairs")
+    first = found.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("id", "place", "text_hash")).alias("keep")).filter("n > 1").drop("n")
+    same = F.col("id").eqNullSafe(F.col("keep.id")) & (F.col("text_hash") == F.col("keep.text_hash"))
+    gone = found.join(first, "digest").filter(~(same & (F.col("place") - F.col("keep.place")).isin(0, 1)))
+    gone = gone.groupBy(*key_columns).agg(F.collect_set("place").alias("gone")).select(F.col("id").alias("g_id"), F.col("text_hash").alias("g_hash"), "gone")
+    gone = kept(gone, "removed")
+    out = base.join(gone.hint("merge"), F.col("id").eqNullSafe(F.col("g_id")) & (F.col("text_hash") == F.col("g_hash")), "left")
+    out = out.withColumn("lines", F.split("text", "\n", -1))
+    lines = F.coalesce(F.size("lines"), F.lit(0))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.concat("gone", F.transform("gone", lambda p: p + 1)))
+    left = F.transform(stay, lambda i: F.get("lines", i))
+    cut = F.col("gone").isNotNull()
+    text = F.when(cut, F.array_join(left, "\n")).otherwise(F.col("text"))
+    removed = F.when(cut, lines - F.size(stay)).otherwise(0)
+    counts = F.struct(F.when(F.col("text").isNull(), 0).otherwise(lines).alias("lines"), removed.alias("removed"))
+    # a generator of one row: a later filter on the text must not pull its expression into
+    # every lambda that reads it
+    out = out.select("row", F.explode(F.array(F.struct(text.alias("text"), counts.alias("counts")))).alias("out"))
+    return out.select(*[F.col("out.text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in names], F.col("out.counts").alias(report))

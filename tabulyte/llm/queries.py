@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tabulyte.llm.chat_format import chat_format, read_back
 from tabulyte.llm.decontaminate import matched
 from tabulyte.llm.katz import katz_scores
-from tabulyte.llm.line_dedup import line_dedup
+from tabulyte.llm.line_dedup import run_dedup
 from tabulyte.llm.mixing import mix
 from tabulyte.llm.ngram_join import ngram_components
 from tabulyte.llm.oracles import SQL  # noqa: F401
@@ -50,7 +50,7 @@ def _count(spans, kind):
 
 @query("op1_line_dedup")
 def op1(spark, folder):
-    out = line_dedup(_table(spark, folder, "documents").select("doc_id", "text"))
+    out = run_dedup(_table(spark, folder, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("line_dedup.lines").cast("long").alias("n_lines"), F.col("line_dedup.removed").cast("long").alias("n_removed"), _digest("text").alias("kept_sha256"))
 
 
