@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tabulyte.llm.decontaminate import decontaminate
-from tabulyte.llm.line_dedup import line_dedup
+from tabulyte.llm.line_dedup import run_dedup
 from tabulyte.llm.mixing import mix
 from tabulyte.llm.ngram_join import ngram_components
 from tabulyte.llm.quality import quality
@@ -31,8 +31,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without repeated line chunks; a text that loses all its words goes."""
-    cut = line_dedup(docs, report="_lines")
+    """Texts without repeated runs of lines; a text that loses all its words goes."""
+    cut = run_dedup(docs, report="_lines")
     has_word = F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return _counted(cut.filter((F.col("_lines.removed") == 0) | has_word).drop("_lines"))
 
@@ -77,7 +77,7 @@ STAGES = [
     ("mix", _ready(mixed)),
 ]
 
-#: Compression ratios, rolling line hashes and seeded draws are not SQL's to express.
+#: Compression ratios, line hashes and seeded draws are not SQL's to express.
 ORACLE_SQL = None
 
 

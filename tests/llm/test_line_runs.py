@@ -5,6 +5,7 @@ from collections import Counter
 
 import pytest
 
+import corpus_pipeline
 from tabulyte.llm.line_dedup import line_dedup, run_dedup
 
 
@@ -78,3 +79,13 @@ def test_runs_use_no_python_and_take_an_empty_table(docs, none):
     plan = run_dedup(docs)._jdf.queryExecution().executedPlan().toString()
     assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
     assert run_dedup(none).count() == 0
+
+
+@pytest.mark.parametrize("length", [10, 20, 40])
+def test_pipeline_leaves_no_fragment_of_a_copy(spark, sf, length):
+    rng = random.Random(length)
+    texts = ["\n".join(" ".join(str(rng.random()) for _ in range(4)) for _ in range(length)) for _ in range(30)]
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts + texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.line_dedup_stage(spark, docs, sf)
+    assert {r.doc_id: r.text for r in out.collect()} == dict(enumerate(texts))
