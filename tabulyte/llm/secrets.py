@@ -25,9 +25,12 @@ ASSIGN_LEAST, ACCESS_LEAST = 12, 18
 KINDS = ("assign", "access", "hex", "key", "account", "endpoint")
 
 # Weak parts: named key material shorter than the strong rule asks, account names, endpoints.
-_KEY = re.compile(r"""\b(?i:password|passwd|pwd|secret|token|api_?key|auth|private_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{6,})""", re.A)
-_ACCOUNT = re.compile(r"""\b(?i:user(?:name)?|login|account|client_?id|access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@+-]{3,})""", re.A)
-_ENDPOINT = re.compile(r"""\b(?:[a-z][a-z0-9+]{1,15}://[^\s"'<>]{4,}|(?i:host(?:name)?|endpoint|server|url)["']?\x20*[:=]\x20*["']?[A-Za-z0-9][A-Za-z0-9.:/-]{3,})""", re.A)
+# A name may follow an underscore, as in DB_PASSWORD, but no letter or digit.
+_NAMED = "(?<![A-Za-z0-9])"
+_KEY = re.compile(_NAMED + r"""(?i:password|passwd|pwd|secret(?:_?access)?(?:_?key)?|token|api_?key|auth|private_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]{6,})""", re.A)
+_ACCOUNT = re.compile(_NAMED + r"""(?i:user(?:name)?|login|account|client_?id|(?<!secret_)access_?key(?:_?id)?)["']?\x20*[:=]\x20*["']?([A-Za-z0-9._@+-]{3,})""", re.A)
+_URL = r"""[a-z][a-z0-9+]{1,15}://[^\s"'<>]{4,}"""
+_ENDPOINT = re.compile(rf"""\b{_URL}|{_NAMED}(?i:host(?:name)?|endpoint|server|url)["']?\x20*[:=]\x20*["']?(?:{_URL}|[A-Za-z0-9][A-Za-z0-9.:/-]{{3,}})""", re.A)
 _ASSIGN_HINTS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _WEAK_HINTS = ("pwd", "auth", "privatekey", "private_key", *_ASSIGN_HINTS)
 #: Parts of one credential lie in one paragraph and at most so many characters apart.

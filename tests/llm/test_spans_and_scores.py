@@ -150,6 +150,21 @@ def test_weak_parts_need_a_complement(spark):
     assert [k for k, *_ in spans[10]] == ["assign", "hex", "account"]
 
 
+def test_weak_parts_with_prefixed_names(spark):
+    texts = [
+        (1, "DB_USER=admin\nDB_PASSWORD=hunter2\nDB_HOST=10.0.0.5"), (2, "smtp_login: bob\nclient_secret: ab12cd"),
+        (3, "aws_access_key_id=abcd1234\naws_secret_access_key=ab/12cd"), (4, "DB_URL=postgres://u_x:p@db_1/x\nAPP_PWD=abc123"), (5, "myuser=admin\nmypassword=hunter2"),
+        (6, "DB_PASSWORD=hunter2"), (7, "xDB_HOST=10.0.0.5"),
+    ]
+    spans, _ = found(spark, texts)
+    listed = {i: [(k, texts[i - 1][1][a:b]) for k, a, b in s] for i, s in spans.items()}
+    assert listed[1] == [("account", "USER=admin"), ("key", "hunter2"), ("endpoint", "HOST=10.0.0.5")]
+    assert listed[2] == [("account", "login: bob"), ("key", "ab12cd")]
+    assert listed[3] == [("account", "access_key_id=abcd1234"), ("key", "ab/12cd")]
+    assert listed[4] == [("endpoint", "URL=postgres://u_x:p@db_1/x"), ("key", "abc123")]
+    assert listed[5] == listed[6] == listed[7] == []
+
+
 def test_secrets_in_awkward_rows(spark, docs, rows, none):
     assert Counter(r.doc_id for r in secret_spans(docs).collect()) == Counter(r[0] for r in rows)
     assert secret_spans(none).count() == 0
