@@ -3,7 +3,8 @@
 Weights share a total; a source whose share exceeds `max_epochs` times its size is
 clamped there, and the excess goes to the others by weight until none is above.  A
 source is then taken in whole repetitions, and for the rest by a seeded order of its
-documents up to the target; one more document closes most of what is left."""
+documents up to the target, again and again over those left that still fit; up to two
+more documents close most of what is left."""
 
 from __future__ import annotations
 
@@ -54,8 +55,9 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = 3
     last, and weigh `weights`, repeating; together they take `share` of all words.  A
     source of size 0 has target 0 and its documents are taken 0 times.  Documents of a
     source take floor(target / source size) copies, and one more in the order of a seeded
-    hash as long as the sum stays within the target; then, twice, the document that brings
-    the sum nearest the target is added where one does.  The hash covers id and text, so reruns agree and copies of
+    hash as long as the sum stays within the target; documents larger than what is left are
+    set aside and the rest is filled again until no free document fits; then, twice, the
+    document that brings the sum nearest the target is added where one does.  The hash covers id and text, so reruns agree and copies of
     a row are interchangeable.  Columns other than the three named ones are ignored.
 
     The driver holds one row per source, which is a configuration-sized list; everything
@@ -67,39 +69,71 @@ def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, max_epochs: int = 3
             F.xxhash64(F.col(text_col)).alias("text_hash"), word_count(F.col(text_col)).alias("size"),
             F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)).alias("draw"),
         ), "sized")
-    spot = F.pmod(F.col("draw"), F.lit(BUCKETS)).cast("int")
     sums = sized.groupBy("source").agg(F.sum("size").alias("n")).collect()
     sums.sort(key=lambda r: (r.source is None, r.source.encode("utf-8") if isinstance(r.source, str) else r.source))
     weight = [float(weights[i % len(weights)]) for i in range(len(sums))]
     targets = water_fill([r.n for r in sums], weight, share * sum(r.n for r in sums), max_epochs)
     plan = [(r.source, r.n, t, int(t // r.n) if r.n else 0) for r, t in zip(sums, targets)]
     kind = sized.schema["source"].dataType.simpleString()
-    plan = spark.createDataFrame(plan, f"source {kind}, source_size long, target double, whole int")
-    plan = plan.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
-    # the bucket in which the running size of a source passes the rest of its target
-    filled = sized.groupBy("source", spot.alias("spot")).agg(F.sum("size").alias("n"))
-    before = F.sum("n").over(W.partitionBy("source").orderBy("spot").rowsBetween(W.unboundedPreceding, -1))
-    filled = filled.withColumn("before", F.coalesce(before, F.lit(0))).withColumnRenamed("source", "s")
-    cut = plan.join(filled, plan.source.eqNullSafe(filled.s) & (F.col("before") <= F.col("rest")), "left")
-    cut = cut.groupBy("source", "source_size", "target", "whole", "rest").agg(
-        F.coalesce(F.max("spot"), F.lit(-1)).alias("last"), F.coalesce(F.max("before"), F.lit(0)).alias("before")
-    ).withColumnRenamed("source", "s")
-    cut = kept(cut, "targets")
-    placed = sized.join(cut, sized.source.eqNullSafe(cut.s)).withColumn("spot", spot)
-    columns = ["doc_id", "source", "text_hash", "size", "source_size", "target"]
-    sure = placed.filter(F.col("spot") != F.col("last"))
-    sure = sure.select(*columns, (F.col("whole") + F.when((F.col("spot") < F.col("last")) & (F.col("size") > 0), 1).otherwise(0)).alias("copies"))
-    order = W.partitionBy("source").orderBy("draw", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
-    edge = placed.filter(F.col("spot") == F.col("last"))
-    edge = edge.withColumn("below", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
-    fits = (F.col("below") + F.col("size") <= F.col("rest")) & (F.col("size") > 0)
-    edge = edge.select(*columns, (F.col("whole") + F.when(fits, 1).otherwise(0)).alias("copies"))
-    chosen = sure.unionByName(edge).withColumn("copies", F.when(F.col("source_size") > 0, F.col("copies")).otherwise(0).cast("int"))
+    rest = {p[0]: p[2] - p[3] * p[1] for p in plan}
+    plan = spark.createDataFrame(plan, f"source {kind}, source_size long, target double, whole int").withColumnRenamed("source", "s")
+    columns = ["doc_id", "source", "text_hash", "size", "source_size", "target", "draw", "whole", "copies"]
+    # sources of size 0 have whole 0
+    open_ = sized.join(plan, sized.source.eqNullSafe(plan.s)).withColumn("copies", F.col("whole")).select(*columns)
+    done, halved = [], False
+    least = {r.source: r.n for r in sized.filter("size > 0").groupBy("source").agg(F.min("size").alias("n")).collect()}
+    while limits := {s: _limit(rest[s], n, halved) for s, n in least.items() if n is not None and n <= rest[s]}:
+        given = spark.createDataFrame([(s, float(rest[s]), float(x)) for s, x in limits.items()], f"s {kind}, rest double, most double")
+        marked = kept(_filled(open_, given), "filled")
+        for r in marked.groupBy("source").agg(
+                F.sum(F.when(F.col("copies") > F.col("whole"), F.col("size"))).alias("taken"),
+                F.min(F.when((F.col("copies") == F.col("whole")) & (F.col("size") > 0), F.col("size"))).alias("least")).collect():
+            rest[r.source] -= r.taken or 0
+            least[r.source] = r.least
+        # the next round reads only what is free
+        free = (F.col("copies") == F.col("whole")) & (F.col("size") > 0)
+        done.append(marked.filter(~free))
+        open_ = marked.filter(free)
+        halved = not halved
+    chosen = open_
+    for part in done:
+        chosen = chosen.unionByName(part)
+    chosen = chosen.select(*columns[:6], F.col("copies").cast("int").alias("copies"))
     for _ in range(GAP_ROUNDS):
         chosen = _nearer(kept(chosen, "chosen"))
     return chosen
 
 
+def _limit(rest: float, least: int, halved: bool) -> float:
+    """The largest size that a round may take.  Every other round leaves documents above half
+    of the rest aside: it stops at one of at most that size, or takes all of them, and then at
+    most one more fits.  So the rounds grow with the logarithm of the rest."""
+    return rest / 2 if halved and least <= rest / 2 else rest
+
+
+def _filled(free: DataFrame, given: DataFrame) -> DataFrame:
+    """One more copy of the documents of size at most `most`, in seeded order up to `rest`."""
+    columns = free.columns
+    spot = F.pmod(F.col("draw"), F.lit(BUCKETS)).cast("int")
+    rows = free.join(F.broadcast(given), F.col("source").eqNullSafe(F.col("s")), "left").withColumn("spot", spot)
+    fit = (F.col("size") > 0) & (F.col("size") <= F.col("most"))
+    rows = rows.withColumn("fit", F.coalesce(fit, F.lit(False)))
+    # the bucket in which the running size of a source passes the rest of its target
+    sums = rows.filter("fit").groupBy("source", "rest", "spot").agg(F.sum("size").alias("n"))
+    before = F.sum("n").over(W.partitionBy("source").orderBy("spot").rowsBetween(W.unboundedPreceding, -1))
+    sums = sums.withColumn("before", F.coalesce(before, F.lit(0))).filter("before <= rest")
+    cut = sums.groupBy(F.col("source").alias("c")).agg(F.max("spot").alias("last"), F.max("before").alias("before"))
+    rows = rows.join(F.broadcast(cut), F.col("source").eqNullSafe(F.col("c")), "left")
+    at_edge = F.col("fit") & (F.col("spot") == F.col("last"))
+    sure = rows.filter(~F.coalesce(at_edge, F.lit(False)))
+    more = F.when(F.col("fit") & (F.col("spot") < F.col("last")), 1).otherwise(0)
+    sure = sure.withColumn("copies", F.col("copies") + more).select(*columns)
+    order = W.partitionBy("source").orderBy("draw", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
+    edge = rows.filter(at_edge).withColumn("below", F.col("before") + F.coalesce(F.sum("size").over(order), F.lit(0)))
+    more = F.when(F.col("below") + F.col("size") <= F.col("rest"), 1).otherwise(0)
+    return sure.unionByName(edge.withColumn("copies", F.col("copies") + more).select(*columns))
+
+
 def _nearer(chosen: DataFrame) -> DataFrame:
     """One more document of each source: the one that brings its sum nearest the target."""
     sums = chosen.groupBy("source").agg(
