@@ -87,6 +87,42 @@ def test_skip_edges_carry_a_label():
     assert alone[1].max() < 0.25 and linked[1].argmax() == 4 and linked[1, 4] > 0.7 and linked[2].max() < 0.25
 
 
+def test_evidence_reaches_all_repeats():
+    """The number once with a plus, then 30 times bare among words, and others between."""
+    text = "call +442071234567 now " + "and 442071234567 or then " * 30
+    nodes = pii._Nodes.of(text)
+    size, pairs = nodes.linked()
+    assert size == 32 and len(pairs) == 31
+    field = pii.Field(np.zeros((40, 5)), np.zeros((5, 5)), 3 * np.eye(5))
+    field.unary[pii._features("+442071234567")[3], 4] = 20.0  # what the plus says
+    features = nodes.features + [[]]
+    p = pii.beliefs(field, features, np.zeros((0, 2), np.int64), np.array(pairs))
+    step = math.exp(3) / (math.exp(3) + 4)  # one edge keeps the label so often; two lead to each repeat
+    assert p[0, 4] > 0.99 and np.allclose(p[1:31, 4], step**2 + (1 - step) ** 2 / 4, atol=1e-3)
+
+
+def test_messages_run_until_they_rest():
+    """On a long line of tokens the default is exact, and no document changes another."""
+    rng = np.random.default_rng(1)
+    n = 40
+    field = pii.Field(rng.normal(size=(40, 5)), 2 * np.eye(5), 5 * np.eye(5))
+    features = [[int(rng.integers(1, 40))] for _ in range(n)]
+    line = np.array([(i, i + 1) for i in range(n - 1)])
+    ahead, behind = [np.zeros(5)], [np.zeros(5)]
+    u = np.array([field.unary[f[0]] for f in features])
+    for i in range(n - 1):
+        ahead.append(np.logaddexp.reduce((ahead[-1] + u[i])[:, None] + field.skip, axis=0))
+        behind.append(np.logaddexp.reduce((behind[-1] + u[n - 1 - i])[:, None] + field.skip, axis=0))
+    exact = np.array(ahead) + u + np.array(behind[::-1])
+    exact = np.exp(exact - exact.max(1, keepdims=True))
+    none = np.zeros((0, 2), np.int64)
+    got = pii.beliefs(field, features, none, line)
+    assert np.allclose(got, exact / exact.sum(1, keepdims=True), atol=1e-3)
+    two = pii.beliefs(field, features + [[1], [2]], none, np.concatenate([line, [(n, n + 1)]]), owner=np.repeat([0, 1], [n, 2]))
+    assert np.array_equal(two[:n], got)
+    assert np.array_equal(two[n:], pii.beliefs(field, [[1], [2]], none, np.array([(0, 1)])))
+
+
 def test_messages_are_exact_on_a_tree():
     rng = np.random.default_rng(0)
     field = pii.Field(rng.normal(size=(40, 5)), rng.normal(size=(5, 5)), rng.normal(size=(5, 5)))
