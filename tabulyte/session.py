@@ -59,9 +59,10 @@ def package_archive(folder: str) -> str:
 
 
 def shipped(spark: SparkSession) -> SparkSession:
-    """Give the executors this package, once per application; a local master has it."""
+    """Give the Python workers this package, once per application.  Those of a local
+    master do not see the driver's import path either."""
     context = spark.sparkContext
-    if context.applicationId not in _SHIPPED and not context.master.startswith("local["):
+    if context.applicationId not in _SHIPPED:
         context.addPyFile(package_archive(tempfile.mkdtemp(prefix="tabulyte-package-")))
     _SHIPPED.add(context.applicationId)
     return spark
