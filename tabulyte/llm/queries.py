@@ -14,10 +14,13 @@ from tabulyte.llm.line_dedup import run_dedup
 from tabulyte.llm.mixing import mix
 from tabulyte.llm.ngram_join import ngram_components
 from tabulyte.llm.oracles import SQL  # noqa: F401
+from tabulyte.llm.packing import pack
 from tabulyte.llm.pii import pii_spans
 from tabulyte.llm.quality import quality
 from tabulyte.llm.secrets import secret_spans
+from tabulyte.llm.spelling import spelling_groups
 from tabulyte.llm.substring_dedup import substring_dedup
+from tabulyte.llm.vector_codes import vector_codes
 from tabulyte.session import shipped
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -115,3 +118,24 @@ def op9(spark, folder):
 @query("op10_katz")
 def op10(spark, folder):
     return katz_scores(_table(spark, folder, "documents"), F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1)
+
+
+@query("op11_packing")
+def op11(spark, folder):
+    return pack(_table(spark, folder, "documents"))
+
+
+@query("op12_spelling")
+def op12(spark, folder):
+    return spelling_groups(_table(spark, folder, "documents"))
+
+
+@query("op13_vector_codes")
+def op13(spark, folder):
+    coded, books = vector_codes(_table(spark, folder, "embeddings"), carry=["label"])
+    rows = coded.select(
+        "vec_id", F.col("label").alias("_label"), F.array_join(F.transform("_code", lambda c: F.lower(F.lpad(F.hex(c), 2, "0"))), "").alias("code"),
+        F.aggregate("_dist", F.lit(0).cast("long"), lambda a, d: a + d).alias("error"))
+    totals = rows.groupBy(F.col("_label").alias("_of")).agg(F.sum("error").alias("label_error"))
+    return rows.join(totals, F.col("_label").eqNullSafe(F.col("_of"))).select(
+        "vec_id", "code", "error", "label_error", F.lit(books.digest()).alias("codebooks_sha256"))

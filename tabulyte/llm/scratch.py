@@ -37,3 +37,11 @@ def kept(df: DataFrame, label: str) -> DataFrame:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete a table that `kept` wrote and that nothing reads any more."""
+    spark = df.sparkSession
+    path = spark._jvm.org.apache.hadoop.fs.Path(df.inputFiles()[0]).getParent() if df.inputFiles() else None
+    if path is not None:
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
