@@ -55,7 +55,7 @@ def test_plan_of_many_pieces_is_near_the_least_number_of_bins():
             used[x] += c * p.bins
     assert used == counts and len(plan) < 10_000
     long = sum(n for x, n in counts.items() if x > 1024)
-    assert sum(p.bins for p in plan) <= 1.001 * max(long, sum(x * n for x, n in counts.items()) / 2048)
+    assert sum(p.bins for p in plan) <= 1.01 * max(long, sum(x * n for x, n in counts.items()) / 2048)
     assert minimum_bin_slack({}) == []
 
 
