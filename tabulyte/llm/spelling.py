@@ -31,9 +31,11 @@ from tabulyte.llm.words import mix
 
 #: Letters from the most to the least frequent, dealt to the groups in turn.
 LETTERS = "etaoinshrdlcumwfgypbvkjxqz"
-GROUPS = 8
+GROUPS = 20
+#: The search is dealt over the cluster at this level at most.
+DEEPEST = 8
 #: Words of a node that one task searches, visitors of a node per task, rows of a shard.
-NODE_WORDS, NODE_VISITORS, SHARD_ROWS = 50_000, 500_000, 150_000
+NODE_WORDS, NODE_VISITORS, SHARD_ROWS = 10_000, 200_000, 100_000
 LEAST, TWICE, FACTOR, ONE_IN = 7, 2, 10, 31
 _SLICE = 1 << 17
 _U = np.uint64
@@ -72,6 +74,7 @@ class _Words:
         self.letters = np.frombuffer("".join(column.to_pylist()).encode("latin-1"), np.uint8)
         self.size = pc.utf8_length(column).to_numpy(zero_copy_only=False).astype(np.int64)
         self.start = np.cumsum(self.size) - self.size
+        self.place, self.matrix = np.empty(len(self.size), np.int64), {}
 
     def vectors(self) -> np.ndarray:
         row = np.repeat(np.arange(len(self.size)), self.size)
@@ -79,7 +82,12 @@ class _Words:
         return flat.reshape(-1, GROUPS)
 
     def rows(self, which: np.ndarray, size: int) -> np.ndarray:
-        return self.letters[self.start[which][:, None] + np.arange(size)]
+        """Letters of words of one size, a row each."""
+        if size not in self.matrix:
+            alike = np.flatnonzero(self.size == size)
+            self.place[alike] = np.arange(len(alike))
+            self.matrix[size] = self.letters[self.start[alike][:, None] + np.arange(size)]
+        return self.matrix[size][self.place[which]]
 
 
 def node_keys(size: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -250,13 +258,13 @@ def _depth(words: DataFrame) -> int:
             if b.num_rows:
                 own = _Words(b.column("word"))
                 counts = own.vectors()
-                for depth in range(1, GROUPS + 1):
+                for depth in range(1, DEEPEST + 1):
                     key, n = np.unique(node_keys(own.size, counts[:, :depth]), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), depth, np.int32)), pa.array(key), pa.array(n)], ["depth", "key", "n"])
 
     nodes = words.select("word").mapInArrow(run, "depth int, key long, n long").groupBy("depth", "key").agg(F.sum("n").alias("n"))
     most = {r["depth"]: r["n"] for r in nodes.groupBy("depth").agg(F.max("n").alias("n")).collect()}
-    return next((d for d in sorted(most) if most[d] <= NODE_WORDS), GROUPS)
+    return next((d for d in sorted(most) if most[d] <= NODE_WORDS), DEEPEST)
 
 
 def near_words(words: DataFrame, depth: int | None = None) -> DataFrame:
