@@ -1,10 +1,17 @@
 """Exact nearest neighbours and what is built on them.
 
 Identical rows collapse to one weighted point, so copies cannot crowd a group.
-Points are dealt to the leaves of a space partition cut on a bounded sample.  A
-point first searches its own leaf, which bounds the distance of its k-th
-neighbour, and then only the leaves whose box is nearer than that bound.
-Visitors of a crowded leaf are spread over several copies of it.
+Points are dealt to the leaves of a space partition that is cut level by level, each
+leaf that is still too large on a bounded sample of its own rows, so leaves keep their
+size however many points there are.  The tree is a table: every inner node lists the
+boxes of its children.
+
+The search is best-first, in rounds.  A point first searches its own leaf, which bounds
+the distance of its k-th neighbour.  Then, in each round, points with nodes left that are
+nearer than their bound go to the nearest few of them: an inner node answers with its
+children, a leaf with its nearest points, and the bound shrinks.  A point is done when no
+node is left within its bound.  Visitors of a crowded leaf are spread over several copies
+of it.
 """
 
 from __future__ import annotations
@@ -16,15 +23,18 @@ from operator import and_
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tabulyte.operators.ordering import quantiles, thinned
-from tabulyte.session import written
+from tabulyte.operators.ordering import quantiles
+from tabulyte.session import discarded, written
 
 LEAF_ROWS = 2048
-MAX_LEAVES = 65_536
-SAMPLE_PER_LEAF = 16
+#: Children of a node at most, and sample rows per child.
+FAN, SAMPLE_PER_LEAF = 256, 16
 VISITORS_PER_TASK = 20_000
+#: Nodes a point goes to in the first round; four times as many in each further one.
+FIRST_VISITS = 3
 
 
 def complete(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -127,13 +137,13 @@ def _nearest(query: np.ndarray, points: np.ndarray, weights: np.ndarray, k: int,
     return row[use], near[use], dist[use], w[use]
 
 
-def _neighbour_rows(query, qid, points, pid, weights, k, own=None, bound=None) -> pd.DataFrame:
-    """All blocks of queries of one task as one frame."""
+def _neighbour_rows(query, qid, points, pid, weights, k, bound) -> pd.DataFrame:
+    """The nearest points of all queries of one task within their bounds."""
     parts = []
     for rows in _slices(len(query), points):
-        r, j, d, w = _nearest(query[rows], points, weights, k, None if own is None else own[rows])
+        r, j, d, w = _nearest(query[rows], points, weights, k, None)
         part = pd.DataFrame({"id": qid[rows][r], "nb": pid[j], "d": d, "w": w})
-        parts.append(part if bound is None else part[part["d"].to_numpy() <= bound[rows][r]])
+        parts.append(part[part["d"].to_numpy() <= bound[rows][r]])
     return pd.concat(parts, ignore_index=True)
 
 
@@ -168,7 +178,8 @@ def knn_rows(df: DataFrame, id_col: str, features: Sequence[str], k: int, leaf_r
         complete(df, features).select(F.col(id_col).alias("row"), vector).join(points.select(F.col("id").alias("v"), "x"), "x").select("v", "row"), "members")
     some = members.withColumn("_n", F.row_number().over(W.partitionBy("v").orderBy("row"))).filter(F.col("_n") <= k + 1).drop("_n")
     near = _candidates(points, k, leaf_rows).select("id", "nb", "d")
-    near = near.unionByName(points.select("id", F.col("id").alias("nb"), F.lit(0.0).alias("d")))
+    # a vector is its own neighbour once, however many copies it has
+    near = near.filter("id <> nb").unionByName(points.select("id", F.col("id").alias("nb"), F.lit(0.0).alias("d")))
     rows = near.join(some, F.col("nb") == F.col("v")).select("id", "d", "row")
     rows = rows.withColumn("_n", F.row_number().over(W.partitionBy("id").orderBy("d", "row"))).filter(F.col("_n") <= k + 1)
     lists = rows.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("d", "row"))).alias("near"))
@@ -177,65 +188,210 @@ def knn_rows(df: DataFrame, id_col: str, features: Sequence[str], k: int, leaf_r
     return own.select("id", F.explode(others).alias("n")).select("id", F.col("n.row").alias("nb"), F.col("n.d").alias("d"))
 
 
-def _candidates(points: DataFrame, k: int, leaf_rows: int) -> DataFrame:
-    """All points that can be among the k nearest rows of each point, with ties."""
-    spark = points.sparkSession
-    n = points.count()
-    leaves = max(1, min(n // leaf_rows, MAX_LEAVES))
-    sample = thinned(points, ["id"], leaves * SAMPLE_PER_LEAF).orderBy("id").select("x").toPandas()
-    tree = _cut_space(np.stack(sample["x"].to_numpy()), leaves) if n else None
+def _child(node, number):
+    return node * (FAN + 1) + number + 1
+
+
+def _split(placed: DataFrame, big: DataFrame, leaf_rows: int) -> DataFrame:
+    """`placed` with the rows of the leaves in `big` (leaf, rows) dealt to new leaves."""
+    want = F.least(F.lit(FAN), F.ceil(F.col("rows") / leaf_rows)).cast("int")
+    spot = F.pmod(F.xxhash64("id", F.lit(42)), F.lit(1 << 30)) / float(1 << 30)
+    sizes = big.select(F.col("leaf").alias("_leaf"), "rows", want.alias("want"))
+    sample = placed.join(sizes, F.col("leaf") == F.col("_leaf")).filter(spot * F.col("rows") < F.col("want") * SAMPLE_PER_LEAF + 64)
+    tree = "leaf bigint, axis array<int>, cut array<double>, left array<int>, right array<int>, number array<int>"
+
+    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("id")
+        parts = _cut_space(np.stack(pdf["x"].to_numpy()), int(pdf["want"].iloc[0]))
+        return pd.DataFrame([[pdf["leaf"].iloc[0], *[p.tolist() for p in parts]]], columns=["leaf", "axis", "cut", "left", "right", "number"])
+
+    trees = written(sample.select("leaf", "want", "id", "x").groupBy("leaf").applyInPandas(cut, tree), "trees")
+    joined = placed.join(trees.withColumnRenamed("leaf", "_leaf"), F.col("leaf") == F.col("_leaf"), "left").drop("_leaf")
 
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if len(b):
-                yield b.assign(leaf=_leaf_of(np.stack(b["x"].to_numpy()), tree).astype("int32"))
-
-    placed = written(points.mapInPandas(place, "id bigint, w bigint, x array<double>, leaf int"), "placed")
-
-    def local(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("id").reset_index(drop=True)
-        x, w, ids = np.stack(pdf["x"].to_numpy()), pdf["w"].to_numpy(), pdf["id"].to_numpy()
-        return _neighbour_rows(x, ids, x, ids, w, k, own=np.arange(len(x)))
-
-    inside = written(placed.groupBy("leaf").applyInPandas(local, NEIGHBOUR), "inside")
-    if leaves == 1:
-        return inside
-
-    boxes = placed.groupBy("leaf").agg(*[
-        f(F.col("x")[i]).alias(f"{n_}{i}") for i in range(len(sample["x"].iloc[0]))
-        for n_, f in (("lo", F.min), ("hi", F.max))
-    ]).toPandas().sort_values("leaf")
-    dims = len(sample["x"].iloc[0])
-    lo = boxes[[f"lo{i}" for i in range(dims)]].to_numpy()
-    hi = boxes[[f"hi{i}" for i in range(dims)]].to_numpy()
-    numbers = boxes["leaf"].to_numpy()
-    shared = spark.sparkContext.broadcast((lo, hi, numbers))
-
-    bound = inside.groupBy("id").agg(F.sum("w").alias("_found"), F.max("d").alias("_far")).select(
-        "id", F.when(F.col("_found") >= k, F.col("_far")).otherwise(F.lit(float("inf"))).alias("bound")
-    )
-    bounded = placed.join(bound, "id", "left").na.fill(float("inf"), ["bound"])
+            leaf = b["leaf"].to_numpy().copy()
+            for node, rows in b[b["axis"].notna()].groupby("leaf").indices.items():
+                rows = np.flatnonzero(b["leaf"].to_numpy() == node)
+                one = b.iloc[rows[0]]
+                parts = [np.asarray(one[c]) for c in ("axis", "cut", "left", "right", "number")]
+                leaf[rows] = _child(node, _leaf_of(np.stack(b["x"].to_numpy()[rows]), parts))
+            yield b[["id", "w", "x"]].assign(leaf=leaf)
+
+    return written(joined.mapInPandas(deal, "id bigint, w bigint, x array<double>, leaf bigint"), "placed")
+
+
+def _partition(points: DataFrame, leaf_rows: int) -> tuple[DataFrame, int]:
+    """Points with their leaf: 0, or a child of a child ... of the root 0; and the number
+    of levels below the root."""
+    placed, depth = points.select("id", "w", "x", F.lit(0).cast("bigint").alias("leaf")), 0
+    while True:
+        sizes = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"))
+        big = sizes.filter(F.col("rows") > 2 * leaf_rows)
+        if big.isEmpty():  # points differ, so every split divides and this ends
+            return placed, depth
+        after = _split(placed, big, leaf_rows)
+        if depth:
+            discarded(placed)
+        placed, depth = after, depth + 1
 
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        low, high, names = shared.value
+
+BOX = "array<struct<node: bigint, lo: array<double>, hi: array<double>>>"
+NEAR = "array<struct<d: double, nb: bigint, w: bigint>>"
+NODES = "array<struct<gap: double, node: bigint>>"
+STATE = f"id bigint, x array<double>, home bigint, bound double, near {NEAR}, todo {NODES}"
+
+
+def _corners(rows: DataFrame, key: str, lo: str, hi: str, dims: int) -> DataFrame:
+    side = lambda f, c: F.array(*[f(F.col(c)[i]) for i in range(dims)])
+    return rows.groupBy(F.col(key).alias("node")).agg(side(F.min, lo).alias("lo"), side(F.max, hi).alias("hi"))
+
+
+def _tree(nodes: DataFrame, dims: int) -> DataFrame:
+    """`(node, children)` of every inner node above the leaves (node, lo, hi); a child has
+    its number and its box."""
+    levels = []
+    while True:
+        below = nodes.filter("node > 0").withColumn("parent", F.floor((F.col("node") - 1) / (FAN + 1)))
+        # leaves lie at several depths: the parents of the deepest level come first
+        deep = below.agg(F.max("parent")).first()[0]
+        if deep is None:
+            return written(reduce(DataFrame.unionByName, levels), "tree")
+        ready = below.filter(F.col("parent") >= _first_of_level(deep))
+        levels.append(ready.groupBy("parent").agg(F.sort_array(F.collect_list(F.struct("node", "lo", "hi"))).alias("children")).withColumnRenamed("parent", "node"))
+        nodes = written(nodes.join(ready.select("node"), "node", "left_anti").unionByName(_corners(ready, "parent", "lo", "hi", dims)), "boxes")
+
+
+def _first_of_level(node: int) -> int:
+    """The smallest possible number of a node on the level of this one."""
+    first = 0
+    while _child(first, 0) <= node:
+        first = _child(first, 0)
+    return first
+
+
+def _lists(row: np.ndarray, n: int, **fields: np.ndarray) -> pa.Array:
+    """A list per row number 0 .. n - 1 of structs; the entries come ordered by row."""
+    at = np.searchsorted(row, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(at), pa.StructArray.from_arrays([pa.array(v) for v in fields.values()], list(fields)))
+
+
+def _gaps(x: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """Distances of points to boxes, in slices of points: the first point and the block."""
+    step = max(1, 4_000_000 // lo.size)
+    for at in range(0, len(x), step):
+        y = x[at : at + step, None, :]
+        yield at, np.sqrt((np.maximum(np.maximum(lo[None] - y, y - hi[None]), 0.0) ** 2).sum(axis=2))
+
+
+def _boxes(children) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return np.array([c["node"] for c in children]), np.stack([c["lo"] for c in children]), np.stack([c["hi"] for c in children])
+
+
+def _started(placed: DataFrame, root, k: int) -> DataFrame:
+    """Every point with its nearest in its own leaf, their bound, and the children of the
+    root within it.  `root` has at most FAN boxes, or none where all is one leaf."""
+
+    def search(table: pa.Table) -> pa.Table:
+        order = np.argsort(table.column("id").to_numpy())
+        table = table.take(pa.array(order)).combine_chunks()
+        ids, w = table.column("id").to_numpy(), table.column("w").to_numpy()
+        vectors = table.column("x").combine_chunks()
+        x = vectors.flatten().to_numpy().reshape(len(ids), -1)
+        parts = [(rows, _nearest(x[rows], x, w, k, rows)) for rows in _slices(len(x), x)]
+        row, near, dist, weight = [np.concatenate(c) for c in zip(*[(rows[r], j, d, v) for rows, (r, j, d, v) in parts])]
+        reach = np.bincount(row, weight, len(ids)) >= k
+        bound = np.full(len(ids), -np.inf)
+        np.maximum.at(bound, row, dist)
+        bound = np.where(reach, bound, np.inf)
+        home = table.column("leaf").to_numpy()
+        todo = [(np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))]
+        if root is not None:
+            number, lo, hi = _boxes(root)
+            for at, gap in _gaps(x, lo, hi):
+                part = slice(at, at + len(gap))
+                r, c = np.nonzero((gap <= bound[part, None]) & (number[None] != home[part, None]))
+                order = np.lexsort((number[c], gap[r, c], r))
+                todo.append((at + r[order], gap[r, c][order], number[c][order]))
+        at, gap, node = [np.concatenate(c) for c in zip(*todo)]
+        return pa.table({
+            "id": table.column("id"), "x": vectors, "home": table.column("leaf"), "bound": pa.array(bound),
+            "near": _lists(row, len(ids), d=dist, nb=ids[near], w=weight), "todo": _lists(at, len(ids), gap=gap, node=node),
+        })
+
+    return placed.groupBy("leaf").applyInArrow(search, STATE)
+
+
+def _candidates(points: DataFrame, k: int, leaf_rows: int) -> DataFrame:
+    """All points that can be among the k nearest rows of each point, with ties."""
+    placed, depth = _partition(points, leaf_rows)
+    tree = root = None
+    if depth:
+        dims = placed.select(F.size("x")).first()[0]
+        boxes = _corners(placed, "leaf", "x", "x", dims)
+        if depth > 1:
+            tree = _tree(written(boxes, "boxes"), dims)
+        root = tree.filter("node = 0").first()["children"] if tree else boxes.collect()  # at most FAN boxes
+    state = written(_started(placed, root, k), "search")
+    done, visits = [], FIRST_VISITS
+    while True:
+        done.append(state.filter(F.size("todo") == 0).select("id", "near"))
+        open_ = state.filter(F.size("todo") > 0)
+        if not depth or open_.isEmpty():
+            break
+        state = written(_round(open_, placed, tree, k, visits), "search")
+        visits *= 4
+    near = reduce(DataFrame.unionByName, done).select("id", F.explode("near").alias("n"))
+    return near.select("id", "n.nb", "n.d", "n.w")
+
+
+def _bounded(state: DataFrame, k: int) -> DataFrame:
+    """Put `_new` neighbours into `near` and drop what lies beyond the k-th row: `bound`
+    is its distance.  Of points at that distance the first k stay."""
+    merged = F.array_sort(F.concat("near", F.coalesce("_new", F.array().cast(NEAR))))
+    start = F.struct(F.lit(0).cast("bigint").alias("rows"), F.lit(float("inf")).alias("d"))
+    reached = F.aggregate("_all", start, lambda a, n: F.when(a["rows"] >= k, a).otherwise(F.struct((a["rows"] + n["w"]).alias("rows"), n["d"].alias("d"))))
+    state = state.withColumn("_all", merged).withColumn("_end", reached)
+    state = state.withColumn("bound", F.when(F.col("_end.rows") >= k, F.col("_end.d")).otherwise(F.lit(float("inf"))))
+    nearer = F.size(F.filter("_all", lambda n: n["d"] < F.col("bound")))
+    within = F.slice(F.filter("_all", lambda n: n["d"] <= F.col("bound")), 1, nearer + k)
+    todo = F.filter("todo", lambda t: t["gap"] <= F.col("bound"))
+    return state.withColumns({"near": within, "todo": todo}).select("id", "x", "home", "bound", "near", "todo")
+
+
+def _opened(asks: DataFrame, tree: DataFrame) -> DataFrame:
+    """Children, within the bound, of the inner nodes that points ask for."""
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            if not len(b):
-                continue
-            x, home, far = np.stack(b["x"].to_numpy()), b["leaf"].to_numpy(), b["bound"].to_numpy()
-            ids = b["id"].to_numpy()
-            step = max(1, 4_000_000 // (len(names) * x.shape[1]))
-            for at in range(0, len(x), step):
-                part = slice(at, at + step)
-                gap = np.maximum(np.maximum(low[None] - x[part, None, :], x[part, None, :] - high[None]), 0.0)
-                hit = (np.sqrt((gap**2).sum(axis=2)) <= far[part, None]) & (names[None, :] != home[part, None])
-                row, which = np.nonzero(hit)
-                yield pd.DataFrame({"id": ids[part][row], "x": list(x[part][row]), "leaf": names[which].astype("int32"),
-                                    "bound": far[part][row]})
-
-    visits = written(bounded.select("id", "x", "leaf", "bound").mapInPandas(
-        visit, "id bigint, x array<double>, leaf int, bound double"), "visits")
-    crowds = visits.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / VISITORS_PER_TASK).cast("int").alias("parts"))
-    guests = visits.join(crowds, "leaf").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
+            for _, rows in b.groupby("node").indices.items():
+                some = b.iloc[rows]
+                number, lo, hi = _boxes(some["children"].iloc[0])
+                for at, gap in _gaps(np.stack(some["x"].to_numpy()), lo, hi):
+                    part = some.iloc[at : at + len(gap)]
+                    r, c = np.nonzero((gap <= part["bound"].to_numpy()[:, None]) & (number[None] != part["home"].to_numpy()[:, None]))
+                    yield pd.DataFrame({"id": part["id"].to_numpy()[r], "gap": gap[r, c], "node": number[c]})
+
+    rows = asks.join(tree, "node").select("id", "x", "home", "bound", "node", "children")
+    return rows.mapInPandas(measure, "id bigint, gap double, node bigint")
+
+
+def _merged(state: DataFrame, opened: DataFrame) -> DataFrame:
+    """The states with further nodes to visit, nearest first."""
+    more = opened.groupBy("id").agg(F.collect_list(F.struct("gap", "node")).alias("_more"))
+    later = F.array_sort(F.concat("todo", F.coalesce("_more", F.array().cast(NODES))))
+    return state.join(more, "id", "left").withColumn("todo", later).drop("_more")
+
+
+def _round(state: DataFrame, placed: DataFrame, tree: DataFrame | None, k: int, visits: int) -> DataFrame:
+    """The states after a visit to the nearest `visits` nodes that are left; without a
+    tree all of them are leaves."""
+    asks = state.select("id", "x", "home", "bound", F.explode(F.slice("todo", 1, visits)).alias("t")).select("id", "x", "home", "bound", F.col("t.node").alias("node"))
+    asks = written(asks, "asks")
+    leaves = asks.join(tree.select("node"), "node", "left_anti") if tree else asks
+    guests = leaves.withColumnRenamed("node", "leaf")
+    crowds = guests.groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / VISITORS_PER_TASK).cast("int").alias("parts"))
+    guests = guests.join(crowds, "leaf").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
     hosts = placed.join(crowds, "leaf").withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
 
     def receive(key: tuple, guest: pd.DataFrame, host: pd.DataFrame) -> pd.DataFrame:
@@ -244,12 +400,16 @@ def _candidates(points: DataFrame, k: int, leaf_rows: int) -> DataFrame:
         host = host.sort_values("id").reset_index(drop=True)
         x, w, ids = np.stack(host["x"].to_numpy()), host["w"].to_numpy(), host["id"].to_numpy()
         q, qid, far = np.stack(guest["x"].to_numpy()), guest["id"].to_numpy(), guest["bound"].to_numpy()
-        return _neighbour_rows(q, qid, x, ids, w, k, bound=far)
+        return _neighbour_rows(q, qid, x, ids, w, k, far)
 
-    outside = guests.select("id", "x", "bound", "leaf", "part").groupBy("leaf", "part").cogroup(
+    found = guests.select("id", "x", "bound", "leaf", "part").groupBy("leaf", "part").cogroup(
         hosts.select("id", "x", "w", "leaf", "part").groupBy("leaf", "part")
     ).applyInPandas(receive, NEIGHBOUR)
-    return inside.unionByName(outside)
+    new = found.groupBy("id").agg(F.collect_list(F.struct("d", "nb", "w")).alias("_new"))
+    rest = state.withColumn("todo", F.filter("todo", lambda _, i: i >= visits))
+    if tree:
+        rest = _merged(rest, _opened(asks, tree))
+    return _bounded(rest.join(new, "id", "left"), k)
 
 
 def _first_k(candidates: DataFrame, k: int) -> DataFrame:

@@ -32,6 +32,21 @@ def join_knn_topk(t):
     return nb.knn_rows(plane(t), "id", ["a", "b"], 5)
 
 
+# Customers by whole thousands of balance and by nation: many rows in one place.
+CROWD_SQL = "(SELECT c_custkey AS id, floor(c_acctbal / 1000) AS a, c_nationkey % 3 AS b FROM customer)"
+
+
+@query(
+    "join_knn_repeated",
+    f"""SELECT p.id, q.id AS nb, sqrt(power(p.a - q.a, 2) + power(p.b - q.b, 2)) AS d FROM {CROWD_SQL} p JOIN {CROWD_SQL} q ON p.id <> q.id
+        QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY d, nb) <= 40""",
+    {7: "d"},
+)
+def join_knn_repeated(t):
+    crowd = t.customer.select(F.col("c_custkey").alias("id"), F.floor(F.col("c_acctbal") / 1000).alias("a"), (F.col("c_nationkey") % 3).alias("b"))
+    return nb.knn_rows(crowd, "id", ["a", "b"], 40)
+
+
 LOF_SQL = f"""(WITH n AS MATERIALIZED (SELECT * FROM {near_sql(25)}), k AS (SELECT id, max(d) AS kdist FROM n GROUP BY 1),
   l AS (SELECT n.id, 1 / (avg(greatest(kdist, d)) + 1e-10) AS lrd FROM n JOIN k ON k.id = n.nb GROUP BY 1)
   SELECT n.id, avg(o.lrd) / max(p.lrd) AS lof FROM n JOIN l o ON o.id = n.nb JOIN l p ON p.id = n.id GROUP BY 1)"""

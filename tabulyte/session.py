@@ -79,3 +79,11 @@ def written(df, label: str):
     path = landing_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discarded(df) -> None:
+    """Delete a table that `written` made and that nothing reads any more."""
+    files = df.inputFiles()
+    if files and "/landed/" in files[0]:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)

@@ -173,13 +173,26 @@ def test_neighbour_ids_on_a_grid(spark, leaf_rows):
     assert near_ids(spark, rows, 5, leaf_rows) == brute_neighbours(rows, 5)
 
 
-@pytest.mark.parametrize("leaf_rows", [4, 10_000])
+@pytest.mark.parametrize("leaf_rows", [2, 4, 10_000])
 def test_neighbours_of_repeated_rows(spark, leaf_rows):
     rows = [(100 - i, float(i % 11), float(i % 4 == 0)) for i in range(90)]
     assert near_ids(spark, rows, 5, leaf_rows) == brute_neighbours(rows, 5)
     assert near_ids(spark, rows, 40, leaf_rows) == brute_neighbours(rows, 40)
 
 
+def test_search_opens_only_near_leaves(spark, monkeypatch):
+    """Three levels of nodes, one axis mostly zero; visits follow k, not the leaves."""
+    monkeypatch.setattr(nb, "FAN", 4)
+    rng = np.random.default_rng(2)
+    rows = [(i, 0.0 if i % 3 else float(rng.integers(0, 50)), float(rng.integers(0, 4000)) / 7) for i in range(1500)]
+    assert near_ids(spark, rows, 3, 12) == brute_neighbours(rows, 3)
+    asked = []
+    monkeypatch.setattr(nb, "_round", lambda state, *a, f=nb._round: asked.append(state.select(F.sum(F.least(F.size("todo"), F.lit(a[-1])))).first()[0]) or f(state, *a))
+    near_ids(spark, rows, 3, 12)
+    leaves = 1500 / 24
+    assert sum(asked) / 1500 < leaves / 4
+
+
 def test_neighbours_skip_incomplete_rows(spark):
     rows = [(1, 0.0, 0.0), (2, 1.0, 0.0), (3, None, 0.0), (4, float("nan"), 1.0), (5, 5.0, 0.0)]
     assert near_ids(spark, rows, 2, 10) == {1: [2, 5], 2: [1, 5], 5: [2, 1]}
