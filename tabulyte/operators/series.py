@@ -12,7 +12,8 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+
+from tabulyte.operators.recurrence import exponential_means
 
 TRADING_DAYS = 252
 
@@ -100,19 +101,9 @@ def rsi(s: Series, n: int = 14) -> DataFrame:
 
 
 def ewm(s: Series, spans: dict[str, int]) -> DataFrame:
-    """Recursive exponential means `y = a*x + (1-a)*y_prev`, `a = 2/(span+1)`.
-
-    The recursion is sequential by nature; each series, bounded by the calendar,
-    is folded in one task and the series run in parallel.
-    """
-    schema = StructType([*s.df.schema.fields, *[StructField(n, DoubleType()) for n in spans]])
-    time, value = s.time, s.value
-
-    def fold(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(time, kind="stable")
-        return pdf.assign(**{n: pdf[value].ewm(span=k, adjust=False).mean() for n, k in spans.items()})
-
-    return s.df.groupBy(*s.keys).applyInPandas(fold, schema)
+    """Recursive exponential means `y = a*x + (1-a)*y_prev`, `a = 2/(span+1)`, as a scan
+    over blocks of rows.  Rows without a value have no mean and change none."""
+    return exponential_means(s.df, s.keys, s.time, {n: (s.value, 2.0 / (k + 1)) for n, k in spans.items()})
 
 
 def macd(s: Series, fast: int = 12, slow: int = 26, signal: int = 9) -> DataFrame:
