@@ -1,8 +1,9 @@
 """Calendars, decomposition, autocorrelation, unit roots and forecasts.
 
 Inputs are `Series`: one row per series and calendar step.  Window and grouped
-expressions do the calendar work; model fits run one task per series, many
-series in parallel, on data bounded by the calendar.
+expressions do the calendar work.  Unit roots, cointegration and autoregressions are
+solved from lag sums of all blocks of a series (`lag_models`); the remaining fits run
+one task per series, many series in parallel, on data bounded by the calendar.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabulyte.functions.dates import week_end
 from tabulyte.functions.dist import normal_upper
+from tabulyte.operators.lag_models import BLOCK, on_gram, autoregression, most_lags, unit_root
 from tabulyte.operators.series import TRADING_DAYS, Series
 
 
@@ -142,38 +144,6 @@ def unit_root_p(stat: float, series: int = 1) -> float:
     return normal_upper(-z)
 
 
-def _least_squares(x: np.ndarray, y: np.ndarray):
-    beta, *_ = np.linalg.lstsq(x, y, rcond=None)
-    resid = y - x @ beta
-    return beta, float(resid @ resid)
-
-
-def unit_root_stat(x: np.ndarray, constant: bool = True) -> tuple[float, int, int]:
-    """Augmented Dickey-Fuller statistic, the lags chosen by AIC, and the rows used."""
-    n = len(x)
-    most = max(0, min(int(math.ceil(12.0 * (n / 100.0) ** 0.25)), n // 2 - 2))
-    d = np.diff(x)
-
-    def design(lags: int, skip: int):
-        y = d[skip:]
-        cols = [x[skip:-1]] + [d[skip - k:len(d) - k] for k in range(1, lags + 1)]
-        if constant:
-            cols.append(np.ones(len(y)))
-        return np.column_stack(cols), y
-
-    def aic(lags: int) -> float:
-        a, y = design(lags, most)
-        _, sse = _least_squares(a, y)
-        m = len(y)
-        return m * (math.log(2 * math.pi * sse / m) + 1) + 2 * a.shape[1]
-
-    best = min(range(most + 1), key=aic)
-    a, y = design(best, best)
-    beta, sse = _least_squares(a, y)
-    se = math.sqrt(sse / (len(y) - a.shape[1]) * np.linalg.inv(a.T @ a)[0, 0])
-    return float(beta[0] / se), best, len(y)
-
-
 def _per_series(s: Series, fit, fields: str) -> DataFrame:
     """Run a fit once per series on its ordered values."""
     key_fields = ", ".join(f"{k} {s.df.schema[k].dataType.simpleString()}" for k in s.keys)
@@ -188,14 +158,22 @@ def _per_series(s: Series, fit, fields: str) -> DataFrame:
     return s.df.select(*keys, time, value).groupBy(*keys).applyInPandas(run, f"{key_fields}, {fields}")
 
 
-def adf(s: Series) -> DataFrame:
-    """Unit-root test per series with the verdict at 5%."""
-    def fit(x):
-        stat, lags, rows = unit_root_stat(x)
-        p = unit_root_p(stat)
-        return pd.DataFrame([{"stat": stat, "p_value": p, "lags": lags, "n": rows, "stationary": p < 0.05}])
+def _test_row(row, constant: bool, series: int) -> pd.DataFrame:
+    found = unit_root(row, constant)
+    if found is None:
+        return pd.DataFrame([{"stat": None, "p_value": None, "lags": None, "n": None}], dtype=object)
+    p = unit_root_p(found[0], series)
+    return pd.DataFrame([{"stat": found[0], "p_value": p, "lags": found[1], "n": found[2]}])
+
+
+TEST = "stat double, p_value double, lags int, n int"
+
 
-    return _per_series(s, fit, "stat double, p_value double, lags int, n int, stationary boolean")
+def adf(s: Series, block: int = BLOCK) -> DataFrame:
+    """Unit-root test per series with the verdict at 5%; null where a series is too short."""
+    # the test with a constant is the same for any origin: near the mean its sums are exact
+    out = on_gram(s.df, s.keys, s.time, s.value, most_lags, lambda r: _test_row(r, True, 1), TEST, centred=True, block=block)
+    return out.withColumn("stationary", F.col("p_value") < 0.05)
 
 
 def cointegration(df: DataFrame, keys: tuple[str, ...], time: str, a: str, b: str) -> DataFrame:
@@ -209,12 +187,7 @@ def cointegration(df: DataFrame, keys: tuple[str, ...], time: str, a: str, b: st
     ).withColumn("signal", F.when(F.col("last") > F.col("mean") + 2 * F.col("sd"), "short")
                  .when(F.col("last") < F.col("mean") - 2 * F.col("sd"), "long").otherwise("none"))
 
-    def fit(x):
-        stat, lags, _ = unit_root_stat(x, constant=False)
-        p = unit_root_p(stat, 2)
-        return pd.DataFrame([{"stat": stat, "p_value": p, "lags": lags}])
-
-    test = _per_series(Series(spread, keys, time, "spread"), fit, "stat double, p_value double, lags int")
+    test = on_gram(spread, keys, time, "spread", most_lags, lambda r: _test_row(r, False, 2), TEST).drop("n")
     return bands.join(test, list(keys))
 
 
@@ -271,23 +244,10 @@ def naive_forecast(s: Series, window: int = 7, horizon: int = 30) -> DataFrame:
     )
 
 
-def arima(s: Series, lags: int = 5, horizon: int = 30) -> DataFrame:
+def arima(s: Series, lags: int = 5, horizon: int = 30, block: int = BLOCK) -> DataFrame:
     """Autoregression of first differences by conditional least squares, forecast
-    recursively and summed back."""
-    def fit(x):
-        d = np.diff(x)
-        a = np.column_stack([d[lags - k:len(d) - k] for k in range(1, lags + 1)])
-        beta, sse = _least_squares(a, d[lags:])
-        past, level, out = list(d[-lags:]), x[-1], []
-        for _ in range(horizon):
-            step = float(sum(beta[k - 1] * past[-k] for k in range(1, lags + 1)))
-            past.append(step)
-            level += step
-            out.append(level)
-        return pd.DataFrame({"step": np.arange(1, horizon + 1), "forecast": out,
-                             "sigma": math.sqrt(sse / len(a))})
-
-    return _per_series(s, fit, "step int, forecast double, sigma double")
+    recursively and summed back; null forecasts where a series is shorter than its lags need."""
+    return on_gram(s.df, s.keys, s.time, s.value, lambda n: F.lit(lags), lambda r: autoregression(r, lags, horizon), "step int, forecast double, sigma double", block=block)
 
 
 def garch_path(r2: np.ndarray, omega, alpha, beta) -> tuple[np.ndarray, np.ndarray]:

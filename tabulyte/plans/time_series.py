@@ -154,7 +154,27 @@ def ts_naive_forecast(t):
     return ts.naive_forecast(fx(t))
 
 
-@query("ts_arima")
+def _arima_sql(lags: int = 5, horizon: int = 30) -> str:
+    """Sums of lag products, elimination, and the recursion of the forecasts."""
+    w = "OVER (PARTITION BY pair ORDER BY d)"
+    row = ", ".join([*[f"lag(c, {k}) {w}" for k in range(1, lags + 1)], "c"])
+    size = lags + 1
+    sums = ", ".join("[" + ", ".join(f"sum(v[{i}] * v[{j}])" for j in range(1, size + 1)) + "]" for i in range(1, size + 1))
+    betas = ", ".join(f"m[{i}][{size}]" for i in range(1, size))
+    return f"""WITH RECURSIVE f AS MATERIALIZED (SELECT pair, d, rate, row_number() {w} AS i, rate - lag(rate) {w} AS c FROM {FX_SQL}),
+      v AS (SELECT pair, i, [{row}] AS v FROM f),
+      g AS (SELECT pair, count(*) AS n, [{sums}] AS m FROM v WHERE i > {size} GROUP BY pair),
+      e(pair, n, k, m) AS (SELECT pair, n, 1::BIGINT, m FROM g UNION ALL
+        SELECT pair, n, k + 1, list_transform(range(1, {size + 1}), lambda i: list_transform(range(1, {size + 1}), lambda j:
+          CASE WHEN i = k THEN m[k][j] / m[k][k] ELSE m[i][j] - m[i][k] * m[k][j] / m[k][k] END)) FROM e WHERE k <= {lags}),
+      b AS (SELECT pair, [{betas}] AS b, sqrt(m[{size}][{size}] / n) AS sigma FROM e WHERE k = {size}),
+      s(pair, step, forecast, past, b, sigma) AS (
+        SELECT pair, 0::INTEGER, arg_max(rate, i), list(c ORDER BY i DESC)[1:{lags}], any_value(b), any_value(sigma) FROM f JOIN b USING (pair) GROUP BY pair
+        UNION ALL SELECT pair, step + 1, forecast + list_inner_product(b, past), list_prepend(list_inner_product(b, past), past[1:{lags - 1}]), b, sigma FROM s WHERE step < {horizon})
+      SELECT pair, step, forecast, sigma FROM s WHERE step > 0"""
+
+
+@query("ts_arima", _arima_sql(), {8: "forecast sigma"})
 def ts_arima(t):
     return ts.arima(fx(t))
 
