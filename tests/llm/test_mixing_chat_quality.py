@@ -1,3 +1,4 @@
+import base64
 import random
 from collections import Counter
 
@@ -7,7 +8,7 @@ from hypothesis import given, settings, strategies as st
 
 from tabulyte.llm.chat_format import chat_format, read_back
 from tabulyte.llm.mixing import mix, water_fill
-from tabulyte.llm.quality import band, quality
+from tabulyte.llm.quality import band, chunks_of, quality
 
 # mixing
 
@@ -110,21 +111,53 @@ def test_counts_like_brute_force(docs, rows):
     assert found == expected
 
 
-def test_bands_of_ratios(spark):
+def plain_verdict(text):
+    """Ratio, chunks outside and chunks, and whether the bands keep the text."""
+    raw, pack = text.encode(), zstandard.ZstdCompressor(level=3)
+    if not raw:
+        return 0.0, 0, 0, False
+    inside = lambda x: band(len(x))[0] <= len(x) / len(pack.compress(x)) <= band(len(x))[1]
+    count = max(1, len(raw) // 4096)
+    chunks = [raw[4096 * k : 4096 * (k + 1) if k + 1 < count else len(raw)] for k in range(count)]
+    outside = sum(not inside(c) for c in chunks)
+    return len(raw) / len(pack.compress(raw)), outside, count, inside(raw) and outside <= 0.5 * count
+
+
+def test_verdicts_like_brute_force(table):
+    docs = table("documents")
+    for r in quality(docs, carry=["text"]).collect():
+        ratio, outside, count, fine = plain_verdict(r.text or "")
+        assert (r.quality.ratio, r.quality.chunks_outside, r.quality.n_chunks) == (ratio, outside, count)
+        assert r.quality.kept == (not r.quality.base_failed and fine)
+
+
+def test_bands_catch_what_the_base_rules_pass(spark):
+    """Templates, random characters, encoded data and garbled halves of 50 words and more:
+    the base rules pass them all, the bands none; prose of every length stays."""
     rng = random.Random(4)
-    prose = " ".join("".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9))) for _ in range(3000))
-    noise = " ".join("".join(chr(rng.randrange(0x21, 0x7F)) for _ in range(60)) for _ in range(80))
-    half = prose[:9000] + " " + "ab cd ef gh ij kl mn op. " * 1500
-    texts = [prose, noise, half, prose[:600]]
-    out = {r.doc_id: r.quality for r in quality(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    for k, t in enumerate(texts):
-        raw = t.encode()
-        ratio = len(raw) / len(zstandard.ZstdCompressor(level=3).compress(raw))
-        assert out[k].ratio == ratio
-        lo, hi = band(len(raw))
-        assert out[k].kept == (not out[k].base_failed and lo <= ratio <= hi and out[k].chunks_outside <= 0.5 * out[k].n_chunks)
-    assert [out[k].kept for k in range(4)] == [True, False, False, True]
-    assert not out[1].base_failed and out[2].chunks_outside >= 8
+    lexicon = ["".join(rng.choice("eeeeettttaaaooiinnsshhrrdllcum") for _ in range(rng.randrange(2, 10))) for _ in range(20_000)]
+    prose = lambda n: " ".join(lexicon[int(20_000 ** rng.random()) - 1] for _ in range(n))
+    template = lambda n: " ".join(f"item {rng.randrange(10**6)} costs {rng.randrange(10**6)} euros," for _ in range(n))
+    noise = lambda n: " ".join("".join(chr(rng.randrange(0x21, 0x7F)) for _ in range(rng.randrange(4, 12))) for _ in range(n))
+    coded = lambda n: " ".join(base64.b64encode(rng.randbytes(30)).decode() for _ in range(n))
+    bad = [template(n) for n in (60, 200, 2000)] + [noise(n) for n in (100, 500, 4000)] + [coded(n) for n in (60, 400, 3000)]
+    bad += [prose(700) + " " + noise(3000), template(3000) + " " + prose(700)]
+    good = [prose(n) for n in (80, 150, 400, 900, 2500, 8000)]
+    docs = spark.createDataFrame(list(enumerate(bad + good)), "doc_id long, text string")
+    out = {r.doc_id: r.quality for r in quality(docs).collect()}
+    assert not any(q.base_failed for q in out.values())
+    assert [k for k in range(len(bad)) if out[k].kept] == []
+    assert [k for k in range(len(bad), len(out)) if not out[k].kept] == []
+
+
+def test_texts_labelled_good_stay(table):
+    good = table("labels").filter("quality = 1").select("doc_id").distinct()
+    out = quality(table("documents").join(good, "doc_id"), carry=["doc_id"]).select("quality.*").filter("not base_failed")
+    assert out.count() > 10 and out.filter("not kept").count() == 0
+
+
+def test_chunks_cover_the_whole_text():
+    assert chunks_of(10, 4) == [(0, 4), (4, 10)] and chunks_of(3, 4) == [(0, 3)] and chunks_of(8, 4) == [(0, 4), (4, 8)]
 
 
 def test_carried_columns(docs, none):
