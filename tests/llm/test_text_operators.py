@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tabulyte.llm import decontaminate as dec, ngram_join
 from tabulyte.llm.components import components
-from tabulyte.llm.line_dedup import line_dedup
 from tabulyte.llm.ngram_join import ngram_components
 from tabulyte.llm.substring_dedup import substring_dedup
 
@@ -129,72 +128,6 @@ def test_component_labels(spark):
     assert components(edges.limit(0)).count() == 0
 
 
-# line chunks
-
-
-def line_brute(rows, reach, spacing):
-    turned = lambda v, k: ((v << k) | (v >> (64 - k))) & (2**64 - 1)
-    split, places = {}, {}
-    for i, t in {(r[0], r[1]) for r in rows if r[1] is not None}:
-        lines = t.split("\n")
-        h = [xxhash.xxh64(x.encode(), seed=42).intdigest() for x in lines]
-        chunks, first = [], 0
-        for k in range(len(lines)):
-            roll = 0
-            for back in range(min(reach, k + 1)):
-                roll ^= turned(h[k - back], back)
-            if k + 1 == len(lines) or roll % spacing == 0:
-                chunks.append(lines[first : k + 1])
-                first = k + 1
-        split[i, t] = chunks
-        text_hash = xxhash.xxh64(t.encode(), seed=42).intdigest()
-        text_hash -= 2**64 * (text_hash >= 2**63)
-        for p, c in enumerate(chunks):
-            if len(c) > 1 and "".join(c).encode().split():
-                places.setdefault(tuple(c), []).append(((i is not None, i or 0), p, text_hash, t))
-    out = Counter()
-    for i, t, *_ in rows:
-        if t is None:
-            out[i, None, 0, 0] += 1
-            continue
-        keep = [x for p, c in enumerate(split[i, t]) for x in c
-                if tuple(c) not in places or min(places[tuple(c)])[:2] == ((i is not None, i or 0), p) and min(places[tuple(c)])[3] == t]
-        n = len(t.split("\n"))
-        out[i, "\n".join(keep), n, n - len(keep)] += 1
-    return out
-
-
-@pytest.mark.parametrize("spacing", [2, 4])
-def test_line_chunks_like_brute_force(docs, rows, spacing):
-    out = line_dedup(docs, spacing=spacing)
-    assert out.columns == [*docs.columns, "line_dedup"]
-    out = out.select("doc_id", "text", "line_dedup.*")
-    assert by_text(out, "doc_id", "text", "lines", "removed") == line_brute(rows, 3, spacing)
-
-
-def test_line_chunks_of_real_documents(table):
-    docs = table("documents")
-    out = by_text(line_dedup(docs).select("doc_id", "text", "line_dedup.*"), "doc_id", "text", "lines", "removed")
-    assert out == line_brute([tuple(r) for r in docs.select("doc_id", "text").collect()], 3, 4)
-    assert sum(k[3] for k in out) > 0
-
-
-def test_inserted_lines_move_few_boundaries(spark):
-    block = "\n".join(f"line {k} of a passage" for k in range(40))
-    docs = spark.createDataFrame([(1, "start\n" + block), (2, "other\nfirst\nlines\n" + block + "\nend")], "doc_id long, text string")
-    removed = {r.doc_id: r.line_dedup.removed for r in line_dedup(docs).collect()}
-    assert removed[1] == 0 and removed[2] >= 25
-
-
-def test_line_chunks_run_no_python(docs):
-    plan = line_dedup(docs)._jdf.queryExecution().executedPlan().toString()
-    assert not any(x in plan for x in ("Python", "Pandas", "Arrow"))
-
-
-def test_line_chunks_of_an_empty_table(none):
-    assert line_dedup(none).count() == 0
-
-
 # decontamination
 
 
