@@ -181,7 +181,7 @@ def _scanned(docs: DataFrame, benchmark: DataFrame, window: int, names: tuple[st
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _pieces(batches, window)
 
-    items = kept(items.mapInArrow(pieces, "item string, text string"), "items")
+    items = kept(items.mapInArrow(pieces, "item string, text string").distinct(), "items")  # copies of an item are one
     n_words = items.agg(F.sum(F.length("text") - F.length(F.translate("text", " ", "")) + 1)).first()[0] or 0
     blocks = max(1, -(-n_words // BLOCK_WORDS))
     items = items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(blocks)))
@@ -257,8 +257,8 @@ def without(text: str, spans: list[tuple[int, int]]) -> str:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, min_span: int = WINDOW, max_coverage: float = 0.5,
                   id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The input's columns for the documents left: spans of at least `min_span` words are
-    cut out of the text, and a document with more than `max_coverage` of its words hit goes.
+    """The input's columns for the documents left: spans of at least `min_span` words
+    and whole items shorter than a window are cut out of the text, and a document with more than `max_coverage` of its words hit goes.
     Other texts stay byte for byte, null texts null.  Columns pass through whatever their
     names; the cases of `matched` hold."""
     others = [c for c in docs.columns if c not in (id_col, text_col)]
@@ -267,7 +267,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, m
         stay, texts = [], []
         for i, (n, found) in enumerate(zip(sizes, spans)):
             if sum(b - a for a, b in found) <= max_coverage * n:
-                cut = [(a, b) for a, b in found if b - a >= min_span]
+                cut = [(a, b) for a, b in found if b - a >= min_span or b - a < window]
                 stay.append(i)
                 texts.append(without(text[i].as_py(), cut) if cut else text[i].as_py())
         return pa.RecordBatch.from_arrays([row.take(pa.array(stay, pa.int64())), pa.array(texts, pa.string())], ["row", "text"])

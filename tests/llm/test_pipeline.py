@@ -16,7 +16,7 @@ from tools.compare import compare
 
 def test_numbered_queries_are_registered():
     names = entry_point.queries()
-    assert "pipeline" in names and all(sum(k.startswith(f"op{n}_") for k in names) == 1 for n in range(1, 11))
+    assert "pipeline" in names and all(sum(k.startswith(f"op{n}_") for k in names) == 1 for n in range(1, 14))
     assert set(queries.SQL) <= set(queries.QUERIES)
 
 
@@ -91,3 +91,38 @@ def test_stages_take_an_empty_table_and_awkward_rows(spark, sf, docs, none):
 def test_run(spark, sf):
     out = corpus_pipeline.run(spark, sf)
     assert out.count() > 0 and out.groupBy("doc_id", "copy").count().filter("count > 1").count() == 0
+
+
+OWN = ["copies", "rows", "t_id", "text_hash", "copy", "_hash", "_quality", "_lines", "quality", "line_dedup", "h", "id", "row", "own_hash", "spans"]
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_pass_columns_of_any_name(spark, sf, table, name):
+    rows, _ = planted(spark, table)
+    plain = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    more = plain.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in OWN})
+    stage = dict(corpus_pipeline.STAGES)[name]
+    out, wide = stage(spark, plain, sf), stage(spark, more, sf)
+    new = ["copy"] if name == "mix" else []
+    assert wide.columns == [*plain.columns, *[c for c in OWN if c not in new], *new]
+    assert sorted(map(str, wide.select(out.columns).collect())) == sorted(map(str, out.collect()))
+    kept = [c for c in OWN if c not in new]
+    assert all(r[c] == (None if r.doc_id is None else f"{c}{r.doc_id}") for r in wide.collect() for c in kept)
+
+
+def test_near_duplicates_with_clashing_ids(spark, sf, table):
+    rng = random.Random(2)
+    a, c, d = (" ".join(str(rng.random()) for _ in range(60)) for _ in range(3))
+    rows = [(1, a), (5, a), (5, c), (5, c), (None, a), (None, d), (7, ""), (8, None), (9, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_duplicates(spark, docs, sf)
+    assert sorted(((r.doc_id, r.text) for r in out.collect()), key=str) == sorted([(1, a), (5, c), (None, d), (7, ""), (8, None), (9, None)], key=str)
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), sf).count() == 0
+
+
+def test_whole_short_items_are_cut(spark):
+    from tabulyte.llm.decontaminate import decontaminate
+
+    items = spark.createDataFrame([(1, "a rather short item"), (1, "a rather short item")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "here stands A rather, short item! and so on and on and on"), (2, "a rather short one")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in decontaminate(docs, items).collect()} == {1: "here stands and so on and on and on", 2: "a rather short one"}
