@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
@@ -106,20 +107,26 @@ def kolmogorov_tail(x: float) -> float:
     return min(1.0, max(0.0, 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * x * x) for k in range(1, 101))))
 
 
-def digamma(x: float) -> float:
-    shift = 0.0
-    while x < 12:
-        shift -= 1 / x
-        x += 1
+def _raised(x, term) -> tuple[np.ndarray, np.ndarray]:
+    """Arguments stepped up to 12 or more, and the sum of `term` over the steps."""
+    x = np.asarray(x, float)
+    shift = np.zeros_like(x)
+    for _ in range(12):
+        small = x < 12
+        shift = shift + np.where(small, term(np.where(small, x, 1.0)), 0.0)
+        x = np.where(small, x + 1, x)
+    return x, shift
+
+
+def digamma(x) -> np.ndarray:
+    """Derivative of log Γ, of a number or an array."""
+    x, shift = _raised(x, lambda v: -1 / v)
     u = 1 / (x * x)
-    return shift + math.log(x) - 0.5 / x - u * (1 / 12 - u * (1 / 120 - u * (1 / 252 - u * (1 / 240 - u / 132))))
+    return shift + np.log(x) - 0.5 / x - u * (1 / 12 - u * (1 / 120 - u * (1 / 252 - u * (1 / 240 - u / 132))))
 
 
-def trigamma(x: float) -> float:
-    shift = 0.0
-    while x < 12:
-        shift += 1 / (x * x)
-        x += 1
+def trigamma(x) -> np.ndarray:
+    x, shift = _raised(x, lambda v: 1 / (v * v))
     u = 1 / (x * x)
     return shift + 1 / x + u / 2 + u / x * (1 / 6 - u * (1 / 30 - u * (1 / 42 - u * (1 / 30 - u * 5 / 66))))
 

@@ -23,8 +23,11 @@ _COMBINE = {
     "sum": lambda inside, carried: inside + F.coalesce(carried, F.lit(0)),
     "max": lambda inside, carried: F.greatest(inside, carried),
     "min": lambda inside, carried: F.least(inside, carried),
+    "product": lambda inside, carried: inside * F.coalesce(carried, F.lit(1.0)),
 }
-_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
+_AGG = {"sum": F.sum, "max": F.max, "min": F.min, "product": F.product}
+#: Up to so many rows an order is one block: sorting them in a task is quicker than cutting.
+ONE_BLOCK = 65_536
 
 
 def _block_count(df: DataFrame) -> int:
@@ -92,7 +95,7 @@ def running(
     totals: bool = False,
     ahead: Measures | None = None,
 ) -> DataFrame:
-    """Running `sum`, `max` or `min` in the given order, inclusive of the row.
+    """Running `sum`, `max`, `min` or `product` in the given order, inclusive of the row.
 
     `order` must identify a row within its keys (aggregate to distinct values
     first, or add an id).  `reverse` accumulates from the far end, as do the
@@ -107,7 +110,9 @@ def running(
     measures.update({n: (a, c, True) for n, (a, c) in (ahead or {}).items()})
     wanted = df.columns
     df = df.select("*", *[_as_column(c).alias(f"_v_{n}") for n, (_, c, _) in measures.items()])
-    blocked = with_blocks(written(df, "ordered"), order, keys=keys)
+    table = written(df, "ordered")
+    small = table.count() <= ONE_BLOCK
+    blocked = table.withColumn("_block", F.lit(0)) if small else with_blocks(table, order, keys=keys)
 
     def toward(backward: bool, c: str) -> Column:
         return F.col(c).desc() if backward else F.col(c).asc()
@@ -122,6 +127,11 @@ def running(
     inside = blocked.select(
         "*", *[_AGG[a](f"_v_{n}").over(within(back)).alias(f"_i_{n}") for n, (a, _, back) in measures.items()]
     )
+    if small:
+        whole = W.partitionBy(*part)
+        inside = inside.select("*", *[_AGG[a](f"_v_{n}").over(whole).alias(f"{n}_total") for n, (a, _, _) in measures.items() if totals])
+        kept = [F.col(c) for c in wanted if c not in measures]
+        return inside.select(*kept, *[F.col(f"_i_{n}").alias(n) for n in measures], *[f"{n}_total" for n in measures if totals])
     per_block = blocked.groupBy(*part).agg(
         *[_AGG[a](f"_v_{n}").alias(f"_b_{n}") for n, (a, _, _) in measures.items()]
     )

@@ -1,7 +1,7 @@
 """Survival curves and hazards.
 
-Durations are whole days or years, so a table with one row per distinct duration
-is bounded by the calendar; all row-level work is grouped sums.
+All row-level work is grouped sums per distinct duration; running sums and products over
+the durations use blocked orders, so there may be as many durations as rows.
 """
 
 from __future__ import annotations
@@ -10,9 +10,9 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tabulyte.functions.dist import digamma, trigamma
+from tabulyte.functions.dist import chi2_p, digamma, trigamma
 from tabulyte.operators.ordering import running
 from tabulyte.session import written
 
@@ -27,9 +27,8 @@ def _life_table(df: DataFrame, time: str, event: str, keys: Sequence[str] = ())
 def kaplan_meier(df: DataFrame, time: str, event: str, keys: Sequence[str] = ()) -> DataFrame:
     """Survival after each distinct duration, per group."""
     table = _life_table(df, time, event, keys)
-    so_far = W.partitionBy(*keys).orderBy(time).rowsBetween(W.unboundedPreceding, 0)
-    survival = F.product(1 - F.col("events") / F.col("at_risk")).over(so_far)
-    return table.select(*keys, time, "at_risk", "events", survival.alias("survival"))
+    stay = 1 - F.col("events") / F.col("at_risk")
+    return running(table, [time], {"survival": ("product", stay)}, keys).select(*keys, time, "at_risk", "events", "survival")
 
 
 def logrank(df: DataFrame, time: str, event: str, group: str) -> DataFrame:
@@ -39,8 +38,7 @@ def logrank(df: DataFrame, time: str, event: str, group: str) -> DataFrame:
         F.sum((F.col(event) * F.col(group)).cast("bigint")).alias("d1"),
         F.sum(F.col(group).cast("bigint")).alias("n1"),
     )
-    later = W.orderBy(F.desc(time)).rowsBetween(W.unboundedPreceding, 0)
-    risk = table.withColumns({"r": F.sum("n").over(later), "r1": F.sum("n1").over(later)})
+    risk = running(table, [time], {"r": ("sum", "n"), "r1": ("sum", "n1")}, reverse=True)
     share = F.col("r1") / F.col("r")
     variance = F.when(
         F.col("r") > 1, F.col("d") * share * (1 - share) * (F.col("r") - F.col("d")) / (F.col("r") - 1)
@@ -49,27 +47,28 @@ def logrank(df: DataFrame, time: str, event: str, group: str) -> DataFrame:
         F.sum("d1").alias("observed"), F.sum(F.col("d") * share).alias("expected"), F.sum(variance).alias("variance")
     )
     s = s.withColumn("chi2", F.try_divide(F.pow(F.col("observed") - F.col("expected"), 2), F.col("variance")))
-    from tabulyte.functions.dist import chi2_p
-
     return s.withColumn("p_value", chi2_p("chi2", F.lit(1.0)))
 
 
 def efron_terms(d, s0, s1, s2, e0, e1, e2):
-    """Gradient and information of one tied event time, without the sum over ties.
+    """Gradient and information of tied event times, without the sums over ties: arrays
+    with a row per time (d, s0, e0: n; s1, e1: n x p; s2, e2: n x p x p).
 
     The l-th of d tied events sees the risk set less l/d of the event rows.  The
     sums of 1/(a-l) and 1/(a-l)² over l are differences of digamma and trigamma.
     """
     q, a = d / e0, s0 * d / e0
-    low, high = max(a - d + 1, 1e-12), a + 1
+    low, high = np.maximum(a - d + 1, 1e-12), a + 1
     t1, t2 = digamma(high) - digamma(low), trigamma(low) - trigamma(high)
     one, part = q * t1, q / d * (a * t1 - d)
     one2, part2 = q * q * t2, q * q / d * (a * t2 - t1)
     both2 = q * q / (d * d) * (a * a * t2 - 2 * a * t1 + d)
-    mean = s1 * one - e1 * part
+    mean = s1 * one[:, None] - e1 * part[:, None]
+    outer = lambda x, y: x[:, :, None] * y[:, None, :]
+    each = lambda v: v[:, None, None]
     info = (
-        s2 * one - e2 * part
-        - (np.outer(s1, s1) * one2 - (np.outer(s1, e1) + np.outer(e1, s1)) * part2 + np.outer(e1, e1) * both2)
+        s2 * each(one) - e2 * each(part)
+        - (outer(s1, s1) * each(one2) - (outer(s1, e1) + outer(e1, s1)) * each(part2) + outer(e1, e1) * each(both2))
     )
     return mean, info
 
@@ -79,10 +78,11 @@ def cox(
     steps: int = 25, tolerance: float = 1e-8,
 ) -> DataFrame:
     """Proportional hazards with Efron ties and a ridge penalty on standardised
-    features: `(feature, coef, hazard_ratio)` on the original scale.
+    features: `(feature, coef, hazard_ratio, converged)` on the original scale.
 
-    Each Newton step is one grouped pass over the rows and a running sum over the
-    distinct durations; the driver sees one gradient and one p-by-p matrix.
+    Each Newton step is one grouped pass over the rows and a blocked running sum over the
+    distinct durations; the driver sees one gradient and one p-by-p matrix.  `converged`
+    says whether the last step moved less than `tolerance`.
     """
     p = len(features)
     stats = df.agg(*[g(c).alias(f"{n}{i}") for i, c in enumerate(features)
@@ -97,24 +97,16 @@ def cox(
     risk_names = ["s0", *[f"s1_{i}" for i in range(p)], *[f"s2_{i}_{j}" for i, j in upper]]
 
     def contributions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        def square(row, head):
-            m = np.zeros((p, p))
-            for i, j in upper:
-                m[i, j] = m[j, i] = row[f"{head}2_{i}_{j}"]
-            return m
-
         for b in batches:
-            out = []
-            for row in b.to_dict("records"):
-                s1 = np.array([row[f"s1_{i}"] for i in range(p)])
-                e1 = np.array([row[f"e1_{i}"] for i in range(p)])
-                x = np.array([row[f"x_{i}"] for i in range(p)])
-                mean_, info = efron_terms(row["d"], row["s0"], s1, square(row, "s"), row["e0"], e1, square(row, "e"))
-                out.append([*(x - mean_), *[info[i, j] for i, j in upper]])
-            yield pd.DataFrame(out, columns=[*[f"g_{i}" for i in range(p)], *[f"h_{i}_{j}" for i, j in upper]])
+            of = lambda name: b[name].to_numpy(float)
+            vector = lambda head: np.column_stack([of(f"{head}_{i}") for i in range(p)])
+            square = lambda head: np.stack([np.column_stack([of(f"{head}_{min(i, j)}_{max(i, j)}") for j in range(p)]) for i in range(p)], axis=1)
+            mean_, info = efron_terms(of("d"), of("s0"), vector("s1"), square("s2"), of("e0"), vector("e1"), square("e2"))
+            grad = vector("x") - mean_
+            yield pd.DataFrame({**{f"g_{i}": [grad[:, i].sum()] for i in range(p)}, **{f"h_{i}_{j}": [info[:, i, j].sum()] for i, j in upper}})
 
     beta = np.zeros(p)
-    later = W.orderBy(F.desc("t")).rowsBetween(W.unboundedPreceding, 0)
+    converged = False
     for _ in range(steps):
         weight = F.exp(sum((F.lit(float(beta[i])) * F.col(f"z{i}") for i in range(p)), F.lit(0.0)))
         w = rows.withColumn("w", weight)
@@ -127,7 +119,7 @@ def cox(
             *[F.sum(c * F.col("e")).alias(f"e{n}") for n, c in parts.items()],
             *[F.sum(F.col("e") * F.col(f"z{i}")).alias(f"x_{i}") for i in range(p)],
         )
-        risk = per_time.select("*", *[F.sum(f"r{n[1:]}").over(later).alias(n) for n in risk_names])
+        risk = running(per_time, ["t"], {n: ("sum", f"r{n[1:]}") for n in risk_names}, reverse=True)
         schema = ", ".join(f"{n} double" for n in [*[f"g_{i}" for i in range(p)], *[f"h_{i}_{j}" for i, j in upper]])
         total = risk.filter("d > 0").mapInPandas(contributions, schema).groupBy().sum().first()
         n = float(stats["n"])
@@ -137,10 +129,11 @@ def cox(
             info[i, j] = info[j, i] = total[f"sum(h_{i}_{j})"] / n
         move = np.linalg.solve(info + penalty * np.eye(p), grad)
         beta = beta + move
-        if np.abs(move).max() < tolerance:
+        converged = bool(np.abs(move).max() < tolerance)
+        if converged:
             break
     coef = beta / std
     return df.sparkSession.createDataFrame(
-        [(c, float(coef[i]), float(np.exp(coef[i]))) for i, c in enumerate(features)],
-        "feature string, coef double, hazard_ratio double",
+        [(c, float(coef[i]), float(np.exp(coef[i])), converged) for i, c in enumerate(features)],
+        "feature string, coef double, hazard_ratio double, converged boolean",
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from tabulyte.operators.aggregates import corr_matrix
 from tabulyte.operators.sampling import bootstrap, top_per_group
-from tabulyte.operators import isolation, metrics as me, models as mo, neighbours as nb, prep, survival, text_model
+from tabulyte.operators import isolation, metrics as me, models as mo, neighbours as nb, ordering, prep, survival, text_model
 from tabulyte.plans import learning
 from tabulyte.plans.registry import Tables
 from tabulyte.session import landing_path
@@ -112,6 +112,33 @@ def test_cox_gradient_is_zero_at_the_estimate(spark):
     assert out["a"] > 0.2
 
 
+def test_cox_says_whether_it_rested(spark):
+    df = spark.range(60).selectExpr("id % 7 AS t", "CAST(id % 3 > 0 AS INT) AS e", "CAST(id % 5 AS DOUBLE) AS a")
+    assert survival.cox(df, "t", "e", ["a"]).first().converged
+    assert not survival.cox(df, "t", "e", ["a"], steps=1).first().converged
+
+
+@pytest.mark.parametrize("one_block", [-1, 65_536])
+def test_survival_over_many_durations(spark, monkeypatch, one_block):
+    """As many durations as rows, cut into blocks or not."""
+    monkeypatch.setattr(ordering, "ONE_BLOCK", one_block)
+    rng = np.random.default_rng(7)
+    t, e, g = rng.permutation(3000) / 7, rng.random(3000) < 0.4, rng.integers(0, 2, 3000)
+    df = spark.createDataFrame(pd.DataFrame({"t": t, "e": e.astype(int), "g": g})).repartition(6)
+    got = survival.kaplan_meier(df, "t", "e", ["g"]).toPandas().sort_values(["g", "t"])
+    for k in (0, 1):
+        order = np.argsort(t[g == k])
+        ev = e[g == k][order]
+        assert np.allclose(got[got["g"] == k]["survival"], np.cumprod(1 - ev / np.arange(len(ev), 0, -1)))
+    order = np.argsort(t)
+    ev, gr = e[order], g[order]
+    risk, risk1 = np.arange(3000, 0, -1), gr[::-1].cumsum()[::-1]
+    share = risk1 / risk
+    row = survival.logrank(df, "t", "e", "g").first()
+    assert row.observed == (ev * gr).sum() and row.expected == pytest.approx((ev * share).sum())
+    assert row.variance == pytest.approx((ev * share * (1 - share) * (risk > 1)).sum())
+
+
 def test_survival_never_rises(spark, sf):
     out = QUERIES["surv_kaplan_meier"](spark, sf).toPandas().sort_values(["grp", "tenure"])
     assert (out.groupby("grp")["survival"].diff().dropna() <= 1e-12).all()

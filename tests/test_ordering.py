@@ -10,6 +10,14 @@ from tabulyte.operators.joins import nearest_within
 from tabulyte.operators.sampling import sample_balanced
 
 
+@pytest.fixture(autouse=True, params=["blocks", "one block"])
+def ordering_mode(request, monkeypatch):
+    """Every order is cut into blocks, or small ones are one."""
+    if request.param == "blocks":
+        monkeypatch.setattr(od, "ONE_BLOCK", -1)
+
+
+
 @pytest.fixture(scope="module")
 def frame():
     rng = np.random.default_rng(7)
