@@ -14,6 +14,7 @@ from tabulyte.functions import dist
 from tabulyte.operators.aggregates import crosstab
 from tabulyte.operators.joins import group_pairs
 from tabulyte.operators.ordering import melt, running
+from tabulyte.session import written
 
 ALL = W.partitionBy
 
@@ -24,11 +25,14 @@ def chi2_table(table: DataFrame, row: str, col: str, keys: Sequence[str] = ()) -
 
     Cells without a row count as 0: they add nothing to the sum of n²/(r·c).
     """
-    m = table.withColumns({
-        "_r": F.sum("n").over(W.partitionBy(*keys, row)).cast("double"),
-        "_c": F.sum("n").over(W.partitionBy(*keys, col)).cast("double"),
-        "_t": F.sum("n").over(W.partitionBy(*keys)).cast("double"),
-    })
+    def margin(*by: str, name: str) -> DataFrame:
+        return table.groupBy(*keys, *by).agg(F.sum("n").cast("double").alias(name)).withColumnsRenamed({k: f"_k_{name}_{k}" for k in (*keys, *by)})
+
+    # marginals joined back: no window over a key, nor over all cells where there is none
+    m = table
+    for by, name in (((row,), "_r"), ((col,), "_c"), ((), "_t")):
+        same = [F.col(k).eqNullSafe(F.col(f"_k_{name}_{k}")) for k in (*keys, *by)]
+        m = m.join(margin(*by, name=name), same) if same else m.crossJoin(F.broadcast(margin(*by, name=name)))  # one row
     n, r, c, t = (F.col(x) for x in ("n", "_r", "_c", "_t"))
     s = m.groupBy(*keys).agg(
         F.max(t).alias("_n"), F.count_distinct(row).alias("_rows"), F.count_distinct(col).alias("_cols"),
@@ -163,23 +167,18 @@ def mann_whitney(df: DataFrame, features: Sequence[str], label: str) -> DataFram
 
 
 def kruskal(df: DataFrame, value: str, group: str) -> DataFrame:
-    """H over any number of groups, tie-corrected.
-
-    The counts of the groups travel with each distinct value, so ranks are found
-    without joining them back.
-    """
-    cells = df.filter(F.col(value).isNotNull()).groupBy(value, group).agg(F.count(F.lit(1)).alias("n"))
-    per_value = cells.groupBy(value).agg(
-        F.sum("n").alias("n"), F.collect_list(F.struct(F.col(group).alias("g"), F.col("n").alias("k"))).alias("_gs")
-    )
-    ranked = running(per_value, [value], {"cum": ("sum", "n")})
+    """H over any number of groups, tie-corrected: the ranks of the distinct values are
+    joined back to the counts of each value and group."""
+    cells = df.filter(F.col(value).isNotNull()).groupBy(value, group).agg(F.count(F.lit(1)).alias("k"))
+    cells = written(cells, "cells")
+    ranked = running(cells.groupBy(value).agg(F.sum("k").alias("n")), [value], {"cum": ("sum", "n")})
     ranked = ranked.withColumn("_rank", F.col("cum") - (F.col("n") - 1) / 2.0)
     size = F.col("n").cast("double")
     ties = ranked.agg(F.struct(F.sum(size).alias("n"), F.sum(F.pow(size, 3) - size).alias("t"))).scalar()
     groups = (
-        ranked.select("_rank", F.explode("_gs").alias("e"))
-        .groupBy("e.g")
-        .agg(F.sum("e.k").cast("double").alias("k"), F.sum(F.col("e.k") * F.col("_rank")).alias("r"))
+        cells.join(ranked.select(value, "_rank"), value)
+        .groupBy(group)
+        .agg(F.sum("k").cast("double").alias("k"), F.sum(F.col("k") * F.col("_rank")).alias("r"))
     )
     s = groups.agg(F.sum(F.col("r") * F.col("r") / F.col("k")).alias("_s"), F.count(F.lit(1)).alias("_k"))
     s = s.withColumn("_t", ties)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tabulyte.operators.hypothesis import anova
 from tabulyte.operators.ordering import melt, positions, quantiles
 from tabulyte.operators.sampling import hashed
+from tabulyte.session import written
 
 
 def standard_scale(df: DataFrame, cols: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
@@ -54,12 +55,10 @@ def kfold_stratified(df: DataFrame, ids: Sequence[str], label: str, k: int = 5,
 def class_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
     """n / (classes * rows of the class) on every row."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("k"))
-    weights = counts.agg(F.map_from_entries(F.collect_list(F.struct(
-        F.col(label), F.col("k")))).alias("m"), F.sum("k").alias("n"), F.count(F.lit(1)).alias("c"))
-    one = weights.select(F.struct("m", "n", "c")).scalar()
-    return df.withColumn("_w", one).withColumn(
-        name, F.col("_w.n") / (F.col("_w.c") * F.col("_w.m")[F.col(label)])
-    ).drop("_w")
+    counts = written(counts, "classes")
+    one = counts.agg(F.struct(F.sum("k").alias("n"), F.count(F.lit(1)).alias("c"))).scalar()
+    weights = counts.withColumn("_w", one).select(F.col(label).alias("_class"), (F.col("_w.n") / (F.col("_w.c") * F.col("k"))).alias(name))
+    return df.join(weights, F.col(label).eqNullSafe(F.col("_class"))).drop("_class")
 
 
 def positive_weight(df: DataFrame, label: str) -> DataFrame:

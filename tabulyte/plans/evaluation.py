@@ -266,10 +266,10 @@ def ml_class_weight(t):
 @query(
     "ml_select_kbest",
     lambda: f"SELECT * FROM ({SQL['stat_anova']}) ORDER BY f DESC LIMIT 2",
-    {6: "f"},
+    {6: "f", 7: "p_value"},
 )
 def ml_select_kbest(t):
-    return prep.select_k_best(t.lineitem, NUMERIC, "l_returnflag", 2).drop("p_value")
+    return prep.select_k_best(t.lineitem, NUMERIC, "l_returnflag", 2)
 
 
 @query(

@@ -8,6 +8,7 @@ from tabulyte.operators import bayes, causal, hypothesis as hy, series as se, su
 from tabulyte.plans.aggregates import NUMERIC, per_feature
 from tabulyte.plans.joins_sets import NEAREST_SQL
 from tabulyte.plans.registry import query
+from tabulyte.plans.tails import chi2_tail, f_tail, kolmogorov_tail, normal_tails, t_tails, with_p
 from tabulyte.plans.stand_ins import SCORED_SQL, fx, scored
 from tabulyte.plans.windows import RET_SQL
 
@@ -23,18 +24,26 @@ def chi2_sql(source, a, b):
       SELECT chi2, df, n, sqrt(chi2 / (n * (m - 1))) AS cramers_v FROM q)"""
 
 
-@query("stat_chi2", f"SELECT chi2, df, n FROM {chi2_sql('SELECT * FROM orders', 'o_orderstatus', 'o_orderpriority')}", {6: "chi2"})
+@query(
+    "stat_chi2",
+    with_p(f"SELECT chi2, df, n FROM {chi2_sql('SELECT * FROM orders', 'o_orderstatus', 'o_orderpriority')}", chi2_tail("chi2", "df")),
+    {6: "chi2", 7: "p_value"},
+)
 def stat_chi2(t):
-    return hy.chi2(t.orders, "o_orderstatus", "o_orderpriority").select("chi2", "df", "n")
+    return hy.chi2(t.orders, "o_orderstatus", "o_orderpriority").select("chi2", "df", "n", "p_value")
 
 
 YATES_SOURCE = "SELECT l_returnflag = ''R'' AS a, l_linestatus AS b FROM lineitem".replace("''", "'")
 
 
-@query("stat_cramers_v", f"SELECT chi2, df, n, cramers_v FROM {chi2_sql(YATES_SOURCE, 'a', 'b')}", {6: "chi2", 9: "cramers_v"})
+@query(
+    "stat_cramers_v",
+    with_p(f"SELECT chi2, df, n, cramers_v FROM {chi2_sql(YATES_SOURCE, 'a', 'b')}", chi2_tail("chi2", "df")),
+    {6: "chi2", 9: "cramers_v", 7: "p_value"},
+)
 def stat_cramers_v(t):
     rows = t.lineitem.select((F.col("l_returnflag") == "R").alias("a"), F.col("l_linestatus").alias("b"))
-    return hy.chi2(rows, "a", "b").drop("p_value")
+    return hy.chi2(rows, "a", "b")
 
 
 @query(
@@ -59,22 +68,28 @@ GROUPS_SQL = f"({per_feature(SIDES, table='''(SELECT *, l_returnflag = 'R' AS y
 
 @query(
     "stat_t_pooled",
-    f"""SELECT feature, m1 AS mean_1, m0 AS mean_0, n1 + n0 - 2 AS df,
-               (m1 - m0) / sqrt(((n1 - 1) * v1 + (n0 - 1) * v0) / (n1 + n0 - 2) * (1 / n1 + 1 / n0)) AS t FROM {GROUPS_SQL}""",
-    {5: "mean_1 mean_0", 6: "t"},
+    with_p(
+        f"""SELECT feature, m1 AS mean_1, m0 AS mean_0, n1 + n0 - 2 AS df,
+                   (m1 - m0) / sqrt(((n1 - 1) * v1 + (n0 - 1) * v0) / (n1 + n0 - 2) * (1 / n1 + 1 / n0)) AS t FROM {GROUPS_SQL}""",
+        t_tails("t", "df"),
+    ),
+    {5: "mean_1 mean_0", 6: "t", 7: "p_value"},
 )
 def stat_t_pooled(t):
-    return hy.t_pooled(labelled_lines(t), NUMERIC, "y").drop("p_value")
+    return hy.t_pooled(labelled_lines(t), NUMERIC, "y")
 
 
 @query(
     "stat_t_welch",
-    f"""SELECT feature, m1 AS mean_1, m0 AS mean_0, (m1 - m0) / sqrt(v1 / n1 + v0 / n0) AS t,
-               power(v1 / n1 + v0 / n0, 2) / (power(v1 / n1, 2) / (n1 - 1) + power(v0 / n0, 2) / (n0 - 1)) AS df FROM {GROUPS_SQL}""",
-    {5: "mean_1 mean_0", 6: "t", 3: "df"},
+    with_p(
+        f"""SELECT feature, m1 AS mean_1, m0 AS mean_0, (m1 - m0) / sqrt(v1 / n1 + v0 / n0) AS t,
+                   power(v1 / n1 + v0 / n0, 2) / (power(v1 / n1, 2) / (n1 - 1) + power(v0 / n0, 2) / (n0 - 1)) AS df FROM {GROUPS_SQL}""",
+        t_tails("t", "df"),
+    ),
+    {5: "mean_1 mean_0", 6: "t", 3: "df", 7: "p_value"},
 )
 def stat_t_welch(t):
-    return hy.t_welch(labelled_lines(t), NUMERIC, "y").drop("p_value")
+    return hy.t_welch(labelled_lines(t), NUMERIC, "y")
 
 
 @query(
@@ -90,29 +105,35 @@ def stat_cohen_d(t):
 
 @query(
     "stat_anova",
-    " UNION ALL ".join(
-        f"""SELECT '{c}' AS feature, (sb / (k - 1)) / (sw / (n - k)) AS f, k - 1 AS df1, (n - k)::BIGINT AS df2 FROM (
-              SELECT sum(g.n * power(g.m - (SELECT avg({c}) FROM lineitem), 2)) AS sb, sum((g.n - 1) * g.v) AS sw, count(*) AS k, sum(g.n) AS n
-              FROM (SELECT l_returnflag, count({c}) AS n, avg({c}) AS m, var_samp({c}) AS v FROM lineitem GROUP BY 1) g)"""
-        for c in NUMERIC
+    with_p(
+        " UNION ALL ".join(
+            f"""SELECT '{c}' AS feature, (sb / (k - 1)) / (sw / (n - k)) AS f, k - 1 AS df1, (n - k)::BIGINT AS df2 FROM (
+                  SELECT sum(g.n * power(g.m - (SELECT avg({c}) FROM lineitem), 2)) AS sb, sum((g.n - 1) * g.v) AS sw, count(*) AS k, sum(g.n) AS n
+                  FROM (SELECT l_returnflag, count({c}) AS n, avg({c}) AS m, var_samp({c}) AS v FROM lineitem GROUP BY 1) g)"""
+            for c in NUMERIC
+        ),
+        f_tail("f", "df1", "df2"),
     ),
-    {6: "f"},
+    {6: "f", 7: "p_value"},
 )
 def stat_anova(t):
-    return hy.anova(t.lineitem, NUMERIC, "l_returnflag").drop("p_value")
+    return hy.anova(t.lineitem, NUMERIC, "l_returnflag")
 
 
 @query(
     "stat_kruskal",
-    """WITH r AS (SELECT l_returnflag AS g, l_quantity AS v, rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2 AS r FROM lineitem),
-            n AS (SELECT count(*)::DOUBLE AS n FROM r), s AS (SELECT g, count(*) AS k, sum(r) AS sr FROM r GROUP BY g),
-            ties AS (SELECT sum(power(c, 3) - c) AS t FROM (SELECT count(*) AS c FROM r GROUP BY v))
-       SELECT (12 / (n * (n + 1)) * sum(sr * sr / k) - 3 * (n + 1)) / (1 - t / (power(n, 3) - n)) AS h, count(*) - 1 AS df
-       FROM s, n, ties GROUP BY n, t""",
-    {5: "h"},
+    with_p(
+        """WITH r AS (SELECT l_returnflag AS g, l_quantity AS v, rank() OVER (ORDER BY l_quantity) + (count(*) OVER (PARTITION BY l_quantity) - 1) / 2 AS r FROM lineitem),
+                n AS (SELECT count(*)::DOUBLE AS n FROM r), s AS (SELECT g, count(*) AS k, sum(r) AS sr FROM r GROUP BY g),
+                ties AS (SELECT sum(power(c, 3) - c) AS t FROM (SELECT count(*) AS c FROM r GROUP BY v))
+           SELECT (12 / (n * (n + 1)) * sum(sr * sr / k) - 3 * (n + 1)) / (1 - t / (power(n, 3) - n)) AS h, count(*) - 1 AS df
+           FROM s, n, ties GROUP BY n, t""",
+        chi2_tail("h", "df"),
+    ),
+    {5: "h", 7: "p_value"},
 )
 def stat_kruskal(t):
-    return hy.kruskal(t.lineitem, "l_quantity", "l_returnflag").drop("p_value")
+    return hy.kruskal(t.lineitem, "l_quantity", "l_returnflag")
 
 
 def mann_whitney_sql(source):
@@ -126,26 +147,32 @@ def mann_whitney_sql(source):
 
 @query(
     "stat_mannwhitney",
-    " UNION ALL ".join(
-        f"SELECT '{c}' AS feature, * FROM " + mann_whitney_sql(f"SELECT {c} AS v, l_returnflag = 'R' AS y FROM lineitem")
-        for c in NUMERIC
+    with_p(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS feature, * FROM " + mann_whitney_sql(f"SELECT {c} AS v, l_returnflag = 'R' AS y FROM lineitem")
+            for c in NUMERIC
+        ),
+        normal_tails("greatest(z, 0)"),
     ),
-    {1: "u", 6: "z"},
+    {1: "u", 6: "z", 7: "p_value"},
 )
 def stat_mannwhitney(t):
-    return hy.mann_whitney(labelled_lines(t), NUMERIC, "y").drop("p_value")
+    return hy.mann_whitney(labelled_lines(t), NUMERIC, "y")
 
 
 @query(
     "stat_ks2",
-    """WITH s AS (SELECT l_extendedprice AS v, l_returnflag = 'R' AS y FROM lineitem),
-            n AS (SELECT count(*) FILTER (y) AS n1, count(*) FILTER (NOT y) AS n0 FROM s),
-            c AS (SELECT v, sum(count(*) FILTER (y)) OVER (ORDER BY v) AS c1, sum(count(*) FILTER (NOT y)) OVER (ORDER BY v) AS c0 FROM s GROUP BY v)
-       SELECT max(abs(c1 / n1 - c0 / n0)) AS ks, n1, n0 FROM c, n GROUP BY n1, n0""",
-    {8: "ks"},
+    with_p(
+        """WITH s AS (SELECT l_extendedprice AS v, l_returnflag = 'R' AS y FROM lineitem),
+                n AS (SELECT count(*) FILTER (y) AS n1, count(*) FILTER (NOT y) AS n0 FROM s),
+                c AS (SELECT v, sum(count(*) FILTER (y)) OVER (ORDER BY v) AS c1, sum(count(*) FILTER (NOT y)) OVER (ORDER BY v) AS c0 FROM s GROUP BY v)
+           SELECT max(abs(c1 / n1 - c0 / n0)) AS ks, n1, n0 FROM c, n GROUP BY n1, n0""",
+        kolmogorov_tail("(ks * sqrt(n1 * n0 / (n1 + n0)))"),
+    ),
+    {8: "ks p_value"},
 )
 def stat_ks2(t):
-    return hy.ks_two_sample(labelled_lines(t), "l_extendedprice", "y").drop("p_value")
+    return hy.ks_two_sample(labelled_lines(t), "l_extendedprice", "y")
 
 
 @query(
@@ -198,37 +225,47 @@ def stat_f_ratio(t):
 
 @query(
     "stat_benford",
-    """WITH d AS (SELECT CAST(regexp_extract(abs(c_acctbal)::VARCHAR, '[1-9]') AS BIGINT) AS digit FROM customer WHERE c_acctbal <> 0),
-            o AS (SELECT g.digit, count(d.digit) AS n FROM (SELECT unnest(range(1, 10)) AS digit) g LEFT JOIN d USING (digit) GROUP BY 1),
-            e AS (SELECT digit, n, log10(1 + 1 / digit) * sum(n) OVER () AS expected FROM o)
-       SELECT digit, n, expected, sum(power(n - expected, 2) / expected) OVER () AS chi2 FROM e""",
-    {6: "expected chi2"},
+    with_p(
+        """WITH d AS (SELECT CAST(regexp_extract(abs(c_acctbal)::VARCHAR, '[1-9]') AS BIGINT) AS digit FROM customer WHERE c_acctbal <> 0),
+                o AS (SELECT g.digit, count(d.digit) AS n FROM (SELECT unnest(range(1, 10)) AS digit) g LEFT JOIN d USING (digit) GROUP BY 1),
+                e AS (SELECT digit, n, log10(1 + 1 / digit) * sum(n) OVER () AS expected FROM o)
+           SELECT digit, n, expected, sum(power(n - expected, 2) / expected) OVER () AS chi2 FROM e""",
+        chi2_tail("chi2", "8"),
+    ),
+    {6: "expected chi2", 7: "p_value"},
 )
 def stat_benford(t):
-    return hy.benford(t.customer, "c_acctbal").drop("p_value")
+    return hy.benford(t.customer, "c_acctbal")
 
 
 REGIME_SOURCE = f"""SELECT d >= DATE '1998-01-01' AS late, abs(ret) > (SELECT stddev_samp(ret) FROM {RET_SQL}) AS volatile
                     FROM {RET_SQL} WHERE ret IS NOT NULL"""
 
 
-@query("stat_regime_chi2", f"SELECT chi2, df, n FROM {chi2_sql(REGIME_SOURCE, 'late', 'volatile')}", {6: "chi2"})
+@query(
+    "stat_regime_chi2",
+    with_p(f"SELECT chi2, df, n FROM {chi2_sql(REGIME_SOURCE, 'late', 'volatile')}", chi2_tail("chi2", "df")),
+    {6: "chi2", 7: "p_value"},
+)
 def stat_regime_chi2(t):
     s = fx(t)
     returns = s.with_columns(ret=se.pct_change(s)).df
-    return hy.regime_chi2(returns, "ret", F.col("d") >= F.expr("DATE'1998-01-01'")).select("chi2", "df", "n")
+    return hy.regime_chi2(returns, "ret", F.col("d") >= F.expr("DATE'1998-01-01'")).select("chi2", "df", "n", "p_value")
 
 
 @query(
     "stat_pairwise_t",
-    """WITH g AS (SELECT o_orderpriority AS k, count(*) AS n, avg(o_totalprice) AS m, var_samp(o_totalprice) AS v FROM orders GROUP BY 1)
-       SELECT a.k AS k_a, b.k AS k_b, a.n + b.n - 2 AS df, (a.m - b.m) / sqrt((a.v + b.v) / 2) AS d,
-              (a.m - b.m) / sqrt(((a.n - 1) * a.v + (b.n - 1) * b.v) / (a.n + b.n - 2) * (1 / a.n + 1 / b.n)) AS t
-       FROM g a JOIN g b ON a.k < b.k""",
-    {7: "t d"},
+    with_p(
+        """WITH g AS (SELECT o_orderpriority AS k, count(*) AS n, avg(o_totalprice) AS m, var_samp(o_totalprice) AS v FROM orders GROUP BY 1)
+           SELECT a.k AS k_a, b.k AS k_b, a.n + b.n - 2 AS df, (a.m - b.m) / sqrt((a.v + b.v) / 2) AS d,
+                  (a.m - b.m) / sqrt(((a.n - 1) * a.v + (b.n - 1) * b.v) / (a.n + b.n - 2) * (1 / a.n + 1 / b.n)) AS t
+           FROM g a JOIN g b ON a.k < b.k""",
+        t_tails("t", "df"),
+    ),
+    {7: "t d p_value"},
 )
 def stat_pairwise_t(t):
-    return hy.pairwise_t(t.orders, "o_totalprice", "o_orderpriority").drop("p_value")
+    return hy.pairwise_t(t.orders, "o_totalprice", "o_orderpriority")
 
 
 @query(
@@ -340,18 +377,21 @@ def surv_kaplan_meier(t):
 
 @query(
     "surv_logrank",
-    f"""WITH k AS (SELECT tenure, sum(gone) AS d, count(*) AS n, sum(gone) FILTER (g) AS d1, count(*) FILTER (g) AS n1
-                   FROM (SELECT *, grp IN ('BUILDING', 'MACHINERY') AS g FROM {LIVES_SQL}) GROUP BY 1),
-             r AS (SELECT d, coalesce(d1, 0) AS d1, sum(n) OVER w AS r, sum(n1) OVER w AS r1 FROM k
-                   WINDOW w AS (ORDER BY tenure DESC ROWS UNBOUNDED PRECEDING)),
-             s AS (SELECT sum(d1)::BIGINT AS observed, sum(d * r1 / r) AS expected,
-                          sum(CASE WHEN r > 1 THEN d * (r1 / r) * (1 - r1 / r) * (r - d) / (r - 1) ELSE 0 END) AS variance FROM r WHERE d > 0)
-        SELECT *, power(observed - expected, 2) / variance AS chi2 FROM s""",
-    {6: "expected variance chi2"},
+    with_p(
+        f"""WITH k AS (SELECT tenure, sum(gone) AS d, count(*) AS n, sum(gone) FILTER (g) AS d1, count(*) FILTER (g) AS n1
+                       FROM (SELECT *, grp IN ('BUILDING', 'MACHINERY') AS g FROM {LIVES_SQL}) GROUP BY 1),
+                 r AS (SELECT d, coalesce(d1, 0) AS d1, sum(n) OVER w AS r, sum(n1) OVER w AS r1 FROM k
+                       WINDOW w AS (ORDER BY tenure DESC ROWS UNBOUNDED PRECEDING)),
+                 s AS (SELECT sum(d1)::BIGINT AS observed, sum(d * r1 / r) AS expected,
+                              sum(CASE WHEN r > 1 THEN d * (r1 / r) * (1 - r1 / r) * (r - d) / (r - 1) ELSE 0 END) AS variance FROM r WHERE d > 0)
+            SELECT *, power(observed - expected, 2) / variance AS chi2 FROM s""",
+        chi2_tail("chi2", "1"),
+    ),
+    {6: "expected variance chi2", 7: "p_value"},
 )
 def surv_logrank(t):
     two = lives(t).withColumn("g", F.col("grp").isin("BUILDING", "MACHINERY").cast("int"))
-    return survival.logrank(two, "tenure", "gone", "g").drop("p_value")
+    return survival.logrank(two, "tenure", "gone", "g")
 
 
 @query("surv_cox")
@@ -368,13 +408,16 @@ def causal_propensity(t):
 
 @query(
     "causal_psm",
-    f"""WITH pairs AS ({NEAREST_SQL}),
-             v AS (SELECT s.amount AS v, true AS y FROM pairs JOIN {SCORED_SQL} s USING (id) UNION ALL
-                   SELECT s.amount, false FROM pairs JOIN {SCORED_SQL} s ON s.id = pairs.control_id)
-        SELECT (SELECT count(*) FROM pairs) AS pairs, avg(v) FILTER (y) AS treated_mean, avg(v) FILTER (NOT y) AS control_mean,
-               avg(v) FILTER (y) - avg(v) FILTER (NOT y) AS difference,
-               (SELECT u FROM {mann_whitney_sql('SELECT * FROM v')}) AS u, (SELECT z FROM {mann_whitney_sql('SELECT * FROM v')}) AS z FROM v""",
-    {6: "treated_mean control_mean difference", 1: "u", 7: "z"},
+    with_p(
+        f"""WITH pairs AS ({NEAREST_SQL}),
+                 v AS (SELECT s.amount AS v, true AS y FROM pairs JOIN {SCORED_SQL} s USING (id) UNION ALL
+                       SELECT s.amount, false FROM pairs JOIN {SCORED_SQL} s ON s.id = pairs.control_id)
+            SELECT (SELECT count(*) FROM pairs) AS pairs, avg(v) FILTER (y) AS treated_mean, avg(v) FILTER (NOT y) AS control_mean,
+                   avg(v) FILTER (y) - avg(v) FILTER (NOT y) AS difference,
+                   (SELECT u FROM {mann_whitney_sql('SELECT * FROM v')}) AS u, (SELECT z FROM {mann_whitney_sql('SELECT * FROM v')}) AS z FROM v""",
+        normal_tails("greatest(z, 0)"),
+    ),
+    {6: "treated_mean control_mean difference", 1: "u", 7: "z p_value"},
 )
 def causal_psm(t):
-    return causal.matched_effect(scored(t), "id", "y", "p", "amount").drop("p_value")
+    return causal.matched_effect(scored(t), "id", "y", "p", "amount")
