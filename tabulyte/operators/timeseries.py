@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from tabulyte.functions.dates import week_end
 from tabulyte.functions.dist import normal_upper
+from tabulyte.operators import smoothing
 from tabulyte.operators.lag_models import BLOCK, on_gram, autoregression, most_lags, unit_root
 from tabulyte.operators.series import TRADING_DAYS, Series
 
@@ -191,41 +192,9 @@ def cointegration(df: DataFrame, keys: tuple[str, ...], time: str, a: str, b: st
     return bands.join(test, list(keys))
 
 
-def smooth_forecast(x: np.ndarray, period: int, horizon: int, grid: int = 9) -> tuple[np.ndarray, float]:
-    """Additive trend and season: the smoothing weights with the least squared
-    one-step error on a grid, all grid points advancing together."""
-    seasonal = period > 1 and len(x) >= 2 * period
-    steps = np.linspace(0.05, 0.95, grid)
-    a, b, g = (v.ravel() for v in np.meshgrid(steps, steps, steps if seasonal else [0.0], indexing="ij"))
-    head = x[:period] if seasonal else x[:1]
-    level = np.full(a.shape, head.mean())
-    slope = np.full(a.shape, (x[period:2 * period].mean() - head.mean()) / period if seasonal else (x[1] - x[0]))
-    season = np.tile(x[:period] - head.mean(), (len(a), 1)) if seasonal else np.zeros((len(a), 1))
-    width = period if seasonal else 1
-    sse = np.zeros(a.shape)
-    for t, v in enumerate(x):
-        s = season[:, t % width]
-        err = v - (level + slope + s)
-        sse += err * err
-        before = level
-        level = a * (v - s) + (1 - a) * (level + slope)
-        slope = b * (level - before) + (1 - b) * slope
-        if seasonal:
-            season[:, t % width] = g * (v - level) + (1 - g) * s
-    i = int(np.argmin(sse))
-    ahead = np.arange(1, horizon + 1)
-    seasons = np.array([season[i, (len(x) + h - 1) % width] for h in ahead])
-    return level[i] + slope[i] * ahead + seasons, math.sqrt(sse[i] / len(x))
-
-
-def holt_winters(s: Series, period: int = 7, horizon: int = 30) -> DataFrame:
+def holt_winters(s: Series, period: int = 7, horizon: int = 30, block: int = smoothing.BLOCK) -> DataFrame:
     """Forecast per series with a ±1.96·RMSE band."""
-    def fit(x):
-        values, rmse = smooth_forecast(x, period, horizon)
-        return pd.DataFrame({"step": np.arange(1, horizon + 1), "forecast": values,
-                             "lower": values - 1.96 * rmse, "upper": values + 1.96 * rmse, "rmse": rmse})
-
-    return _per_series(s, fit, "step int, forecast double, lower double, upper double, rmse double")
+    return smoothing.holt_winters(s.df, s.keys, s.time, s.value, period, horizon, block)
 
 
 def holdout(s: Series, last: int = 8) -> DataFrame:

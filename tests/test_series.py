@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from tabulyte.operators import series as se, timeseries as ts
+from tabulyte.operators import series as se, smoothing, timeseries as ts
 
 
 @pytest.fixture(scope="module")
@@ -147,7 +147,7 @@ def test_unit_root_verdicts(spark):
 def test_forecasts(spark):
     t = np.arange(140)
     x = 10 + 0.5 * t + 3 * np.sin(2 * np.pi * t / 7)
-    values, rmse = ts.smooth_forecast(x, 7, 14)
+    values, rmse = smoothing.smooth_forecast(x, 7, 14)
     ahead = np.arange(140, 154)
     assert np.abs(values - (10 + 0.5 * ahead + 3 * np.sin(2 * np.pi * ahead / 7))).max() < 1.5
     df = spark.createDataFrame(pd.DataFrame({"k": "a", "d": pd.date_range("2021-01-01", periods=140).date, "x": x}))
@@ -175,3 +175,37 @@ def test_pacf_of_an_autoregression(spark):
     df = spark.createDataFrame(pd.DataFrame({"k": "a", "d": np.arange(3001), "x": x}))
     out = ts.pacf(se.Series(df, ("k",), "d", "x"), 10).toPandas().sort_values("lag")["pacf"].to_numpy()
     assert out[1] == pytest.approx(0.6, abs=0.05) and np.abs(out[2:]).max() < 0.08
+
+
+def test_smoothing_over_blocks_equals_one_pass(spark):
+    """Series of many blocks, the ends of blocks inside a period, and a short series."""
+    rng = np.random.default_rng(9)
+    t = np.arange(500)
+    values = {"a": 10 + 0.1 * t + 3 * np.sin(2 * np.pi * t / 7) + rng.normal(0, 1, 500), None: 5 + rng.normal(0, 1, 230).cumsum(), "c": np.array([1.0, 2.0, 4.0]), "d": np.array([5.0])}
+    rows = [(k, i, float(v)) for k, x in values.items() for i, v in enumerate(x)] + [("a", 9999, None)]
+    s = se.Series(spark.createDataFrame(rows, "k string, d int, x double").repartition(5), ("k",), "d", "x")
+    one, many = (ts.holt_winters(s, 7, 10, block).toPandas() for block in (65_536, 64))
+    for k, x in values.items():
+        pick = lambda f: (f[f["k"].isna()] if k is None else f[f["k"] == k]).sort_values("step")
+        want, rmse = smoothing.smooth_forecast(x, 7, 10)
+        for got in (one, many):
+            assert np.allclose(pick(got)["forecast"], want, rtol=1e-6) and np.allclose(pick(got)["rmse"], rmse, rtol=1e-8)
+
+
+def test_smoothing_maps_compose():
+    rng = np.random.default_rng(3)
+    weights, x = rng.uniform(0.05, 0.95, (20, 3)), rng.normal(size=40)
+    state = rng.normal(size=(20, 9))
+    _, end = smoothing.run(x, state, weights)
+    _, zero = smoothing.run(x, np.zeros((20, 9)), weights)
+    assert np.allclose(end, smoothing.after(weights, state, 40) + zero)
+
+
+def test_refined_weights_beat_a_coarse_grid():
+    rng = np.random.default_rng(4)
+    t = np.arange(300)
+    x = 20 + 0.05 * t + 4 * np.sin(2 * np.pi * t / 7) + rng.normal(0, 1, 300)
+    start, steps = smoothing.first_state(x, 7), np.linspace(0.05, 0.95, 9)
+    grid = np.stack([v.ravel() for v in np.meshgrid(steps, steps, steps)], axis=1)
+    coarse = smoothing.run(x, np.tile(start, (len(grid), 1)), grid)[0].min()
+    assert smoothing.smooth_forecast(x, 7, 1)[1] <= np.sqrt(coarse / 300) * 1.0001
