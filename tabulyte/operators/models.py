@@ -42,12 +42,6 @@ def random_forest(label: str, trees: int = 150, depth: int = 6, **kw) -> RandomF
     return RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, seed=SEED, **kw)
 
 
-def extra_trees(label: str, trees: int = 150, depth: int = 6, **kw) -> RandomForestClassifier:
-    """Whole-sample trees on few coarse cut points: the randomised-cut role."""
-    return RandomForestClassifier(labelCol=label, numTrees=trees, maxDepth=depth, bootstrap=False, maxBins=8,
-                                  featureSubsetStrategy="sqrt", seed=SEED, **kw)
-
-
 def gradient_boosting(label: str, rounds: int = 100, depth: int = 3, **kw) -> GBTClassifier:
     return GBTClassifier(labelCol=label, maxIter=rounds, maxDepth=depth, stepSize=0.1, seed=SEED, **kw)
 

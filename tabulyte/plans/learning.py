@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tabulyte.functions import text as tx
 from tabulyte.operators import models as mo, text_model
+from tabulyte.operators.extra_trees import fit_extra_trees, score_trees
 from tabulyte.operators.neighbours import smote
 from tabulyte.operators.prep import split_stratified
 from tabulyte.plans.evaluation import FLAGGED_SQL, flagged
@@ -54,7 +55,8 @@ def ml_random_forest(t):
 
 @query("ml_extra_trees")
 def ml_extra_trees(t):
-    return scored_by(t, mo.extra_trees("y"), scale=False)
+    train, test = parts(t)
+    return score_trees(fit_extra_trees(train, FEATURES, "y"), test, FEATURES, ["doc_id", "y"])
 
 
 @query("ml_gbt")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry_point
 from tabulyte.operators.aggregates import corr_matrix
 from tabulyte.operators.sampling import bootstrap, top_per_group
-from tabulyte.operators import isolation, metrics as me, models as mo, neighbours as nb, ordering, prep, survival, text_model
+from tabulyte.operators import extra_trees as et, isolation, metrics as me, models as mo, neighbours as nb, ordering, prep, survival, text_model
 from tabulyte.plans import learning
 from tabulyte.plans.registry import Tables
 from tabulyte.session import landing_path
@@ -269,3 +269,69 @@ def test_top_rows_of_a_crowded_group(spark):
     df = spark.range(5000).withColumn("g", F.col("id") % 2)
     got = top_per_group(df, ["g"], [F.desc("id")], 1500).collect()
     assert {r.id for r in got} == set(range(2000, 5000)) and max(r["rank"] for r in got) == 1500
+
+
+def plain_extra_trees(x, y, tree, depth, per_node, seed):
+    """One tree grown node by node: {node: (feature, cut) or None} and class shares."""
+    out, rates, open_ = {}, {}, {1: np.arange(len(x))}
+    while open_:
+        k, rows = open_.popitem()
+        n = np.bincount(y[rows], minlength=2)
+        rates[k] = n / n.sum()
+        out[k] = None
+        if k >= 1 << depth or np.count_nonzero(n) < 2:
+            continue
+        ranges = {f: (x[rows, f].min(), x[rows, f].max()) for f in range(x.shape[1])}
+        best = None
+        for f, c in et.drawn(seed, tree, k, ranges, per_node).items():
+            left = np.bincount(y[rows[x[rows, f] < c]], minlength=2)
+            loss = sum(s.sum() - (s * s).sum() / s.sum() for s in (left, n - left))
+            if best is None or (loss, f) < best[:2]:
+                best = (loss, f, c)
+        if best:
+            _, f, c = best
+            out[k] = (f, c)
+            open_[2 * k], open_[2 * k + 1] = rows[x[rows, f] < c], rows[x[rows, f] >= c]
+    return out, rates
+
+
+def test_extra_trees_equal_plain_growth(spark):
+    rng = np.random.default_rng(5)
+    x = np.round(rng.normal(size=(400, 4)), 1)
+    x[:, 3] = 1.0  # a constant feature is never cut
+    y = ((x[:, 0] + x[:, 1] + rng.normal(0, 0.5, 400)) > 0).astype(int)
+    rows = [(i, *map(float, r), int(v)) for i, (r, v) in enumerate(zip(x, y))] + [(900, None, 1.0, 1.0, 1.0, 1), (901, 1.0, 1.0, 1.0, 1.0, None)]
+    df = spark.createDataFrame(rows, "id long, a double, b double, c double, d double, y int").repartition(6)
+    model = et.fit_extra_trees(df, list("abcd"), "y", trees=7, depth=4)
+    cuts = set()
+    for t in range(7):
+        nodes, rates = plain_extra_trees(x, y, t, 4, 2, et.SEED)
+        for k in range(1, 32):
+            cut = nodes.get(k)
+            assert (model.feature[t, k], model.cut[t, k]) == (cut or (-1, 0.0))
+            assert np.allclose(model.rates[t, k], rates.get(k, 0.0))
+        cuts.update(c for c in nodes.values() if c)
+    assert len(cuts) > 40  # drawn, not taken from a few bins
+    out = et.score_trees(model, df, list("abcd"), ["id", "y"]).toPandas().set_index("id")
+    assert np.allclose(out.loc[range(400), "p"], model.probabilities(x)[:, 1]) and len(out) == 402
+
+
+def test_extra_trees_rank_like_a_forest(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(1500, 5))
+    y = ((x[:, 0] * x[:, 1] + x[:, 2] + rng.normal(0, 0.5, 1500)) > 0).astype(int)
+    df = spark.createDataFrame([(i, *map(float, r), int(v)) for i, (r, v) in enumerate(zip(x, y))], "id long, a double, b double, c double, d double, e double, y int")
+    train, test = df.filter("id % 3 > 0"), df.filter("id % 3 = 0")
+    names = list("abcde")
+    forest = mo.score(mo.fit(train, mo.feature_stages(names, False), mo.random_forest("y", 60, 6)), test, ["id", "y"])
+    extra = et.score_trees(et.fit_extra_trees(train, names, "y", 60, 6), test, names, ["id", "y"])
+    area = lambda s: me.roc_auc(s, "y", "p").scalar().alias("auc")
+    one, two = (spark.range(1).select(area(s)).first().auc for s in (forest, extra))
+    assert two > 0.8 and abs(one - two) < 0.06
+
+
+def test_extra_trees_of_one_class_and_no_rows(spark):
+    df = spark.createDataFrame([(1, 0.5, 1), (2, 0.7, 1)], "id long, a double, y int")
+    model = et.fit_extra_trees(df, ["a"], "y", trees=2, depth=3)
+    assert [r.p for r in et.score_trees(model, df, ["a"], ["id"]).collect()] == [1.0, 1.0]
+    assert et.fit_extra_trees(df.limit(0), ["a"], "y", trees=2, depth=3).feature.max() == -1
