@@ -92,9 +92,20 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _rows(out, docs.drop("copy"), copy)
 
 
+#: Rows of a batch on its way to Python: whole documents, so that a batch is a few MB.
+BATCH_ROWS = 1_000
+
+
 def _ready(stage):
-    """The stage, with the package on the executors."""
-    return lambda spark, docs, sf_dir: stage(shipped(spark), docs, sf_dir)
+    """The stage, with the package on the executors and batches of few documents."""
+
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+        asked = int(spark.conf.get(setting, "10000"))
+        spark.conf.set(setting, str(min(asked, BATCH_ROWS) if asked > 0 else BATCH_ROWS))
+        return stage(shipped(spark), docs, sf_dir)
+
+    return run_stage
 
 
 STAGES = [
