@@ -305,13 +305,17 @@ def linear_contributions(df: DataFrame, coef: Mapping[str, float], id_col: str)
 
 
 def mean_absolute(contributions: DataFrame) -> DataFrame:
-    return contributions.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs")).orderBy(
+    """Mean absolute contribution per feature; where contributions are sampled, with the
+    root mean square of their standard errors."""
+    error = [F.sqrt(F.avg(F.col("std_error") * F.col("std_error"))).alias("std_error")] if "std_error" in contributions.columns else []
+    return contributions.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("mean_abs"), *error).orderBy(
         F.desc("mean_abs"), "feature"
     )
 
 
-def sampled_shapley(model: PipelineModel, df: DataFrame, features: Sequence[str], id_col: str, orders: int = 4) -> DataFrame:
-    """Shapley contributions of any model from sampled feature orders.
+def sampled_shapley(model: PipelineModel, df: DataFrame, features: Sequence[str], id_col: str, orders: int = 8) -> DataFrame:
+    """Shapley contributions of any model from sampled feature orders: `contribution`, and
+    `std_error`, its standard error over the orders.
 
     In each order the row's values replace those of a random other row one by
     one; a feature's contribution is the change of score at its turn.
@@ -340,7 +344,7 @@ def sampled_shapley(model: PipelineModel, df: DataFrame, features: Sequence[str]
     names = F.lit(list(features))
     return per_order.select(id_col, F.explode(change).alias("c")).groupBy(
         id_col, F.element_at(names, F.col("c.i") + 1).alias("feature")
-    ).agg(F.avg("c.v").alias("contribution"))
+    ).agg(F.avg("c.v").alias("contribution"), (F.stddev_samp("c.v") / F.sqrt(F.count("c.v"))).alias("std_error"))
 
 
 def counterfactuals(model: PipelineModel, df: DataFrame, features: Sequence[str], id_col: str, label: str,

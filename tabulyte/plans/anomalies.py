@@ -68,22 +68,16 @@ def ml_isolation_forest(t):
     return nb.flag_top(written(forest(t), "scores"), "score", {"outlier_1": 0.01, "outlier_3": 0.03, "outlier_5": 0.05})
 
 
-VOTES_SQL = f"""(SELECT id, grp, ((a < 0)::BIGINT + (b > 30)::BIGINT) AS votes FROM {PLANE_SQL})"""
-
-
-@query(
-    "ml_anomaly_consensus",
-    f"""SELECT grp, count(*) AS n, count(*) FILTER (votes >= 1) AS either, count(*) FILTER (votes = 2) AS both,
-               count(*) FILTER (votes = 2) * 100.0 / count(*) AS both_pct FROM {VOTES_SQL} GROUP BY grp""",
-    {6: "both_pct"},
-)
+@query("ml_anomaly_consensus")
 def ml_anomaly_consensus(t):
-    rows = plane(t)
-    votes = nb.consensus(
-        rows.select("id", (F.col("a") < 0).alias("low")), rows.select("id", (F.col("b") > 30).alias("high")), "low", "high"
-    )
+    """Which rows isolation and local density both find odd, per segment: the top 5% of each."""
+    rows = written(plane(t), "plane")
+    alone = nb.flag_top(written(isolation.isolation_scores(rows, "id", ["a", "b"]), "isolation"), "score", {"isolated": 0.05})
+    sparse = nb.flag_top(written(nb.local_outlier_factor(rows, "id", ["a", "b"], 25), "factors"), "lof", {"sparse": 0.05})
+    votes = nb.consensus(alone, sparse, "isolated", "sparse")
     return votes.join(rows.select("id", "grp"), "id").groupBy("grp").agg(
-        ag.rows().alias("n"), F.count_if(F.col("votes") >= 1).alias("either"), F.count_if(F.col("votes") == 2).alias("both"),
+        ag.rows().alias("n"), F.count_if("isolated").alias("isolated"), F.count_if("sparse").alias("sparse"),
+        F.count_if(F.col("votes") >= 1).alias("either"), F.count_if(F.col("votes") == 2).alias("both"),
         (F.count_if(F.col("votes") == 2) * 100.0 / ag.rows()).alias("both_pct"),
     )
 

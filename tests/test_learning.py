@@ -10,7 +10,7 @@ import __spark_entry__ as entry_point
 from tabulyte.operators.aggregates import corr_matrix
 from tabulyte.operators.sampling import bootstrap, top_per_group
 from tabulyte.operators import extra_trees as et, isolation, metrics as me, models as mo, neighbours as nb, ordering, prep, survival, text_model
-from tabulyte.plans import learning
+from tabulyte.plans import anomalies, learning
 from tabulyte.plans.registry import Tables
 from tabulyte.session import landing_path
 from tabulyte.streaming.scoring import score_stream
@@ -335,3 +335,26 @@ def test_extra_trees_of_one_class_and_no_rows(spark):
     model = et.fit_extra_trees(df, ["a"], "y", trees=2, depth=3)
     assert [r.p for r in et.score_trees(model, df, ["a"], ["id"]).collect()] == [1.0, 1.0]
     assert et.fit_extra_trees(df.limit(0), ["a"], "y", trees=2, depth=3).feature.max() == -1
+
+
+def test_consensus_joins_the_flags_of_both_detectors(spark, sf):
+    t = Tables(spark, sf)
+    rows = anomalies.plane(t)
+    alone = {r.id for r in QUERIES["ml_isolation_forest"](spark, sf).filter("outlier_5").collect()}
+    sparse = {r.id for r in QUERIES["ml_lof"](spark, sf).filter("outlier").collect()}
+    out = {r.grp: r for r in QUERIES["ml_anomaly_consensus"](spark, sf).collect()}
+    for grp, ids in rows.groupBy("grp").agg(F.collect_list("id")).collect():
+        ids, r = set(ids), out[grp]
+        assert (r.n, r.isolated, r.sparse) == (len(ids), len(ids & alone), len(ids & sparse))
+        assert (r.either, r.both) == (len(ids & (alone | sparse)), len(ids & alone & sparse))
+    assert sum(r.both for r in out.values()) > 0
+
+
+def test_sampled_contributions_come_with_their_error(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 3))
+    y = ((x[:, 0] + 0.5 * x[:, 1]) > 0).astype(int)
+    df = spark.createDataFrame([(i, *map(float, r), int(v)) for i, (r, v) in enumerate(zip(x, y))], "id long, a double, b double, c double, y int")
+    model = mo.fit(df, mo.feature_stages(list("abc")), mo.logistic("y"))
+    few, many = (mo.mean_absolute(mo.sampled_shapley(model, df, list("abc"), "id", orders)).toPandas().set_index("feature") for orders in (4, 24))
+    assert list(many.index[:2]) == ["a", "b"] and (many["std_error"] < few["std_error"]).all()

@@ -1,7 +1,6 @@
 """Scans of recurrences against the plain recursion."""
 
 import numpy as np
-import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
