@@ -4,7 +4,6 @@ import random
 from collections import Counter
 
 import pytest
-import xxhash
 from pyspark.sql import functions as F
 
 from tabulyte.llm import decontaminate as dec, ngram_join
