@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tabulyte.operators import series as se, timeseries as ts
+from tabulyte.operators.timeseries import UNIT_ROOT_P
 from tabulyte.plans.registry import query
+from tabulyte.plans.tails import normal_tails
 from tabulyte.plans.stand_ins import DAILY_SQL, FX_SQL, daily, fx
 from tabulyte.plans.windows import RET_SQL, SO_FAR
 
@@ -84,7 +86,36 @@ def ts_decompose_mult(t):
     return ts.decompose(fx(t), 252, "multiplicative").drop("rate")
 
 
-@query("ts_adf")
+def _adf_sql(most: int = 30) -> str:
+    """Sums of products over all lags, elimination lag by lag for the order with the least
+    AIC, and again over that order's own rows."""
+    w = "OVER (PARTITION BY pair ORDER BY d)"
+    y = most + 3
+    lags = ", ".join(f"coalesce(lag(c, {k}) {w}, 0)" for k in range(1, most + 1))
+    gram = f"""SELECT pair, list(g ORDER BY a) AS m FROM (
+        SELECT pair, a, list(s ORDER BY b) AS g FROM (
+          SELECT v.pair, a, b, sum(v[a] * v[b]) AS s FROM v JOIN $ USING (pair), range(1, {y + 1}) p(a), range(1, {y + 1}) q(b) WHERE i > skip + 1 GROUP BY ALL)
+        GROUP BY pair, a) GROUP BY pair"""
+    swept = f"list_transform(range(1, {y + 1}), lambda i: list_transform(range(1, {y + 1}), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]))"
+    low, high, turn, small, large = UNIT_ROOT_P[1]
+    z = "CASE WHEN stat <= {} THEN {} ELSE {} END".format(turn, *[" + ".join(f"{c} * power(stat, {i})" for i, c in enumerate(cs)) for cs in (small, large)])
+    p = f"CASE WHEN stat > {high} THEN 1.0 WHEN stat < {low} THEN 0.0 WHEN z < 0 THEN ({normal_tails('z')}) / 2 ELSE 1 - ({normal_tails('z')}) / 2 END"
+    return f"""WITH RECURSIVE f AS (SELECT pair, d, rate - avg(rate) OVER (PARTITION BY pair) AS x, row_number() {w} AS i, rate - lag(rate) {w} AS c FROM {FX_SQL}),
+      v AS MATERIALIZED (SELECT pair, i, [1.0, lag(x) {w}, {lags}, c] AS v FROM f),
+      n AS (SELECT pair, count(*) AS n, greatest(0, least(ceil(12 * power(count(*) / 100, 0.25)), count(*) // 2 - 2))::BIGINT AS skip FROM f GROUP BY pair),
+      g AS MATERIALIZED ({gram.replace("$", "n")}),
+      e(pair, k, m) AS (SELECT pair, 1::BIGINT, m FROM g UNION ALL SELECT pair, k + 1, {swept} FROM e JOIN n USING (pair) WHERE k <= skip + 2),
+      orders AS (SELECT pair, k - 3 AS p, m[{y}][{y}] AS sse, n - 1 - skip AS rows FROM e JOIN n USING (pair) WHERE k >= 3),
+      best AS MATERIALIZED (SELECT pair, arg_min(p, rows * (ln(2 * pi() * sse / rows) + 1) + 2 * (p + 2)) AS skip FROM orders GROUP BY pair),
+      h AS MATERIALIZED ({gram.replace("$", "best")}),
+      t(pair, step, k, m) AS (SELECT pair, 1::BIGINT, 1::BIGINT, m FROM h UNION ALL SELECT pair, step + 1, step + 2, {swept} FROM t JOIN best USING (pair) WHERE step <= skip + 1),
+      r AS (SELECT pair, skip AS lags, n - 1 - skip AS n, m[2][2] AS xx, m[2][{y}] AS xy, m[{y}][{y}] AS yy FROM t JOIN best USING (pair) JOIN (SELECT pair, n FROM n) USING (pair) WHERE step = skip + 2),
+      s AS (SELECT pair, lags, n, xy / xx / sqrt((yy - xy * xy / xx) / (n - lags - 2) / xx) AS stat FROM r),
+      zs AS (SELECT *, {z} AS z FROM s)
+      SELECT pair, stat, {p} AS p_value, lags, n, {p} < 0.05 AS stationary FROM zs"""
+
+
+@query("ts_adf", _adf_sql(), {6: "stat", 7: "p_value"})
 def ts_adf(t):
     return ts.adf(fx(t))
 
