@@ -86,7 +86,7 @@ def ts_decompose_mult(t):
     return ts.decompose(fx(t), 252, "multiplicative").drop("rate")
 
 
-def _adf_sql(most: int = 30) -> str:
+def _unit_root_sql(source: str, constant: bool, series: int, most: int = 30) -> str:
     """Sums of products over all lags, elimination lag by lag for the order with the least
     AIC, and again over that order's own rows."""
     w = "OVER (PARTITION BY pair ORDER BY d)"
@@ -97,30 +97,47 @@ def _adf_sql(most: int = 30) -> str:
           SELECT v.pair, a, b, sum(v[a] * v[b]) AS s FROM v JOIN $ USING (pair), range(1, {y + 1}) p(a), range(1, {y + 1}) q(b) WHERE i > skip + 1 GROUP BY ALL)
         GROUP BY pair, a) GROUP BY pair"""
     swept = f"list_transform(range(1, {y + 1}), lambda i: list_transform(range(1, {y + 1}), lambda j: m[i][j] - m[i][k] * m[k][j] / m[k][k]))"
-    low, high, turn, small, large = UNIT_ROOT_P[1]
+    low, high, turn, small, large = UNIT_ROOT_P[series]
+    first, terms = (1, 2) if constant else (2, 1)  # without a constant its column stays out
     z = "CASE WHEN stat <= {} THEN {} ELSE {} END".format(turn, *[" + ".join(f"{c} * power(stat, {i})" for i, c in enumerate(cs)) for cs in (small, large)])
     p = f"CASE WHEN stat > {high} THEN 1.0 WHEN stat < {low} THEN 0.0 WHEN z < 0 THEN ({normal_tails('z')}) / 2 ELSE 1 - ({normal_tails('z')}) / 2 END"
-    return f"""WITH RECURSIVE f AS (SELECT pair, d, rate - avg(rate) OVER (PARTITION BY pair) AS x, row_number() {w} AS i, rate - lag(rate) {w} AS c FROM {FX_SQL}),
+    return f"""WITH RECURSIVE f AS (SELECT pair, d, x, row_number() {w} AS i, x - lag(x) {w} AS c FROM ({source})),
       v AS MATERIALIZED (SELECT pair, i, [1.0, lag(x) {w}, {lags}, c] AS v FROM f),
       n AS (SELECT pair, count(*) AS n, greatest(0, least(ceil(12 * power(count(*) / 100, 0.25)), count(*) // 2 - 2))::BIGINT AS skip FROM f GROUP BY pair),
       g AS MATERIALIZED ({gram.replace("$", "n")}),
-      e(pair, k, m) AS (SELECT pair, 1::BIGINT, m FROM g UNION ALL SELECT pair, k + 1, {swept} FROM e JOIN n USING (pair) WHERE k <= skip + 2),
+      e(pair, k, m) AS (SELECT pair, {first}::BIGINT, m FROM g UNION ALL SELECT pair, k + 1, {swept} FROM e JOIN n USING (pair) WHERE k <= skip + 2),
       orders AS (SELECT pair, k - 3 AS p, m[{y}][{y}] AS sse, n - 1 - skip AS rows FROM e JOIN n USING (pair) WHERE k >= 3),
-      best AS MATERIALIZED (SELECT pair, arg_min(p, rows * (ln(2 * pi() * sse / rows) + 1) + 2 * (p + 2)) AS skip FROM orders GROUP BY pair),
+      best AS MATERIALIZED (SELECT pair, arg_min(p, rows * (ln(2 * pi() * sse / rows) + 1) + 2 * (p + {terms})) AS skip FROM orders GROUP BY pair),
       h AS MATERIALIZED ({gram.replace("$", "best")}),
-      t(pair, step, k, m) AS (SELECT pair, 1::BIGINT, 1::BIGINT, m FROM h UNION ALL SELECT pair, step + 1, step + 2, {swept} FROM t JOIN best USING (pair) WHERE step <= skip + 1),
+      t(pair, step, k, m) AS (SELECT pair, {first}::BIGINT, {1 if constant else 3}::BIGINT, m FROM h UNION ALL SELECT pair, step + 1, step + 2, {swept} FROM t JOIN best USING (pair) WHERE step <= skip + 1),
       r AS (SELECT pair, skip AS lags, n - 1 - skip AS n, m[2][2] AS xx, m[2][{y}] AS xy, m[{y}][{y}] AS yy FROM t JOIN best USING (pair) JOIN (SELECT pair, n FROM n) USING (pair) WHERE step = skip + 2),
-      s AS (SELECT pair, lags, n, xy / xx / sqrt((yy - xy * xy / xx) / (n - lags - 2) / xx) AS stat FROM r),
+      s AS (SELECT pair, lags, n, CASE WHEN n - lags > {terms} THEN xy / xx / sqrt((yy - xy * xy / xx) / (n - lags - {terms}) / xx) END AS stat FROM r),
       zs AS (SELECT *, {z} AS z FROM s)
-      SELECT pair, stat, {p} AS p_value, lags, n, {p} < 0.05 AS stationary FROM zs"""
+      SELECT pair, stat, {p} AS p_value, CASE WHEN stat IS NOT NULL THEN lags END AS lags, CASE WHEN stat IS NOT NULL THEN n END AS n, {p} < 0.05 AS stationary FROM zs"""
 
 
-@query("ts_adf", _adf_sql(), {6: "stat", 7: "p_value"})
+CENTRED_SQL = f"SELECT pair, d, rate - avg(rate) OVER (PARTITION BY pair) AS x FROM {FX_SQL}"
+
+
+@query("ts_adf", _unit_root_sql(CENTRED_SQL, True, 1), {6: "stat", 7: "p_value"})
 def ts_adf(t):
     return ts.adf(fx(t))
 
 
-@query("ts_coint")
+RATE_SQL = "(1000000 + sum(CAST(round(o_totalprice * 100) AS BIGINT)) FILTER (o_orderstatus = '$') // (count(*) FILTER (o_orderstatus = '$') * 500)) / 1000000"
+WIDE_SQL = f"""(SELECT * FROM (SELECT o_orderpriority AS pair, CAST(o_orderdate AS DATE) AS d, {RATE_SQL.replace("$", "F")} AS a, {RATE_SQL.replace("$", "O")} AS b
+  FROM orders GROUP BY ALL) WHERE a IS NOT NULL AND b IS NOT NULL)"""
+SPREAD_SQL = f"""(SELECT pair, d, slope, intercept, a - slope * b - intercept AS x FROM {WIDE_SQL}
+  JOIN (SELECT pair, regr_slope(a, b) AS slope, regr_intercept(a, b) AS intercept FROM {WIDE_SQL} GROUP BY pair) USING (pair))"""
+
+
+@query(
+    "ts_coint",
+    f"""SELECT *, CASE WHEN last > mean + 2 * sd THEN 'short' WHEN last < mean - 2 * sd THEN 'long' ELSE 'none' END AS signal
+        FROM (SELECT pair, slope, intercept, avg(x) AS mean, stddev_samp(x) AS sd, arg_max(x, d) AS last FROM {SPREAD_SQL} GROUP BY pair, slope, intercept)
+        LEFT JOIN (SELECT pair, stat, p_value, lags FROM ({_unit_root_sql("SELECT pair, d, x FROM " + SPREAD_SQL, False, 2)})) USING (pair)""",
+    {9: "slope intercept mean sd last", 6: "stat", 7: "p_value"},
+)
 def ts_coint(t):
     rate = F.expr("(1000000 + sum(cast(round(o_totalprice * 100) AS bigint)) div (count(1) * 500)) / 1000000")
     wide = (

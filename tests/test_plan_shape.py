@@ -14,7 +14,7 @@ SEQUENTIAL = {
 # Here a tail probability or a small system is solved on result rows, one per test or group.
 RESULT_ROWS = {
     "bayes_density_grid", "stat_t_welch", "stat_mannwhitney", "causal_psm", "stat_chi2", "stat_cramers_v", "stat_t_pooled", "stat_anova", "stat_kruskal",
-    "stat_ks2", "stat_benford", "stat_regime_chi2", "stat_pairwise_t", "surv_logrank", "ml_select_kbest", "ts_arima", "ts_adf",
+    "stat_ks2", "stat_benford", "stat_regime_chi2", "stat_pairwise_t", "surv_logrank", "ml_select_kbest", "ts_arima", "ts_adf", "ts_coint",
 }
 PYTHON = SEQUENTIAL | RESULT_ROWS
 
