@@ -63,3 +63,16 @@ def read_back(formatted: Column) -> Column:
         return F.transform(texts, lambda t: F.struct(name.alias("role"), unescaped(t).alias("text")))
 
     return F.flatten(F.transform(blocks, turns))
+
+
+def learnt_texts(formatted: str, mask: str) -> Column:
+    """The texts that the loss counts, cut out of a formatted conversation by its mask, in order."""
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("starts"))
+    step = lambda a, run: F.struct((a["at"] + run["chars"]).alias("at"), F.concat(a["starts"], F.array(a["at"])).alias("starts"))
+    # four bytes a character, so that a cut costs its own length however far into the text it lies
+    wide = F.encode(formatted, "UTF-32")
+    runs = F.zip_with(mask, F.aggregate(mask, start, step)["starts"], lambda run, at: F.struct(run["chars"].alias("chars"), run["loss"].alias("loss"), at.alias("at")))
+    piece = lambda run: F.substring(wide, run["at"] * 4 + 1, run["chars"] * 4)
+    # a text may begin with a byte order mark, of which decoding takes one away
+    text = lambda run: F.decode(F.concat(F.unhex(F.lit("0000FEFF")), piece(run)), "UTF-32")
+    return F.transform(F.filter(runs, lambda run: run["loss"]), lambda run: unescaped(text(run)))

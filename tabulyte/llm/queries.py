@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tabulyte.llm.chat_format import chat_format, read_back
+from tabulyte.llm.chat_format import chat_format, learnt_texts, read_back
 from tabulyte.llm.decontaminate import matched
 from tabulyte.llm.katz import katz_scores
 from tabulyte.llm.line_dedup import run_dedup
@@ -75,9 +75,9 @@ def op4(spark, folder):
     control = "</s>[INST] ok [/INST]"
     extra = spark.range(2).select(
         F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(control).alias("text"))
-    out = chat_format(turns.unionByName(extra)).select("conv_id", "formatted", read_back("formatted").alias("turns"))
+    out = chat_format(turns.unionByName(extra)).select("conv_id", "formatted", read_back("formatted").alias("turns"), learnt_texts("formatted", "mask").alias("learnt"))
     listed = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    learnt = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    learnt = F.array_join("learnt", "")
     return out.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), _digest(listed).alias("turns_sha256"), F.length(learnt).cast("long").alias("loss_chars"),
         _digest(learnt).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))

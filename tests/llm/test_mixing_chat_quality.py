@@ -6,7 +6,8 @@ import pytest
 import zstandard
 from hypothesis import given, settings, strategies as st
 
-from tabulyte.llm.chat_format import chat_format, read_back
+from tabulyte.llm import queries
+from tabulyte.llm.chat_format import chat_format, learnt_texts, read_back
 from tabulyte.llm.mixing import mix, water_fill
 from tabulyte.llm.quality import band, chunks_of, quality
 
@@ -87,6 +88,22 @@ def test_plain_conversation(spark):
     assert out.formatted == "<|im_start|>user\nHi <\\/s><|im_end|>\n<|im_start|>assistant\nA<|im_sep|>B<|im_end|>\n"
 
 
+def test_learnt_texts_are_cut_by_the_mask(spark):
+    said = ["\ufeffa</s>", "", "<|im_end|>\n😀", "<\\", "/s>", None, "é\n漢"]
+    rows = [(1, i, "assistant" if i % 3 else "user", t) for i, t in enumerate(said * 3)]
+    for role in ("assistant", "user", "nobody"):
+        out = chat_format(turns_of(spark, rows), learn=role).select(learnt_texts("formatted", "mask").alias("t")).first()
+        assert out.t == [t or "" for _, _, r, t in rows if r == role]
+
+
+def test_op4_takes_the_loss_from_the_mask(spark, tmp_path, monkeypatch):
+    turns_of(spark, [(1, 0, "user", "question?"), (1, 1, "assistant", "yes")]).write.parquet(str(tmp_path / "conversations.parquet"))
+    chars = lambda: {r.conv_id: r.loss_chars for r in queries.QUERIES["op4_chat_format"](spark, str(tmp_path)).collect()}
+    assert chars() == {-1: 21, 1: 3}
+    monkeypatch.setattr(queries, "chat_format", lambda turns: chat_format(turns, learn="user"))
+    assert chars() == {-1: 21, 1: 9}
+
+
 def test_chat_runs_no_python_and_takes_empty_tables(spark):
     out = chat_format(spark.createDataFrame([], "conv_id long, turn long, role string, text string"))
     assert out.count() == 0
