@@ -33,6 +33,8 @@ LEAF_ROWS = 2048
 #: Children of a node at most, and sample rows per child.
 FAN, SAMPLE_PER_LEAF = 256, 16
 VISITORS_PER_TASK = 20_000
+#: Questions for the children of a node that go to Python at once; each has up to FAN answers.
+ASKS_PER_TASK = 4_000
 #: Nodes a point goes to in the first round; four times as many in each further one.
 FIRST_VISITS = 3
 
@@ -206,19 +208,29 @@ def _split(placed: DataFrame, big: DataFrame, leaf_rows: int) -> DataFrame:
         return pd.DataFrame([[pdf["leaf"].iloc[0], *[p.tolist() for p in parts]]], columns=["leaf", "axis", "cut", "left", "right", "number"])
 
     trees = written(sample.select("leaf", "want", "id", "x").groupBy("leaf").applyInPandas(cut, tree), "trees")
-    joined = placed.join(trees.withColumnRenamed("leaf", "_leaf"), F.col("leaf") == F.col("_leaf"), "left").drop("_leaf")
+    # the cuts of a leaf travel once for many of its rows, not with every row
+    groups = big.select("leaf", F.ceil(F.col("rows") / VISITORS_PER_TASK).cast("int").alias("parts"))
+    rows, cuts = _by_parts(placed, trees, groups, "leaf")
 
-    def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            leaf = b["leaf"].to_numpy().copy()
-            for node, rows in b[b["axis"].notna()].groupby("leaf").indices.items():
-                rows = np.flatnonzero(b["leaf"].to_numpy() == node)
-                one = b.iloc[rows[0]]
-                parts = [np.asarray(one[c]) for c in ("axis", "cut", "left", "right", "number")]
-                leaf[rows] = _child(node, _leaf_of(np.stack(b["x"].to_numpy()[rows]), parts))
-            yield b[["id", "w", "x"]].assign(leaf=leaf)
+    def deal(rows: pd.DataFrame, tree: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(tree):
+            return pd.DataFrame({"id": [], "w": [], "x": [], "leaf": []})
+        one = tree.iloc[0]
+        parts = [np.asarray(one[c]) for c in ("axis", "cut", "left", "right", "number")]
+        leaf = _child(int(one["leaf"]), _leaf_of(np.stack(rows["x"].to_numpy()), parts))
+        return rows[["id", "w", "x"]].assign(leaf=leaf)
 
-    return written(joined.mapInPandas(deal, "id bigint, w bigint, x array<double>, leaf bigint"), "placed")
+    dealt = rows.select("id", "w", "x", "leaf", "part").groupBy("leaf", "part").cogroup(cuts.groupBy("leaf", "part")).applyInPandas(
+        deal, "id bigint, w bigint, x array<double>, leaf bigint")
+    return written(placed.join(big.select("leaf"), "leaf", "left_anti").select(*dealt.columns).unionByName(dealt), "placed")
+
+
+def _by_parts(many: DataFrame, one: DataFrame, groups: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """The rows of `many` dealt to the parts of their key, and the row of the key in `one`
+    once per part; `groups` has (key, parts)."""
+    dealt = many.join(groups, key).withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int")).drop("parts")
+    copies = one.join(groups, key).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+    return dealt, copies
 
 
 def _partition(points: DataFrame, leaf_rows: int) -> tuple[DataFrame, int]:
@@ -362,18 +374,22 @@ def _bounded(state: DataFrame, k: int) -> DataFrame:
 def _opened(asks: DataFrame, tree: DataFrame) -> DataFrame:
     """Children, within the bound, of the inner nodes that points ask for."""
 
-    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            for _, rows in b.groupby("node").indices.items():
-                some = b.iloc[rows]
-                number, lo, hi = _boxes(some["children"].iloc[0])
-                for at, gap in _gaps(np.stack(some["x"].to_numpy()), lo, hi):
-                    part = some.iloc[at : at + len(gap)]
-                    r, c = np.nonzero((gap <= part["bound"].to_numpy()[:, None]) & (number[None] != part["home"].to_numpy()[:, None]))
-                    yield pd.DataFrame({"id": part["id"].to_numpy()[r], "gap": gap[r, c], "node": number[c]})
-
-    rows = asks.join(tree, "node").select("id", "x", "home", "bound", "node", "children")
-    return rows.mapInPandas(measure, "id bigint, gap double, node bigint")
+    def measure(some: pd.DataFrame, inner: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame({"id": [], "gap": [], "node": []})]
+        if len(some) and len(inner):
+            number, lo, hi = _boxes(inner["children"].iloc[0])
+            found = []
+            for at, gap in _gaps(np.stack(some["x"].to_numpy()), lo, hi):
+                part = some.iloc[at : at + len(gap)]
+                r, c = np.nonzero((gap <= part["bound"].to_numpy()[:, None]) & (number[None] != part["home"].to_numpy()[:, None]))
+                found.append(pd.DataFrame({"id": part["id"].to_numpy()[r], "gap": gap[r, c], "node": number[c]}))
+        return pd.concat(found, ignore_index=True)
+
+    # the boxes of a node travel once for many questions, not with each
+    crowds = asks.join(tree.select("node"), "node").groupBy("node").agg(F.ceil(F.count(F.lit(1)) / ASKS_PER_TASK).cast("int").alias("parts"))
+    rows, inner = _by_parts(asks, tree, crowds, "node")
+    return rows.select("id", "x", "home", "bound", "node", "part").groupBy("node", "part").cogroup(inner.groupBy("node", "part")).applyInPandas(
+        measure, "id bigint, gap double, node bigint")
 
 
 def _merged(state: DataFrame, opened: DataFrame) -> DataFrame:
