@@ -38,13 +38,16 @@ def has_emoji(c: str) -> Column:
 
 def caps_ratio(c: str) -> Column:
     """Upper-case letters per character; 0 for empty text."""
-    upper = F.length(F.regexp_replace(c, r"\P{Lu}", ""))
+    upper = F.length(F.regexp_replace(c, r"\P{Lu}+", ""))
     return upper / F.greatest(F.length(c), F.lit(1))
 
 
 def _stripped(c: str | Column) -> Column:
-    text = F.col(c) if isinstance(c, str) else c
-    return F.regexp_replace(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), LINKS, ""), HANDLES, "")
+    low = F.lower(F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")))
+    # a plain search is far cheaper than a pattern, and few texts hold either
+    linked = F.contains(low, F.lit("http")) | F.contains(low, F.lit("www."))
+    bare = F.when(linked, F.regexp_replace(low, LINKS, "")).otherwise(low)
+    return F.when(F.contains(low, F.lit("@")), F.regexp_replace(bare, HANDLES, "")).otherwise(bare)
 
 
 def letters_only(c: str | Column) -> Column:
@@ -54,7 +57,12 @@ def letters_only(c: str | Column) -> Column:
 
 def clean_spaced(c: str | Column) -> Column:
     """As `letters_only`, with runs of white space squeezed to one blank."""
-    return F.trim(F.regexp_replace(letters_only(c), r"\s+", " "))
+    return F.trim(F.regexp_replace(_stripped(c), r"[^a-z]+", " "))
+
+
+def letter_words(c: str | Column) -> Column:
+    """The runs of letters in `letters_only`; an empty string may stand at either end."""
+    return F.split(_stripped(c), r"[^a-z]+")
 
 
 def clean_deleted(c: str | Column) -> Column:

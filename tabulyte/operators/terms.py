@@ -1,8 +1,8 @@
 """Term statistics in long form: one row per document and term.
 
-A document's tokens are made by column expressions inside its row.  Documents are
-shuffled once, by id; counting terms and normalising weights then need no further
-shuffle.  Vocabularies are limited by `max_features`, so they can be broadcast.
+A document's tokens are made by column expressions inside its row, and written once.
+They are shuffled once, by id; counting terms and normalising weights then need no
+further shuffle.  Vocabularies are limited by `max_features`, so they can be broadcast.
 """
 
 from __future__ import annotations
@@ -12,8 +12,9 @@ from collections.abc import Sequence
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from tabulyte.functions.text import letters_only
+from tabulyte.functions.text import letter_words
 from tabulyte.operators.sampling import top_per_group
+from tabulyte.session import written
 
 BROADCAST_TERMS = 200_000
 
@@ -24,7 +25,7 @@ def english_stop_words() -> list[str]:
 
 def tokens(text: str, stop: Sequence[str] = ()) -> Column:
     """Cleaned words of at least two letters, without stop words."""
-    parts = F.split(letters_only(text), r"\s+")
+    parts = letter_words(text)
     keep = (lambda w: (F.length(w) >= 2) & ~w.isin(list(stop))) if stop else (lambda w: F.length(w) >= 2)
     return F.filter(parts, keep)
 
@@ -51,12 +52,35 @@ def class_counts(df: DataFrame, text: str, label: str, stop: Sequence[str] = (),
     return exploded(df, text, [label], stop, sizes).groupBy(label, "term").agg(F.count(F.lit(1)).alias("n"))
 
 
-def vocabulary(terms: DataFrame, max_features: int) -> DataFrame:
-    """The most frequent terms with their counts; the smaller term wins a tie."""
-    counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+def _counted(terms: DataFrame) -> DataFrame:
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("total"))
+
+
+def _most(counts: DataFrame, max_features: int) -> DataFrame:
     return counts.orderBy(F.desc("total"), "term").limit(max_features)
 
 
+def vocabulary(words: DataFrame, max_features: int, sizes=(1, 1)) -> DataFrame:
+    """The most frequent terms of the word lists `_w` with their counts; the smaller term
+    wins a tie.
+
+    A pair is no more frequent than either of its words.  So beside single words, only
+    pairs of words as frequent as the last of the `max_features` words can be among the
+    terms, and no other pairs are counted."""
+    if sizes != (1, 2):
+        return _most(_counted(words.select(F.explode(ngrams(F.col("_w"), sizes)).alias("term"))), max_features)
+    single = written(_counted(words.select(F.explode("_w").alias("term"))), "words")
+    top = _most(single, max_features).agg(F.min("total").alias("least"), F.count(F.lit(1)).alias("n")).first()
+    often = single.filter(F.col("total") >= (top["least"] if top["n"] == max_features else 0)).select("term")
+    often = _bounded(often, often.count())
+    after = F.slice("_w", 2, F.greatest(F.size("_w") - 1, F.lit(0)))
+    before = F.slice("_w", 1, F.greatest(F.size("_w") - 1, F.lit(0)))
+    pairs = words.select(F.explode(F.zip_with(before, after, lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p")).select("p.a", "p.b")
+    for side in ("a", "b"):
+        pairs = pairs.join(often.withColumnRenamed("term", side), side)
+    return _most(single.unionByName(_counted(pairs.select(F.concat("a", F.lit(" "), "b").alias("term")))), max_features)
+
+
 def _bounded(table: DataFrame, max_features: int) -> DataFrame:
     return F.broadcast(table) if max_features <= BROADCAST_TERMS else table
 
@@ -64,8 +88,9 @@ def _bounded(table: DataFrame, max_features: int) -> DataFrame:
 def term_counts(df: DataFrame, text: str, doc: str, keep: Sequence[str] = (), max_features: int = 2000,
                 stop: Sequence[str] = (), sizes=(1, 1)) -> DataFrame:
     """`(doc, keep, term, tf)` over the most frequent terms."""
-    long = exploded(df.select(doc, *keep, text).repartition(doc), text, [doc, *keep], stop, sizes)
-    vocab = vocabulary(long, max_features).select("term")
+    words = written(df.select(doc, *keep, tokens(text, stop).alias("_w")), "tokens")
+    vocab = written(vocabulary(words, max_features, sizes).select("term"), "vocabulary")
+    long = words.repartition(doc).select(doc, *keep, F.explode(ngrams(F.col("_w"), sizes)).alias("term"))
     return long.join(_bounded(vocab, max_features), "term").groupBy(doc, *keep, "term").agg(
         F.count(F.lit(1)).alias("tf")
     )
